@@ -1,6 +1,7 @@
 """From text columns to typed rows: parsing, rejecting, the minimum date, file order.
 
-A typed row keeps its text in the struct ``_raw``; plans that do not show it do not read it either.
+A typed row keeps its text in the struct ``_raw``, which plans that do not show it do not build, and its place in
+reading order in ``_position``: increasing within a file and unique, but not consecutive.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ RAW, POSITION = "_raw", "_position"
 def _typed(text: DataFrame, raw: list[str], parsed: dict[str, Column]) -> DataFrame:
     raw_struct = F.struct(*[F.col(f"`{name}`").alias(name) for name in raw]).alias(RAW)
     origin = [name for name in (FILE, BLOCK) if name in text.columns]
-    return text.select(*[column.alias(name) for name, column in parsed.items()], raw_struct, *origin)
+    position = F.monotonically_increasing_id().alias(POSITION)
+    return text.select(*[column.alias(name) for name, column in parsed.items()], raw_struct, position, *origin)
 
 
 def type_days(text: DataFrame) -> DataFrame:
@@ -70,7 +72,9 @@ def accepted(typed: DataFrame, table: str, skip_errors: bool) -> DataFrame:
     else:
         on_error = F.raise_error(F.concat(F.lit("row does not parse: "), F.to_json(RAW))).cast("boolean")
     # One CASE, so that no not-null check derived from the date test can drop a bad row before it is reported.
-    return typed.where(F.when(is_rejected(table), on_error).otherwise(is_recent()))
+    keep = F.when(is_rejected(table), on_error).otherwise(is_recent())
+    # Always true. A filter that reads the position stays above the projection, so rows are parsed once, not twice.
+    return typed.where(keep & (F.col(POSITION) >= 0))
 
 
 def counts(table: str) -> dict[str, Column]:
@@ -83,15 +87,10 @@ def counts(table: str) -> dict[str, Column]:
     }
 
 
-def positioned(rows: DataFrame) -> DataFrame:
-    """Number rows in reading order: increasing within a file, unique, not consecutive. Does not shuffle."""
-    return rows.withColumn(POSITION, F.monotonically_increasing_id())
-
-
 def from_offset(
     rows: DataFrame, offset: int | None, counted_from: DataFrame | None = None, max_blocks: int = 100_000
 ) -> DataFrame:
-    """Keep positioned rows from the ``offset``-th of their file on, counting from 1; None and 0 keep all.
+    """Keep accepted rows from the ``offset``-th of their file on, counting from 1; None and 0 keep all.
 
     Rows are counted per file block first and only the block counts are put in order, so no task sees a whole file.
     The block counts are broadcast when their number, known from the scan's partitions and files, is small.
@@ -99,13 +98,16 @@ def from_offset(
     """
     if not offset:
         return rows
-    counted = rows if counted_from is None else counted_from
-    blocks = counted.groupBy(FILE, BLOCK).agg(F.count("*").alias("_rows"), F.min(POSITION).alias("_first"))
+    # Consecutive within a block, since one task reads a block from start to end.
+    number = F.monotonically_increasing_id()
+    counted = (rows if counted_from is None else counted_from).withColumn("_number", number)
+    blocks = counted.groupBy(FILE, BLOCK).agg(F.count("*").alias("_rows"), F.min("_number").alias("_first"))
     before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
         FILE, BLOCK, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
     if len(rows.inputFiles()) + rows.rdd.getNumPartitions() <= max_blocks:
         starts = F.broadcast(starts)
-    kept = rows.join(starts, [FILE, BLOCK]).where(F.col(POSITION) + F.col("_shift") >= offset)
+    numbered = rows.withColumn("_number", number).join(starts, [FILE, BLOCK])
+    kept = numbered.where(F.col("_number") + F.col("_shift") >= offset)
     return kept.select(*rows.columns)

@@ -90,10 +90,9 @@ class PriceStore:
             rows.accepted(typed, table, skip_errors).write.format("noop").mode("overwrite").save()
         seen = Observation()
         counted = typed.observe(seen, *[count.alias(name) for name, count in rows.counts(table).items()])
-        kept = rows.positioned(rows.accepted(counted, table, skip_errors))
+        kept = rows.accepted(counted, table, skip_errors)
         if offset:
-            plain = rows.positioned(rows.accepted(typed, table, skip_errors))
-            kept = rows.from_offset(kept, offset, counted_from=plain)
+            kept = rows.from_offset(kept, offset, counted_from=rows.accepted(typed, table, skip_errors))
         partitions = text.rdd.getNumPartitions()
         batch = self.tables.stage(table, kept, rows.POSITION, partitions, overwrite)
         report = ImportReport(batch, **seen.get)
