@@ -1,0 +1,79 @@
+"""Duplicates, membership, priorities and the single-match join."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from pricefold.operators import bars, keyed
+
+
+def collected(frame, *names):
+    return sorted(tuple(row) for row in frame.select(*(names or frame.columns)).collect())
+
+
+def test_latest_per_key_with_a_hot_key(spark):
+    generator = random.Random(7)
+    rows = [("hot" if generator.random() < 0.4 else f"s{generator.randrange(50)}", n % 3, n, n * 7 % 11) for n in range(3000)]
+    generator.shuffle(rows)
+    frame = spark.createDataFrame(rows, "symbol string, date int, _seq bigint, open bigint").repartition(6)
+    expected = {}
+    for symbol, day, seq, value in sorted(rows, key=lambda row: row[2]):
+        expected[symbol, day] = value
+    found = collected(keyed.latest_per_key(frame, ["symbol", "date"]))
+    assert found == sorted((symbol, day, value) for (symbol, day), value in expected.items())
+
+
+def test_latest_per_key_is_a_hash_aggregation_with_partial_step(spark):
+    frame = spark.range(10).select(F.lit("a").alias("symbol"), F.col("id").alias("_seq"), F.col("id").alias("open"))
+    plan = keyed.latest_per_key(frame, ["symbol"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and "SortAggregate" not in plan
+
+
+def test_distinct_rows_keeps_different_values_of_a_key(spark):
+    frame = spark.createDataFrame([("a", 1, 5), ("a", 1, 5), ("a", 1, 6)], "symbol string, date int, open int")
+    assert collected(keyed.distinct_rows(frame, ["symbol", "date", "open"])) == [("a", 1, 5), ("a", 1, 6)]
+
+
+def test_first_source_and_new_keys(spark):
+    first = spark.createDataFrame([("a", 1, 10), ("b", 1, 20)], "symbol string, date int, open bigint")
+    second = spark.createDataFrame([(11, "a", 1), (31, "c", 1)], "open bigint, symbol string, date int")
+    merged = keyed.first_source([first, second], ["symbol", "date"])
+    assert collected(merged, "symbol", "open") == [("a", 10), ("b", 20), ("c", 31)]
+    assert collected(keyed.new_keys(merged, second, ["symbol", "date"]), "symbol") == [("b",)]
+    assert collected(keyed.new_keys(merged, first.where("false"), ["symbol", "date"]), "symbol") == [("a",), ("b",), ("c",)]
+
+
+def test_new_keys_never_nests_loops(spark):
+    left = spark.createDataFrame([("a", 1)], "symbol string, date int")
+    plan = keyed.new_keys(left, left, ["symbol", "date"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_any_left_join(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 1)], "symbol string, date int")
+    right = spark.createDataFrame([("a", 1, 5, 2), ("a", 1, 4, 9)], "symbol string, date int, x bigint, y bigint")
+    found = keyed.any_left_join(left, right, ["symbol", "date"], unique=False)
+    assert collected(found) == [("a", 1, 5, 2), ("b", 1, 0, 0)]
+
+
+def test_day_bars(spark):
+    generator = random.Random(3)
+    rows = []
+    for symbol in ("a", "b"):
+        for day in (1, 2):
+            for minute in generator.sample(range(600), 40):
+                price = generator.randrange(100, 999)
+                rows.append((symbol, f"2020-01-0{day}", f"2020-01-0{day} {minute // 60:02}:{minute % 60:02}:00",
+                             price, price + 5, price - 5, price + 1))
+    generator.shuffle(rows)
+    text = spark.createDataFrame(rows, "symbol string, day string, date string, open bigint, high bigint, low bigint, close bigint")
+    frame = text.withColumns({"day": F.col("day").cast("date"), "date": F.col("date").cast("timestamp_ntz")})
+    expected = []
+    for symbol in ("a", "b"):
+        for day in ("2020-01-01", "2020-01-02"):
+            own = sorted((row for row in rows if row[:2] == (symbol, day)), key=lambda row: row[2])
+            expected.append((symbol, day, own[0][3], max(row[4] for row in own), min(row[5] for row in own), own[-1][6]))
+    found = bars.day_bars(frame.repartition(5)).withColumn("date", F.col("date").cast("string"))
+    assert collected(found, "symbol", "date", "open", "high", "low", "close") == sorted(expected)
