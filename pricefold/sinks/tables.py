@@ -8,7 +8,10 @@ row-group statistics, to a few row groups.
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +31,24 @@ class Tables:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame:
-        """A stored table with its declared columns and the storage columns. It must have been created."""
-        return self.spark.read.schema(stored(table)).parquet(self.path(table))
+    def read(self, table: str, months: Collection[date] | None = None) -> DataFrame:
+        """A stored table with its declared columns and the storage columns. It must have been created.
+
+        With ``months`` only the directories of those months are listed and read, so the cost of a lookup or of a
+        small merge does not grow with the number of months stored.
+        """
+        reader = self.spark.read.schema(stored(table)).option("basePath", self.path(table))
+        if months is None:
+            return reader.parquet(self.path(table))
+        if not months:
+            return self.spark.createDataFrame([], stored(table))
+        names = ",".join(f"month={month.isoformat()}" for month in sorted(months))
+        try:
+            return reader.parquet(f"{self.path(table)}/{{{names}}}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], stored(table))
 
     def create(self, table: str) -> None:
         """Create the table empty, dropping its rows if it exists."""

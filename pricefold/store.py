@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pricefold.functions.scalars import month_of
@@ -53,8 +55,9 @@ class PriceStore:
 
     def create_views(self) -> None:
         """Define the temporary views anew, since a view keeps the file listing of the moment it was made."""
-        self.days_view().createOrReplaceTempView("days_view")
-        self.minutes_view().createOrReplaceTempView("minutes_view")
+        adjusted = self.tables.read("days_adjusted")
+        views.days_view(self.tables.read("days"), adjusted).createOrReplaceTempView("days_view")
+        views.minutes_view(self.tables.read("minutes"), adjusted).createOrReplaceTempView("minutes_view")
 
     # Import
 
@@ -103,39 +106,35 @@ class PriceStore:
 
     # Merge
 
-    def merge(self, since: int = 0, rescan: bool = False) -> MergeReport:
+    def merge(self, since: Mapping[str, int] | None = None, rescan: bool = False) -> MergeReport:
         """Add staged rows with new keys to the keyed tables.
 
-        ``since`` leaves out staged batches up to that number, for stores whose earlier batches are merged already.
+        ``since`` gives, by staging table, the last batch that is merged already, to leave it and earlier ones out.
         Daily bars are rolled up for the months that staged minutes touch; ``rescan`` rolls up all months, which is
         only needed after a merge failed and its staged rows were dropped.
         """
         minutes_staged, days_staged, actions_staged = (
-            self.tables.read(table).where(F.col("batch") > since) for table in STAGING
+            self.tables.read(table).where(F.col("batch") > (since or {}).get(table, 0)) for table in STAGING
         )
         minute_months = self._months(minutes_staged)
-        existing = self.tables.read("minutes").where(minute_months)
+        existing = self.tables.read("minutes", minute_months)
         minutes = self.tables.append("minutes", merging.minutes_delta(minutes_staged, existing))
 
-        rolled = self.tables.read("minutes")
-        if rescan:
-            months = F.lit(True)
-        else:
-            rolled = rolled.where(minute_months)
-            months = minute_months | self._months(days_staged)
-        existing = self.tables.read("days").where(months)
+        rolled = self.tables.read("minutes", None if rescan else minute_months)
+        months = None if rescan else minute_months | self._months(days_staged)
+        existing = self.tables.read("days", months)
         days = self.tables.append("days", merging.days_delta(rolled, days_staged, existing))
 
         months = self._months(days_staged) | self._months(actions_staged)
-        existing = self.tables.read("adjustments").where(months)
+        existing = self.tables.read("adjustments", months)
         actions = self.tables.append("adjustments", merging.actions_delta(days_staged, actions_staged, existing))
         self.create_views()
         return MergeReport(minutes, days, actions)
 
-    def _months(self, staged: DataFrame) -> Column:
-        """Partition filter for the months that staged rows fall in; at most one value per calendar month."""
+    def _months(self, staged: DataFrame) -> set[date]:
+        """The months that staged rows fall in; at most one value per calendar month."""
         found = staged.select(month_of(F.col("date").cast("date")).alias("month")).distinct().collect()
-        return F.col("month").isin([row["month"] for row in found]) if found else F.lit(False)
+        return {row["month"] for row in found}
 
     # Adjust
 
@@ -154,12 +153,18 @@ class PriceStore:
         return views.minutes_view(self.tables.read("minutes"), self.tables.read("days_adjusted"))
 
     def get_day(self, symbol: str, day: str) -> DataFrame:
-        return views.get_day(self.tables.read("days"), self.tables.read("days_adjusted"), symbol, day)
+        """See ``views.get_day``; reads the month of the day only."""
+        return views.get_day(*self._month_of("days", day), symbol, day)
 
     def get_minute(self, symbol: str, minute: str) -> DataFrame:
-        return views.get_minute(self.tables.read("minutes"), self.tables.read("days_adjusted"), symbol, minute)
+        """See ``views.get_minute``; reads the month of the minute only."""
+        return views.get_minute(*self._month_of("minutes", minute), symbol, minute)
 
-    def get(self, mode: str, symbol: str, date: str) -> DataFrame:
+    def _month_of(self, table: str, moment: str) -> tuple[DataFrame, DataFrame]:
+        month = datetime.fromisoformat(moment).date().replace(day=1)
+        return self.tables.read(table, [month]), self.tables.read("days_adjusted", [month])
+
+    def get(self, mode: str, symbol: str, moment: str) -> DataFrame:
         if mode not in ("day", "minute"):
             raise ValueError(f"unknown mode: {mode}")
-        return self.get_day(symbol, date) if mode == "day" else self.get_minute(symbol, date)
+        return self.get_day(symbol, moment) if mode == "day" else self.get_minute(symbol, moment)

@@ -139,7 +139,7 @@ def test_import_sequence_and_overwrite(store, write):
     assert staged.where(f"batch = {first.batch}").agg({"_seq": "max"}).first()[0] < (
         staged.where(f"batch = {second.batch}").agg({"_seq": "min"}).first()[0]
     )
-    store.merge(since=first.batch)
+    store.merge(since={"days_import": first.batch})
     assert store.tables.read("days").count() == 3
     store.import_days(write("c.csv", DAYS, day("Z", "2021-01-01", 1, 1, 1, 1)), overwrite=True)
     assert collected(store.tables.read("days_import"), "symbol") == [("Z",)]
@@ -214,6 +214,44 @@ def test_failed_adjust_leaves_the_old_prices(store, write):
         assert [row[2] for row in before] == [10000, 10000, 20000, 10000]
 
 
+def test_lookup_reads_one_month_with_pushed_filters(store, write):
+    store.import_days(write("days.csv", DAYS, *GOLDEN))
+    store.import_minutes(write("x.csv", "2020-01-02 10:00:00,33,30,31,32,5,5", "2020-02-02 10:00:00,3,3,3,3,5,5"), "X")
+    store.merge()
+    store.adjust()
+    for found, files in ((store.get_day("X", "2020-01-02"), 2), (store.get_minute("X", "2020-01-02 10:00:00"), 2)):
+        assert len(found.inputFiles()) == files
+        assert all("month=2020-01-01" in name for name in found.inputFiles())
+        assert found.count() == 1
+        scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+        assert len(scans) == 2 and all("symbol" in line and "date" in line for line in scans)
+        pushed = found._jdf.queryExecution().explainString(
+            found.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        assert pushed.count("EqualTo(symbol,X)") == 2 and pushed.count("EqualTo(date,") == 2
+    assert store.get_day("X", "1999-01-02").collect() == []
+
+
+def test_views_can_be_filtered_in_sql(store, write):
+    store.import_days(write("days.csv", DAYS, *GOLDEN))
+    store.merge()
+    store.adjust()
+    found = store.spark.sql("select adjusted_open from days_view where symbol = 'X' and date = date'2020-01-02'")
+    assert found.collect()[0][0] == 155000
+    assert store.spark.table("minutes_view").count() == 0
+
+
+def test_a_merge_touches_only_its_months(store, write):
+    store.import_days(write("days.csv", DAYS, *GOLDEN))
+    store.merge()
+    store.import_days(write("more.csv", DAYS, day("Y", "2020-02-04", 1, 1, 1, 1), day("Y", "2020-03-04", 2, 2, 2, 2)))
+    assert store.merge().days == 2
+    assert store.tables.read("days").count() == 6
+    january, march = date(2020, 1, 1), date(2020, 3, 1)
+    assert store.tables.read("days", [january, march, date(2030, 1, 1)]).count() == 4
+    assert store.tables.read("days", [date(2030, 1, 1)]).count() == 0
+
+
 def test_reset_empties_the_tables(store, write):
     store.import_days(write("days.csv", DAYS, *GOLDEN))
     store.merge()
