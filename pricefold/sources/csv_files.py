@@ -49,6 +49,13 @@ def read_minutes(
     return rows.select(symbols, *MINUTE_FIELDS, *_named(_origin()))
 
 
+def minute_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
+    """The minute files that arrive in a directory, as a stream."""
+    reader = spark.readStream.option("escape", '"').option("maxFilesPerTrigger", files_per_batch)
+    symbols = _symbol(None, _SYMBOL_IN_NAME).alias("symbol")
+    return reader.schema(MINUTE_SCHEMA).csv(path).select(symbols, *MINUTE_FIELDS, *_named(_origin()))
+
+
 def read_adjustments(
     spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = _SYMBOL_IN_NAME
 ) -> DataFrame:
