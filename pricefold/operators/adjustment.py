@@ -14,18 +14,12 @@ symbol has at most one row per calendar day, whatever the size of the table.
 
 from __future__ import annotations
 
-from decimal import ROUND_HALF_EVEN, Decimal, localcontext
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from pricefold.operators.decimal_fold import fold_symbol
 from pricefold.schema import ADJUSTED, NO_DIVIDEND, NO_SPLIT, PRICES, SCALE
 
-# Fixed value: significant digits of the decimal arithmetic of the exact mode.
-DIGITS = 28
-
 
 def _newest_first() -> WindowSpec:
     return Window.partitionBy("symbol").orderBy(F.desc("date"))
@@ -94,55 +88,12 @@ def _adjusted_native(paired: DataFrame) -> DataFrame:
     return rows.select("symbol", "date", coefficient, *prices)
 
 
-def _running_coefficients(dividends: np.ndarray, splits: np.ndarray, closes: np.ndarray) -> list[Decimal]:
-    """Coefficient after each event, in order, starting with 1. The inputs hold the event rows only."""
-    running = [Decimal(1)]
-    for dividend, split, close in zip(dividends.tolist(), splits.tolist(), closes.tolist()):
-        value = running[-1]
-        if split != NO_SPLIT:
-            value = value * (1 / (Decimal(split) / SCALE))
-        if dividend != NO_DIVIDEND:
-            value = value * (1 - Decimal(dividend) / Decimal(close))
-        running.append(value)
-    return running
-
-
-def _floor_products(values: np.ndarray, level: np.ndarray, running: list[Decimal]) -> np.ndarray:
-    """``floor(value * coefficient)`` in decimal arithmetic.
-
-    The double product decides every value that is not next to an integer; its relative error is below 2**-51.
-    """
-    product = values * np.array([float(value) for value in running])[level]
-    result = np.where(level == 0, values, np.floor(product).astype(np.int64))
-    unsure = (np.abs(product - np.rint(product)) <= product * 2.0**-50) & (level > 0)
-    for row in np.flatnonzero(unsure):
-        result[row] = int(Decimal(int(values[row])) * running[level[row]])
-    return result
-
-
-def _fold_symbol(table: pa.Table) -> pa.Table:
-    """Adjust the rows of one symbol in decimal arithmetic; Python touches the event rows only."""
-    table = table.sort_by([("day", "descending")])
-    column = {name: table.column(name).to_numpy() for name in table.column_names if name != "symbol"}
-    dividend, split = column["newer_dividend"], column["newer_split_ratio"]
-    events = np.flatnonzero((dividend != NO_DIVIDEND) | (split != NO_SPLIT))
-    # Number of events at or before each row, which is the index of the row's coefficient.
-    level = np.searchsorted(events, np.arange(len(split)), side="right")
-    with localcontext() as context:
-        context.prec, context.rounding = DIGITS, ROUND_HALF_EVEN
-        running = _running_coefficients(dividend[events], split[events], column["close"][events])
-        coefficient = np.array([int(value * SCALE) for value in running], dtype=np.int64)[level]
-        prices = [_floor_products(column[price], level, running) for price in PRICES]
-    data = [table.column("symbol"), table.column("day"), coefficient, *prices]
-    return pa.table(dict(zip(["symbol", "day", "adjustment_coefficient", *ADJUSTED], data)))
-
-
 def _adjusted_exact(paired: DataFrame) -> DataFrame:
     rows = paired.select(
         "symbol", F.unix_date("date").alias("day"), *PRICES, "newer_dividend", "newer_split_ratio"
     )
     longs = ", ".join(f"{name} bigint" for name in ["adjustment_coefficient", *ADJUSTED])
-    folded = rows.groupBy("symbol").applyInArrow(_fold_symbol, f"symbol string, day int, {longs}")
+    folded = rows.groupBy("symbol").applyInArrow(fold_symbol, f"symbol string, day int, {longs}")
     return folded.select(
         "symbol", F.date_from_unix_date("day").alias("date"), "adjustment_coefficient", *ADJUSTED
     )
