@@ -1,5 +1,5 @@
 """Price history on Spark: import, merge, back-adjust and look up stock prices."""
 
-from pricefold.store import ImportReport, MergeReport, PriceStore
+from pricefold.store import AdjustReport, ImportReport, MergeReport, PriceStore
 
-__all__ = ["ImportReport", "MergeReport", "PriceStore"]
+__all__ = ["AdjustReport", "ImportReport", "MergeReport", "PriceStore"]

@@ -8,8 +8,8 @@ factors of all newer rows' events:
 
 so an event changes every row older than its own day, and the newest row keeps its prices.
 
-One symbol is one window group or one fold. That group is bounded: the input is unique by symbol and day, so a
-symbol has at most one row per calendar day, whatever the size of the table.
+One symbol is one window group. That group is bounded: the input is unique by symbol and day, so a symbol has at most
+one row per calendar day, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from pricefold.operators.decimal_fold import fold_symbol
+from pricefold.operators.decimal_fold import fold_batches
 from pricefold.schema import ADJUSTED, NO_DIVIDEND, NO_SPLIT, PRICES, SCALE
 
 
@@ -89,14 +89,12 @@ def _adjusted_native(paired: DataFrame) -> DataFrame:
 
 
 def _adjusted_exact(paired: DataFrame) -> DataFrame:
-    rows = paired.select(
-        "symbol", F.unix_date("date").alias("day"), *PRICES, "newer_dividend", "newer_split_ratio"
-    )
+    newest = F.col("newer_date").isNull().alias("newest")
+    rows = paired.select("symbol", "date", *PRICES, newest, "newer_dividend", "newer_split_ratio")
+    # The window has put each symbol into one partition, in this order; naming the order adds no sort to the plan.
+    ordered = rows.sortWithinPartitions("symbol", F.desc("date"))
     longs = ", ".join(f"{name} bigint" for name in ["adjustment_coefficient", *ADJUSTED])
-    folded = rows.groupBy("symbol").applyInArrow(fold_symbol, f"symbol string, day int, {longs}")
-    return folded.select(
-        "symbol", F.date_from_unix_date("day").alias("date"), "adjustment_coefficient", *ADJUSTED
-    )
+    return ordered.mapInArrow(fold_batches, f"symbol string, date date, {longs}")
 
 
 def adjusted_days(rows: DataFrame, skip_errors: bool = False, exact: bool = True) -> DataFrame:

@@ -1,8 +1,9 @@
-"""The decimal arithmetic of the adjustment, for the rows of one symbol inside a task."""
+"""The decimal arithmetic of the adjustment, over the sorted rows of a partition."""
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from decimal import ROUND_HALF_EVEN, Decimal, localcontext
 
 import numpy as np
@@ -18,11 +19,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DIGITS = 28
 
 
-def _running_coefficients(dividends: np.ndarray, splits: np.ndarray, closes: np.ndarray) -> list[Decimal]:
-    """Coefficient after each event, in order, starting with 1. The inputs hold the event rows only."""
-    running = [Decimal(1)]
-    for dividend, split, close in zip(dividends.tolist(), splits.tolist(), closes.tolist()):
-        value = running[-1]
+def _coefficients(
+    before: Decimal, newest: np.ndarray, dividends: np.ndarray, splits: np.ndarray, closes: np.ndarray
+) -> list[Decimal]:
+    """The coefficient before the first given row and after each. The rows are those where it changes."""
+    running = [before]
+    changes = zip(newest.tolist(), dividends.tolist(), splits.tolist(), closes.tolist())
+    for is_newest, dividend, split, close in changes:
+        value = Decimal(1) if is_newest else running[-1]
         if split != NO_SPLIT:
             value = value * (1 / (Decimal(split) / SCALE))
         if dividend != NO_DIVIDEND:
@@ -31,31 +35,41 @@ def _running_coefficients(dividends: np.ndarray, splits: np.ndarray, closes: np.
     return running
 
 
-def _floor_products(values: np.ndarray, level: np.ndarray, running: list[Decimal]) -> np.ndarray:
-    """``floor(value * coefficient)`` in decimal arithmetic.
+def _floor_products(values: np.ndarray, level: np.ndarray, running: list[Decimal], raw: np.ndarray) -> np.ndarray:
+    """``floor(value * coefficient)`` in decimal arithmetic; ``raw`` marks the rows whose coefficient is 1.
 
     The double product decides every value that is not next to an integer; its relative error is below 2**-51.
     """
     product = values * np.array([float(value) for value in running])[level]
-    result = np.where(level == 0, values, np.floor(product).astype(np.int64))
-    unsure = (np.abs(product - np.rint(product)) <= product * 2.0**-50) & (level > 0)
+    result = np.where(raw, values, np.floor(product).astype(np.int64))
+    unsure = (np.abs(product - np.rint(product)) <= product * 2.0**-50) & ~raw
     for row in np.flatnonzero(unsure):
         result[row] = int(Decimal(int(values[row])) * running[level[row]])
     return result
 
 
-def fold_symbol(table: pa.Table) -> pa.Table:
-    """Adjust the rows of one symbol in decimal arithmetic; Python touches the event rows only."""
-    table = table.sort_by([("day", "descending")])
-    column = {name: table.column(name).to_numpy() for name in table.column_names if name != "symbol"}
-    dividend, split = column["newer_dividend"], column["newer_split_ratio"]
-    events = np.flatnonzero((dividend != NO_DIVIDEND) | (split != NO_SPLIT))
-    # Number of events at or before each row, which is the index of the row's coefficient.
-    level = np.searchsorted(events, np.arange(len(split)), side="right")
-    with localcontext() as context:
-        context.prec, context.rounding = DIGITS, ROUND_HALF_EVEN
-        running = _running_coefficients(dividend[events], split[events], column["close"][events])
-        coefficient = np.array([int(value * SCALE) for value in running], dtype=np.int64)[level]
-        prices = [_floor_products(column[price], level, running) for price in PRICES]
-    data = [table.column("symbol"), table.column("day"), coefficient, *prices]
-    return pa.table(dict(zip(["symbol", "day", "adjustment_coefficient", *ADJUSTED], data)))
+def fold_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adjust rows that come sorted by symbol, newest day first.
+
+    ``newest`` marks the first row of each symbol. Only one coefficient is carried from batch to batch, so no symbol is
+    held in memory, and Python loops over the rows that change the coefficient, not over all.
+    """
+    last = Decimal(1)
+    for batch in batches:
+        column = {
+            name: batch.column(name).to_numpy(zero_copy_only=False)
+            for name in ["newest", "newer_dividend", "newer_split_ratio", *PRICES]
+        }
+        newest, dividend, split = column["newest"], column["newer_dividend"], column["newer_split_ratio"]
+        changes = np.flatnonzero(newest | (dividend != NO_DIVIDEND) | (split != NO_SPLIT))
+        # Number of changes at or before each row, which is the index of the row's coefficient.
+        level = np.searchsorted(changes, np.arange(batch.num_rows), side="right")
+        with localcontext() as context:
+            context.prec, context.rounding = DIGITS, ROUND_HALF_EVEN
+            running = _coefficients(last, newest[changes], dividend[changes], split[changes], column["close"][changes])
+            raw = np.array([value == 1 for value in running])[level]
+            coefficient = np.array([int(value * SCALE) for value in running], dtype=np.int64)[level]
+            prices = [_floor_products(column[price], level, running, raw) for price in PRICES]
+        last = running[-1]
+        data = [batch.column("symbol"), batch.column("date"), coefficient, *prices]
+        yield pa.RecordBatch.from_pydict(dict(zip(["symbol", "date", "adjustment_coefficient", *ADJUSTED], data)))

@@ -90,16 +90,21 @@ class Tables:
 
     def append(self, table: str, rows: DataFrame) -> int:
         """Append rows and return how many there were."""
+        return self._write(table, rows, "append")
+
+    def replace(self, table: str, rows: DataFrame) -> int:
+        """Replace the months that ``rows`` has and return the number of rows.
+
+        The months change when the job commits; a failed job leaves them alone.
+        """
+        return self._write(table, rows, "overwrite", partitionOverwriteMode="dynamic")
+
+    def _write(self, table: str, rows: DataFrame, mode: str, **options: str) -> int:
         seen = Observation()
         # Counted after the layout: the sampling for the range bounds would run a count before it twice.
-        laid = self._laid_out(table, rows).observe(seen, F.count("*").alias("added"))
-        laid.write.mode("append").partitionBy("month").parquet(self.path(table))
-        return seen.get["added"]
-
-    def replace(self, table: str, rows: DataFrame) -> None:
-        """Replace the months that ``rows`` has. They change when the job commits; a failed job leaves them alone."""
-        writer = self._laid_out(table, rows).write.mode("overwrite").partitionBy("month")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+        laid = self._laid_out(table, rows).observe(seen, F.count("*").alias("written"))
+        laid.write.mode(mode).options(**options).partitionBy("month").parquet(self.path(table))
+        return seen.get["written"]
 
     def create_all(self) -> None:
         for table in sorted(TABLES):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pricefold.functions.scalars import month_of
+from pricefold.operators import adjustment
 from pricefold.plans import adjusting, merging, views
 from pricefold.schema import STAGING
 from pricefold.sinks.tables import Tables
@@ -35,6 +36,14 @@ class MergeReport:
     adjustments: int
 
 
+@dataclass(frozen=True)
+class AdjustReport:
+    """Rows adjusted, and dividends left out because they are not below the prior close."""
+
+    adjusted: int
+    bad_dividends: int
+
+
 class PriceStore:
     """Raw and adjusted prices under ``root``, which executors must be able to reach.
 
@@ -100,7 +109,7 @@ class PriceStore:
         batch = self.tables.stage(table, kept, rows.POSITION, partitions, overwrite)
         report = ImportReport(batch, **seen.get)
         if report.rejected:
-            rejects = f"{self.tables.path('rejects')}/{table}/batch={batch}"
+            rejects = self.tables.path(f"rejects/{table}/batch={batch}")
             rows.rejected(typed, table).write.mode("overwrite").parquet(rejects)
         return report
 
@@ -138,11 +147,23 @@ class PriceStore:
 
     # Adjust
 
-    def adjust(self, skip_errors: bool = False, exact: bool = True) -> None:
-        """Recompute all adjusted daily prices; see ``pricefold.operators.adjustment``."""
-        days, actions = self.tables.read("days"), self.tables.read("adjustments")
-        self.tables.replace("days_adjusted", adjusting.adjust(days, actions, skip_errors, exact))
+    def adjust(self, skip_errors: bool = False, exact: bool = True) -> AdjustReport:
+        """Recompute all adjusted daily prices; see ``pricefold.operators.adjustment``.
+
+        With ``skip_errors`` the dividends left out are written to ``rejects/days_adjusted``.
+        """
+        rows = adjusting.with_actions(self.tables.read("days"), self.tables.read("adjustments"))
+        bad = self._write_bad_dividends(rows) if skip_errors else 0
+        adjusted = self.tables.replace("days_adjusted", adjustment.adjusted_days(rows, skip_errors, exact))
         self.create_views()
+        return AdjustReport(adjusted, bad)
+
+    def _write_bad_dividends(self, rows: DataFrame) -> int:
+        seen = Observation()
+        bad = adjustment.bad_dividends(adjustment.with_newer_event(rows)).observe(seen, F.count("*").alias("bad"))
+        found = bad.select("symbol", "date", "newer_date", "newer_dividend", "close")
+        found.write.mode("overwrite").parquet(self.tables.path("rejects/days_adjusted"))
+        return seen.get["bad"]
 
     # Read
 

@@ -65,6 +65,14 @@ def test_exact_equals_the_decimal_fold(spark, many):
     assert adjusted(spark, many) == expected_rows(many)
 
 
+def test_exact_does_not_depend_on_batches(spark, many):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert adjusted(spark, many) == expected_rows(many)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_double_is_within_one_unit(spark, many):
     found, expected = adjusted(spark, many, exact=False), expected_rows(many)
     assert [row[:2] for row in found] == [row[:2] for row in expected]

@@ -209,7 +209,10 @@ def test_failed_adjust_leaves_the_old_prices(store, write):
         with pytest.raises(Exception, match="dividend not below the prior close: symbol X, close of 2020-01-03"):
             store.adjust(exact=exact)
         assert collected(store.tables.read("days_adjusted"), "*") == before
-        store.adjust(skip_errors=True, exact=exact)
+        report = store.adjust(skip_errors=True, exact=exact)
+        assert (report.adjusted, report.bad_dividends) == (4, 1)
+        rejects = store.spark.read.parquet(store.tables.path("rejects/days_adjusted"))
+        assert collected(rejects, "date", "newer_date", "newer_dividend") == [(date(2020, 1, 3), date(2020, 2, 4), 160000)]
         before = collected(store.tables.read("days_adjusted"), "*")
         assert [row[2] for row in before] == [10000, 10000, 20000, 10000]
 

@@ -165,8 +165,7 @@ def _adjusted_before_2001(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     """All daily bars, and the adjusted ones of a run made before the bars of 2001 came in."""
     every = feeds.line_bars(spark, sf_dir)
     before = every.where(F.col("date") < F.lit("2001-01-01").cast("date"))
-    adjusted = adjusting.adjust(feeds.days_of(before), feeds.actions_of(before), exact=False)
-    return feeds.days_of(every), adjusted
+    return feeds.days_of(every), adjustment.adjusted_days(before, exact=False)
 
 
 def days_view(spark: SparkSession, sf_dir: str) -> DataFrame:
