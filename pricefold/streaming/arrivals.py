@@ -36,7 +36,8 @@ def import_arrived_minutes(
     """Import the minute files that are new in ``landing``; each file's name gives its symbol.
 
     Returns one report per micro-batch once all files there have been imported. A batch that is run again after a
-    failure may stage rows twice; merging keeps one row per key.
+    failure may stage rows twice; merging keeps one row per key. After a reset of the store give a new checkpoint, since
+    the old one still counts the files as imported.
     """
     reports: list[ImportReport] = []
 

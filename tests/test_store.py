@@ -7,6 +7,8 @@ from decimal import Decimal
 
 import pytest
 
+from pricefold.sources import csv_files, rows
+
 DAYS = "ticker,date,open,high,low,close,volume,ex-dividend,split_ratio,adj_open,adj_high,adj_low,adj_close,adj_volume"
 ACTIONS = "Date(ex),RegularDividend$,Split"
 
@@ -28,9 +30,9 @@ def collected(frame, *names):
 
 
 def test_days_from_file_to_lookup(store, write):
-    rows = [*GOLDEN, day("Y", "2020-01-03", 10, 11, 9, 10)]
-    rows[1] = day("X", "2020-01-02", 31, 33, 30, 32, dividend="0.3")
-    report = store.import_days(write("days.csv", DAYS, *rows))
+    lines = [*GOLDEN, day("Y", "2020-01-03", 10, 11, 9, 10)]
+    lines[1] = day("X", "2020-01-02", 31, 33, 30, 32, dividend="0.3")
+    report = store.import_days(write("days.csv", DAYS, *lines))
     assert (report.accepted, report.rejected, report.too_old) == (5, 0, 0)
     merged = store.merge()
     assert (merged.minutes, merged.days, merged.adjustments) == (0, 5, 2)
@@ -198,6 +200,33 @@ def test_offset_counts_in_file_order_across_splits(spark, store, write):
         spark.conf.unset("spark.sql.files.minPartitionNum")
 
 
+def test_offset_counts_each_file_by_itself(spark, write, tmp_path):
+    for name in ("a", "b"):
+        write(f"in/{name}.csv", *[f"2020-01-0{day} 10:00:00,3,1,2,2,0,0" for day in range(1, 6)], "bad")
+    typed = rows.type_minutes(csv_files.read_minutes(spark, str(tmp_path / "in")))
+    good = rows.accepted(typed, "minutes_import", skip_errors=True)
+    for max_blocks in (0, 100):
+        kept = rows.from_offset(good, 4, max_blocks=max_blocks)
+        assert collected(kept, "symbol", "date") == [
+            (symbol, datetime(2020, 1, day, 10)) for symbol in ("A", "B") for day in (4, 5)
+        ]
+    plan = rows.from_offset(good, 4, max_blocks=0)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_nothing_to_do(store, write):
+    assert store.import_minutes(write("empty.csv"), "X").accepted == 0
+    report = store.import_minutes(write("bad.csv", "x,y", "z"), "X", skip_errors=True)
+    assert (report.accepted, report.rejected) == (0, 2)
+    assert store.import_days(write("header.csv", DAYS)).accepted == 0
+    merged = store.merge()
+    assert (merged.minutes, merged.days, merged.adjustments) == (0, 0, 0)
+    for skip in (False, True):
+        for exact in (False, True):
+            assert store.adjust(skip_errors=skip, exact=exact).adjusted == 0
+    assert store.get_minute("X", "2020-01-01 00:00:00").collect() == []
+
+
 def test_failed_adjust_leaves_the_old_prices(store, write):
     store.import_days(write("days.csv", DAYS, *GOLDEN))
     store.merge()
