@@ -36,7 +36,7 @@ def main() -> None:
     }
     spark.stop()
     result = {"metric": "total query time", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times}
-    print(json.dumps(result | {"sf": Path(sf_dir).name.removeprefix("sf")}))
+    print(json.dumps(result | {"sf": float(Path(sf_dir).name.removeprefix("sf"))}))
 
 
 if __name__ == "__main__":

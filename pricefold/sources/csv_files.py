@@ -20,15 +20,16 @@ MINUTE_SCHEMA = ", ".join(f"{name} string" for name in MINUTE_FIELDS)
 _SYMBOL_IN_NAME = r"^(.*?)(?:\.[^.]*)?$"
 
 
-def _origin() -> dict[str, Column]:
-    return {FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start")}
+def _origin() -> list[Column]:
+    return [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
 
 
 def _symbol(symbol: str | None, name_pattern: str) -> Column:
     """The given symbol, or the part of each file's name that the pattern's group takes, in upper case."""
-    if symbol is not None:
-        return F.lit(symbol.upper())
-    return F.upper(F.regexp_extract("_metadata.file_name", name_pattern, 1))
+    # The file name comes percent-encoded, and decoding would take a plus sign for a blank.
+    file_name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    named = F.lit(symbol) if symbol is not None else F.regexp_extract(file_name, name_pattern, 1)
+    return F.upper(named).alias("symbol")
 
 
 def _reader(spark: SparkSession):
@@ -38,31 +39,24 @@ def _reader(spark: SparkSession):
 
 def read_days(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = _reader(spark).option("header", True).csv(path)
-    return rows.select(*[F.col(f"`{name}`") for name in DAY_FIELDS], *_named(_origin()))
+    return rows.select(*[F.col(f"`{name}`") for name in DAY_FIELDS], *_origin())
 
 
 def read_minutes(
     spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = _SYMBOL_IN_NAME
 ) -> DataFrame:
     rows = spark.read.option("escape", '"').schema(MINUTE_SCHEMA).csv(path)
-    symbols = _symbol(symbol, name_pattern).alias("symbol")
-    return rows.select(symbols, *MINUTE_FIELDS, *_named(_origin()))
+    return rows.select(_symbol(symbol, name_pattern), *MINUTE_FIELDS, *_origin())
 
 
 def minute_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
     """The minute files that arrive in a directory, as a stream."""
     reader = spark.readStream.option("escape", '"').option("maxFilesPerTrigger", files_per_batch)
-    symbols = _symbol(None, _SYMBOL_IN_NAME).alias("symbol")
-    return reader.schema(MINUTE_SCHEMA).csv(path).select(symbols, *MINUTE_FIELDS, *_named(_origin()))
+    return reader.schema(MINUTE_SCHEMA).csv(path).select(_symbol(None, _SYMBOL_IN_NAME), *MINUTE_FIELDS, *_origin())
 
 
 def read_adjustments(
     spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = _SYMBOL_IN_NAME
 ) -> DataFrame:
     rows = _reader(spark).option("header", True).csv(path)
-    symbols = _symbol(symbol, name_pattern).alias("symbol")
-    return rows.select(symbols, *[F.col(f"`{name}`") for name in ACTION_FIELDS], *_named(_origin()))
-
-
-def _named(columns: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
+    return rows.select(_symbol(symbol, name_pattern), *[F.col(f"`{name}`") for name in ACTION_FIELDS], *_origin())

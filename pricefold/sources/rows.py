@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricefold.functions.scalars import parsed_date, parsed_time, scaled, scaled_reciprocal
-from pricefold.schema import KEY, MINIMUM_DATE, PRICES, columns
+from pricefold.schema import MINIMUM_DATE, PRICES, columns
 from pricefold.sources.csv_files import ACTION_FIELDS, BLOCK, DAY_FIELDS, FILE, MINUTE_FIELDS
 
 RAW, POSITION = "_raw", "_position"

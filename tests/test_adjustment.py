@@ -11,7 +11,8 @@ import pytest
 from pricefold.operators import adjustment
 from pricefold.plans import adjusting
 
-SCHEMA = "symbol string, date date, open bigint, high bigint, low bigint, close bigint, dividend bigint, split_ratio bigint"
+BARS = "symbol string, date date, open bigint, high bigint, low bigint, close bigint"
+SCHEMA = f"{BARS}, dividend bigint, split_ratio bigint"
 FIRST = date(1990, 1, 1)
 
 
@@ -23,7 +24,8 @@ def history(symbol, generator, days, event_share=0.2):
         if generator.random() < event_share:
             dividend = generator.choice([0, generator.randrange(1, 9000)])
             split = generator.choice([10000, 20000, 30000, 70000, 15000, 3730, 1000, 12500, 60000, 5000])
-        rows.append((symbol, FIRST + timedelta(days=day), price, price + 777, price - 333, price + 111, dividend, split))
+        prices = (price, price + 777, price - 333, price + 111)
+        rows.append((symbol, FIRST + timedelta(days=day), *prices, dividend, split))
     return rows
 
 
@@ -135,8 +137,9 @@ def test_known_first_trading_days(spark):
 
 
 def test_an_action_on_a_day_without_bar_has_no_effect(spark):
-    days = spark.createDataFrame([("a", FIRST, 5, 5, 5, 5)], SCHEMA.split(", dividend")[0])
-    actions = spark.createDataFrame([("a", date(1990, 1, 2), 3, 20000)], "symbol string, date date, dividend bigint, split_ratio bigint")
+    days = spark.createDataFrame([("a", FIRST, 5, 5, 5, 5)], BARS)
+    columns = "symbol string, date date, dividend bigint, split_ratio bigint"
+    actions = spark.createDataFrame([("a", date(1990, 1, 2), 3, 20000)], columns)
     assert adjusting.adjust(days, actions).first()["adjusted_open"] == 5
 
 

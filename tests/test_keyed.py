@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from pricefold.operators import bars, keyed
+from pricefold.schema import PRICES
 
 
 def collected(frame, *names):
@@ -15,7 +16,8 @@ def collected(frame, *names):
 
 def test_latest_per_key_with_a_hot_key(spark):
     generator = random.Random(7)
-    rows = [("hot" if generator.random() < 0.4 else f"s{generator.randrange(50)}", n % 3, n, n * 7 % 11) for n in range(3000)]
+    symbols = ["hot" if generator.random() < 0.4 else f"s{generator.randrange(50)}" for _ in range(3000)]
+    rows = [(symbol, n % 3, n, n * 7 % 11) for n, symbol in enumerate(symbols)]
     generator.shuffle(rows)
     frame = spark.createDataFrame(rows, "symbol string, date int, _seq bigint, open bigint").repartition(6)
     expected = {}
@@ -42,7 +44,8 @@ def test_first_source_and_new_keys(spark):
     merged = keyed.first_source([first, second], ["symbol", "date"])
     assert collected(merged, "symbol", "open") == [("a", 10), ("b", 20), ("c", 31)]
     assert collected(keyed.new_keys(merged, second, ["symbol", "date"]), "symbol") == [("b",)]
-    assert collected(keyed.new_keys(merged, first.where("false"), ["symbol", "date"]), "symbol") == [("a",), ("b",), ("c",)]
+    nothing = first.where("false")
+    assert collected(keyed.new_keys(merged, nothing, ["symbol", "date"]), "symbol") == [("a",), ("b",), ("c",)]
 
 
 def test_new_keys_never_nests_loops(spark):
@@ -68,12 +71,14 @@ def test_day_bars(spark):
                 rows.append((symbol, f"2020-01-0{day}", f"2020-01-0{day} {minute // 60:02}:{minute % 60:02}:00",
                              price, price + 5, price - 5, price + 1))
     generator.shuffle(rows)
-    text = spark.createDataFrame(rows, "symbol string, day string, date string, open bigint, high bigint, low bigint, close bigint")
+    longs = ", ".join(f"{price} bigint" for price in PRICES)
+    text = spark.createDataFrame(rows, f"symbol string, day string, date string, {longs}")
     frame = text.withColumns({"day": F.col("day").cast("date"), "date": F.col("date").cast("timestamp_ntz")})
     expected = []
     for symbol in ("a", "b"):
         for day in ("2020-01-01", "2020-01-02"):
             own = sorted((row for row in rows if row[:2] == (symbol, day)), key=lambda row: row[2])
-            expected.append((symbol, day, own[0][3], max(row[4] for row in own), min(row[5] for row in own), own[-1][6]))
+            highs, lows = [row[4] for row in own], [row[5] for row in own]
+            expected.append((symbol, day, own[0][3], max(highs), min(lows), own[-1][6]))
     found = bars.day_bars(frame.repartition(5)).withColumn("date", F.col("date").cast("string"))
     assert collected(found, "symbol", "date", "open", "high", "low", "close") == sorted(expected)

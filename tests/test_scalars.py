@@ -53,13 +53,14 @@ def test_descaled(spark):
 def test_dates(spark):
     good = ["1980-12-12", "1980-1-2", "0001-01-01"]
     assert applied(spark, scalars.parsed_date, good) == [date(1980, 12, 12), date(1980, 1, 2), date(1, 1, 1)]
-    bad = ["80-1-2", "1980/1/2", "1980-13-01", "1981-02-29", "1980-01-02 ", "1980-01-02T00:00:00", "", "19800-1-1", None]
+    bad = ["80-1-2", "1980/1/2", "1980-13-01", "1981-02-29", "1980-01-02 ", "1980-01-02T00:00:00", "", "19800-1-1"]
     assert applied(spark, scalars.parsed_date, bad) == [None] * len(bad)
 
     def dotted(value):
         return scalars.parsed_date(value, separator=".")
 
-    assert applied(spark, dotted, ["2014.6.9", "2014.06.09", "2014-06-09", "14.6.9"]) == [date(2014, 6, 9)] * 2 + [None] * 2
+    day = date(2014, 6, 9)
+    assert applied(spark, dotted, ["2014.6.9", "2014.06.09", "2014-06-09", "14.6.9", None]) == [day, day] + [None] * 3
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
