@@ -1,8 +1,8 @@
 """Parquet tables of a store directory.
 
 Staging tables: one directory per import (``batch=N``), so repeating a failed import replaces its own files only.
-Keyed tables: one directory per month, files sorted by symbol and date, so a lookup prunes to a month and, by the
-row-group statistics, to a few row groups.
+Keyed tables: one directory per month, files sorted by symbol and date, so a lookup reads one month and, by the
+row-group statistics, a few row groups of it.
 """
 
 from __future__ import annotations
@@ -82,11 +82,17 @@ class Tables:
         return batch
 
     def _laid_out(self, table: str, rows: DataFrame) -> DataFrame:
-        """Range partitions over (month, symbol, date): few files per month, even when one symbol holds most rows."""
+        """Few files per month, sorted by symbol and date.
+
+        A month of minutes takes many files. Range partitions give each its own stretch of symbols, so a lookup opens
+        one, and cut a symbol that holds most rows by date; the price is that the bounds are sampled from a second run
+        of the last stage. A month of days is small, and the rebalancing splits it by size where it is not.
+        """
         keys = ["month", "symbol", "date"]
         day = "day" if "day" in columns(table) else "date"
-        laid = rows.select(*columns(table), month_of(day).alias("month"))
-        return laid.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        rows = rows.select(*columns(table), month_of(day).alias("month"))
+        laid = rows.repartitionByRange(*keys) if table == "minutes" else rows.hint("rebalance", "month")
+        return laid.sortWithinPartitions(*keys)
 
     def append(self, table: str, rows: DataFrame) -> int:
         """Append rows and return how many there were."""
@@ -101,7 +107,7 @@ class Tables:
 
     def _write(self, table: str, rows: DataFrame, mode: str, **options: str) -> int:
         seen = Observation()
-        # Counted after the layout: the sampling for the range bounds would run a count before it twice.
+        # Counted after the layout, since a count before it would also see the rows of the sampling run.
         laid = self._laid_out(table, rows).observe(seen, F.count("*").alias("written"))
         laid.write.mode(mode).options(**options).partitionBy("month").parquet(self.path(table))
         return seen.get["written"]

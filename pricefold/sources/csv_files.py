@@ -17,7 +17,8 @@ ACTION_FIELDS = ["Date(ex)", "RegularDividend$", "Split"]
 
 FILE, BLOCK = "_file", "_block"
 MINUTE_SCHEMA = ", ".join(f"{name} string" for name in MINUTE_FIELDS)
-_SYMBOL_IN_NAME = r"^(.*?)(?:\.[^.]*)?$"
+# The file name without its extension.
+SYMBOL_IN_NAME = r"^(.*?)(?:\.[^.]*)?$"
 
 
 def _origin() -> list[Column]:
@@ -43,7 +44,7 @@ def read_days(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_minutes(
-    spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = _SYMBOL_IN_NAME
+    spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME
 ) -> DataFrame:
     rows = spark.read.option("escape", '"').schema(MINUTE_SCHEMA).csv(path)
     return rows.select(_symbol(symbol, name_pattern), *MINUTE_FIELDS, *_origin())
@@ -52,11 +53,11 @@ def read_minutes(
 def minute_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
     """The minute files that arrive in a directory, as a stream."""
     reader = spark.readStream.option("escape", '"').option("maxFilesPerTrigger", files_per_batch)
-    return reader.schema(MINUTE_SCHEMA).csv(path).select(_symbol(None, _SYMBOL_IN_NAME), *MINUTE_FIELDS, *_origin())
+    return reader.schema(MINUTE_SCHEMA).csv(path).select(_symbol(None, SYMBOL_IN_NAME), *MINUTE_FIELDS, *_origin())
 
 
 def read_adjustments(
-    spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = _SYMBOL_IN_NAME
+    spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME
 ) -> DataFrame:
     rows = _reader(spark).option("header", True).csv(path)
     return rows.select(_symbol(symbol, name_pattern), *[F.col(f"`{name}`") for name in ACTION_FIELDS], *_origin())

@@ -15,6 +15,7 @@ from pricefold.plans import adjusting, merging, views
 from pricefold.schema import STAGING
 from pricefold.sinks.tables import Tables
 from pricefold.sources import csv_files, rows
+from pricefold.sources.csv_files import SYMBOL_IN_NAME
 
 
 @dataclass(frozen=True)
@@ -74,13 +75,22 @@ class PriceStore:
         """Import daily bars with their dividends and split ratios. For the options see ``stage``."""
         return self.stage("days_import", csv_files.read_days(self.spark, path), **options)
 
-    def import_minutes(self, path: str | list[str], symbol: str | None = None, **options) -> ImportReport:
-        """Import minute bars of one symbol; without one, each file's name gives its symbol."""
-        return self.stage("minutes_import", csv_files.read_minutes(self.spark, path, symbol), **options)
+    def import_minutes(
+        self, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME, **options
+    ) -> ImportReport:
+        """Import minute bars of one symbol; without one, the group of ``name_pattern`` in each file's name is it.
+
+        Rows of different files in one import have no order among them.
+        """
+        text = csv_files.read_minutes(self.spark, path, symbol, name_pattern)
+        return self.stage("minutes_import", text, **options)
 
-    def import_adjustments(self, path: str | list[str], symbol: str | None = None, **options) -> ImportReport:
-        """Import dividends and splits of one symbol; without one, each file's name gives its symbol."""
-        return self.stage("adjustments_import", csv_files.read_adjustments(self.spark, path, symbol), **options)
+    def import_adjustments(
+        self, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME, **options
+    ) -> ImportReport:
+        """Import dividends and splits, with the symbol as in ``import_minutes``."""
+        text = csv_files.read_adjustments(self.spark, path, symbol, name_pattern)
+        return self.stage("adjustments_import", text, **options)
 
     def stage(
         self,
