@@ -13,6 +13,7 @@ from pricefold.functions.scalars import month_of
 from pricefold.operators import adjustment
 from pricefold.plans import adjusting, merging, views
 from pricefold.schema import STAGING
+from pricefold.session import shuffles_sized_for
 from pricefold.sinks.tables import Tables
 from pricefold.sources import csv_files, rows
 from pricefold.sources.csv_files import SYMBOL_IN_NAME
@@ -135,19 +136,24 @@ class PriceStore:
         minutes_staged, days_staged, actions_staged = (
             self.tables.read(table).where(F.col("batch") > (since or {}).get(table, 0)) for table in STAGING
         )
-        minute_months = self._months(minutes_staged)
+        with shuffles_sized_for(minutes_staged, days_staged, actions_staged):
+            report = self._merge(minutes_staged, days_staged, actions_staged, rescan)
+        self.create_views()
+        return report
+
+    def _merge(
+        self, minutes_staged: DataFrame, days_staged: DataFrame, actions_staged: DataFrame, rescan: bool
+    ) -> MergeReport:
+        minute_months, day_months = self._months(minutes_staged), self._months(days_staged)
         existing = self.tables.read("minutes", minute_months)
         minutes = self.tables.append("minutes", merging.minutes_delta(minutes_staged, existing))
 
         rolled = self.tables.read("minutes", None if rescan else minute_months)
-        months = None if rescan else minute_months | self._months(days_staged)
-        existing = self.tables.read("days", months)
+        existing = self.tables.read("days", None if rescan else minute_months | day_months)
         days = self.tables.append("days", merging.days_delta(rolled, days_staged, existing))
 
-        months = self._months(days_staged) | self._months(actions_staged)
-        existing = self.tables.read("adjustments", months)
+        existing = self.tables.read("adjustments", day_months | self._months(actions_staged))
         actions = self.tables.append("adjustments", merging.actions_delta(days_staged, actions_staged, existing))
-        self.create_views()
         return MergeReport(minutes, days, actions)
 
     def _months(self, staged: DataFrame) -> set[date]:
@@ -162,9 +168,11 @@ class PriceStore:
 
         With ``skip_errors`` the dividends left out are written to ``rejects/days_adjusted``.
         """
-        rows = adjusting.with_actions(self.tables.read("days"), self.tables.read("adjustments"))
-        bad = self._write_bad_dividends(rows) if skip_errors else 0
-        adjusted = self.tables.replace("days_adjusted", adjustment.adjusted_days(rows, skip_errors, exact))
+        days, actions = self.tables.read("days"), self.tables.read("adjustments")
+        rows = adjusting.with_actions(days, actions)
+        with shuffles_sized_for(days, actions):
+            bad = self._write_bad_dividends(rows) if skip_errors else 0
+            adjusted = self.tables.replace("days_adjusted", adjustment.adjusted_days(rows, skip_errors, exact))
         self.create_views()
         return AdjustReport(adjusted, bad)
 
