@@ -11,7 +11,6 @@ import re
 from collections.abc import Collection
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +20,8 @@ from pricefold.schema import STAGING, TABLES, columns, stored
 # Row numbers of a scan partition take the low bits of a position, the partition number the bits above them.
 _POSITION_BITS = 33
 _MAX_PARTITIONS = 2 ** (63 - _POSITION_BITS)
+# A month before the minimum date, kept as an empty directory: a read by month then always finds a path.
+_EMPTY_MONTH = date(1969, 12, 1)
 
 
 class Tables:
@@ -40,21 +41,16 @@ class Tables:
         reader = self.spark.read.schema(stored(table)).option("basePath", self.path(table))
         if months is None:
             return reader.parquet(self.path(table))
-        if not months:
-            return self.spark.createDataFrame([], stored(table))
-        names = ",".join(f"month={month.isoformat()}" for month in sorted(months))
-        try:
-            return reader.parquet(f"{self.path(table)}/{{{names}}}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], stored(table))
+        names = ",".join(f"month={month.isoformat()}" for month in sorted({_EMPTY_MONTH, *months}))
+        return reader.parquet(f"{self.path(table)}/{{{names}}}")
 
     def create(self, table: str) -> None:
         """Create the table empty, dropping its rows if it exists."""
         partition = "batch" if table in STAGING else "month"
         empty = self.spark.createDataFrame([], stored(table))
         empty.write.mode("overwrite").partitionBy(partition).parquet(self.path(table))
+        if partition == "month":
+            empty.drop("month").write.parquet(f"{self.path(table)}/month={_EMPTY_MONTH.isoformat()}")
 
     def last_batch(self, table: str) -> int:
         batches = [re.search(r"/batch=(\d+)/", name) for name in self.read(table).inputFiles()]
