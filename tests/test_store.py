@@ -175,6 +175,14 @@ def test_columns_are_found_by_name(store, write):
     assert collected(store.tables.read("days_import"), *names) == [("q", 10000, 20000, 30000, 40000, 5000, 20000)]
 
 
+def test_files_of_one_import_must_agree_on_their_header(store, write, tmp_path):
+    write("in/a.csv", "ticker,date,open,high,low,close,ex-dividend,split_ratio", "a,2020-01-01,1,2,3,4,0,1")
+    write("in/b.csv", "ticker,date,close,high,low,open,ex-dividend,split_ratio", "b,2020-01-01,1,2,3,4,0,1")
+    with pytest.raises(Exception, match="CSV header does not conform|header"):
+        store.import_days(str(tmp_path / "in"))
+    assert store.tables.read("days_import").count() == 0
+
+
 def test_minimum_date_and_offset(store, write):
     dates = ["1969-12-31", "1970-01-01", "1970-01-02", "1970-01-03", "1970-01-04", "1970-01-05"]
     path = write("old.csv", DAYS, *[day("X", when, 1, 1, 1, 1) for when in dates])

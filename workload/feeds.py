@@ -149,6 +149,11 @@ def order_actions(spark: SparkSession, sf_dir: str, *statuses: str) -> DataFrame
 # File text. Lines are built with to_csv and taken apart with from_csv, as the file reader would.
 
 
+def _short_date(day: Column, separator: str = "-") -> Column:
+    """Year, month and day without leading zeros."""
+    return F.concat_ws(separator, F.year(day), F.month(day), F.dayofmonth(day))
+
+
 def _through_csv(frame: DataFrame, names: list[str], schema: str, *kept: str) -> DataFrame:
     fields = F.struct(*[F.col(f"`{name}`").cast("string") for name in names])
     lines = frame.select(F.to_csv(fields).alias("line"), *kept)
@@ -167,7 +172,7 @@ def day_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _day_lines(
         lines.select(
             F.concat(F.lit("S"), "l_suppkey").alias("ticker"),
-            F.date_format(F.col("l_shipdate").cast("date"), "yyyy-M-d").alias("date"),
+            _short_date(F.col("l_shipdate")).alias("date"),
             price.alias("open"),
             F.concat(price.cast("string"), F.lit("129999999999")).alias("high"),
             F.concat(F.lit(" "), price.cast("string"), F.lit("e-1")).alias("low"),
@@ -203,7 +208,7 @@ def minute_text(spark: SparkSession, sf_dir: str, spoiled: bool = False) -> Data
         BLOCK,
         "event_type",
         F.concat(F.lit("u"), "user_id").alias("symbol"),
-        F.date_format(F.col("ts").cast("date"), "yyyy-M-d").alias("_day"),
+        _short_date(F.col("ts")).alias("_day"),
         F.concat_ws(":", F.hour("ts"), F.minute("ts"), F.lit("0")).alias("_time"),
         F.col("value").cast("decimal(12,2)").alias("price"),
         "event_id",
@@ -228,7 +233,7 @@ def action_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     when = F.date_add(F.lit("2000-01-01").cast("date"), (F.col("p_partkey") % 5000).cast("int"))
     lines = parts.select(
         F.concat(F.lit("p"), "p_partkey").alias("symbol"),
-        F.date_format(when, "yyyy.M.d").alias("Date(ex)"),
+        _short_date(when, ".").alias("Date(ex)"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("RegularDividend$"),
         (F.col("p_size") / F.lit(100)).cast("decimal(6,2)").alias("Split"),
     )
