@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import token_counts, token_files
+from pricefold.llm import ring, token_counts, token_files, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 END_ID = 2
+SHARDS = 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op4_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.sharded(table(spark, sf_dir, "documents"), shards=SHARDS)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files.token_files(docs, public_tokenizers.path(TOKENIZER), END_ID)
@@ -36,5 +45,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_warc": op2_warc,
+    "op4_ring": op4_ring,
     "op5_token_files": op5_token_files,
 }
