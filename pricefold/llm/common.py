@@ -36,11 +36,6 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
-def renamed_apart(frame: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns; whatever else the table has cannot clash with what an operator adds."""
-    return frame.select(*[F.col(f"`{name}`") for name in columns])
-
-
 def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system of a path or URI, as tasks reach it, and the path in it."""
     if path.startswith("file:"):
@@ -62,3 +57,17 @@ def written_whole(path: str) -> Iterator[pyarrow.NativeFile]:
 def one_row_a_task(files: DataFrame) -> DataFrame:
     """Deal the rows of a table of files to as many tasks as there are files."""
     return files.repartition(max(1, files.count()))
+
+
+def located(rows: DataFrame, intervals: DataFrame, place: str, bits: int, small: bool) -> DataFrame:
+    """Give each row the columns of the interval (``low`` up to but not with ``high``) that its ``place`` falls into.
+
+    Places are below ``2**bits``. Both sides meet on the high bits first, so this is an equality join with few
+    candidates a row. ``small`` says that the intervals have a proven bound and may be broadcast.
+    """
+    shift = bits - min(bits, 12)
+    buckets = F.sequence(F.shiftright("low", shift), F.shiftright(F.col("high") - 1, shift))
+    coarse = intervals.where("low < high").withColumn("_bucket", F.explode(buckets))
+    rows = rows.withColumn("_bucket", F.shiftright(place, shift))
+    found = rows.join(F.broadcast(coarse) if small else coarse, "_bucket")
+    return found.where((F.col(place) >= F.col("low")) & (F.col(place) < F.col("high"))).drop("_bucket", "low", "high")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import ring, token_counts, token_files, warc
+from pricefold.llm import contamination, mixing, ring, token_counts, token_files, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -43,9 +43,20 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(docs, public_tokenizers.path(TOKENIZER), END_ID)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).drop("seen")
+
+
+def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination.contaminated(docs, benchmark).drop("seen")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
     "op4_ring": op4_ring,
     "op5_token_files": op5_token_files,
+    "op6_mixing": op6_mixing,
+    "op7_contamination": op7_contamination,
 }

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricefold.llm.common import located
+
 _BITS = 52
-# Arcs are looked up by the high bits of the hash first.
-_COARSE = 12
 # A hash that many rows share is counted in so many parts.
 _PARTS = 64
 
@@ -50,16 +50,6 @@ def arcs(spark: SparkSession, shards: int, nodes: int) -> DataFrame:
     )
 
 
-def _located(rows: DataFrame, ring: DataFrame) -> DataFrame:
-    """Give each row the arc of its ``place``; the ring is broadcast, its size is fixed by the parameters."""
-    shift = _BITS - _COARSE
-    buckets = F.sequence(F.shiftright("low", shift), F.shiftright(F.col("high") - 1, shift))
-    coarse = ring.select("arc", "low", "high", F.explode(buckets).alias("_bucket"))
-    rows = rows.withColumn("_bucket", F.shiftright("place", shift))
-    found = rows.join(F.broadcast(coarse), "_bucket").where("place >= low and place < high")
-    return found.drop("_bucket", "low", "high")
-
-
 def segments(counts: DataFrame, ring: DataFrame, shards: int) -> DataFrame:
     """Which stretch of an arc's rows goes to which shard: arc, low, high, shard, slot of the first.
 
@@ -161,7 +151,8 @@ def sharded(docs: DataFrame, shards: int = 40, nodes: int = 128, id_column: str
         _place("doc_id").alias("place"),
         F.monotonically_increasing_id().alias("seen"),
     )
-    rows = _located(rows, ring).withColumn("part", F.pmod(F.shiftright("seen", 33), F.lit(_PARTS)))
+    # The size of the ring is fixed by the parameters.
+    rows = located(rows, ring, "place", _BITS, small=True).withColumn("part", F.pmod(F.shiftright("seen", 33), F.lit(_PARTS)))
     rows = rows.checkpoint()
     counts = rows.groupBy("arc", "part").agg(F.count("*").alias("rows"))
     dealt = F.broadcast(segments(counts.groupBy("arc").agg(F.sum("rows").alias("rows")), ring, shards))
