@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import contamination, mixing, near_duplicates, ring, token_counts, token_files, warc
+from pricefold.llm import contamination, cover_tree, mixing, near_duplicates, ring, token_counts, token_files, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -52,6 +52,10 @@ def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(docs, benchmark).drop("seen")
 
 
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("seen")
 
@@ -63,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
     "op7_contamination": op7_contamination,
+    "op9_cover_tree": op9_cover_tree,
     "op10_near_duplicates": op10_near_duplicates,
 }
