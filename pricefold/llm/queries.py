@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricefold.llm import contamination, cover_tree, mixing, near_duplicates, ring, token_counts, token_files, warc
+from pricefold.llm import (
+    contamination,
+    cover_tree,
+    mixing,
+    near_duplicates,
+    personal_data,
+    ring,
+    token_counts,
+    token_files,
+    warc,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -52,6 +62,14 @@ def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(docs, benchmark).drop("seen")
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), *[f"n_{kind}" for kind in personal_data.KINDS],
+        F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+    )
+
+
 def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.linked_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -67,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
     "op7_contamination": op7_contamination,
+    "op8_personal_data": op8_personal_data,
     "op9_cover_tree": op9_cover_tree,
     "op10_near_duplicates": op10_near_duplicates,
 }
