@@ -250,12 +250,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity
 def near_duplicates(
     docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row for each row of ``docs``: seen, doc_id, n_shingles, component_id, kept.
+    """One row for each row of ``docs``: seen, doc_id, n_shingles, component_id, kept, group.
 
     Documents whose sets of five-word shingles have ``100 * common >= similarity * all`` are linked. ``component_id`` is
     the smallest id that a document reaches by links; ``kept`` marks the documents that have it. Documents without words
     are linked with nothing. Rows of one id are documents of their own; a row without an id links like others and gives
-    its component no id, so a component of such rows only has a null id and none kept.
+    its component no id, so a component of such rows only has a null id and none kept. ``seen`` numbers the rows in the
+    order of the stored table and ``group`` is the smallest of a component's numbers.
 
     1. Documents with equal sets are one class, found by an aggregation; only one of them goes on.
     2. Each class is compared with the smallest class under each of its keys, and confirmed links give components.
@@ -292,12 +293,13 @@ def near_duplicates(
 
     least = _with_roots(classes, roots)
     named = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = least.join(named, "root").select(F.col("digest").alias("_digest"), "component_id")
+    named = least.join(named, "root").select(F.col("digest").alias("_digest"), "component_id", "root")
     result = found.join(named, F.col("digest") == F.col("_digest"), "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select(
         "seen", "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+        F.coalesce("root", "seen").alias("group"),
     )
 
 

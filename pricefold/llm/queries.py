@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pricefold.llm import (
     contamination,
     cover_tree,
+    language,
     mixing,
     near_duplicates,
     personal_data,
@@ -44,6 +45,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return language.identified(docs).select("doc_id", F.col("lang").alias("declared"), "identified.*")
+
+
 def op4_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.sharded(table(spark, sf_dir, "documents"), shards=SHARDS)
 
@@ -75,12 +81,13 @@ def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("seen")
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("seen", "group")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
+    "op3_language": op3_language,
     "op4_ring": op4_ring,
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
