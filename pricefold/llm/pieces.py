@@ -1,12 +1,14 @@
 """Byte-level BPE over the pieces that the tokenizer's split pattern makes, which no token crosses.
 
-What a piece gives is remembered for the length of a task, since most words come again.
+What a piece gives is remembered from task to task, since most words come again.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 from collections.abc import Callable
 
 import ahocorasick
@@ -19,7 +21,7 @@ _OTHER = re.compile(r"[^ -&(-~\nÀ-ÖØ-öø-ÿ]")
 # The split pattern for such texts without two white spaces in a row.
 _SIMPLE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-/:-@[-`{-~]+|\s")
 _CUT = re.compile(r"(?<=[!-~]) (?=[!-~])")
-_MOST_REMEMBERED = 600_000
+_MOST_REMEMBERED = 500_000
 
 
 def plain_pieces(text: str) -> list[str] | None:
@@ -36,22 +38,33 @@ def cut(text: str) -> list[str]:
 
 
 class Remembered(dict):
-    """What ``make`` gives for a key, kept until there are too many."""
+    """What ``make`` gives for a key. When there are too many, those not asked for since the last time go."""
 
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
         self.make = make
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
         if len(self) >= _MOST_REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        made = self[key] = self.make(key)
+        made = self.older.get(key)
+        made = self[key] = self.make(key) if made is None else made
         return made
 
     def joined(self, keys: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, keys))
 
 
+def kept_by_worker(kind: str, path: str, make: Callable[[str], object]) -> object:
+    """What ``make(path)`` gives, made once for all tasks of a Python worker process, with what it remembers."""
+    kept = sys.modules.setdefault("_pricefold_kept", types.ModuleType("_pricefold_kept")).__dict__
+    if (kind, path) not in kept:
+        kept[kind, path] = make(path)
+    return kept[kind, path]
+
+
 class Merges:
     """The merges of a byte-level BPE vocabulary, as rules on token numbers in merge order."""
 

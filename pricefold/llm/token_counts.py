@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.pieces import PATTERN, Merges, Remembered, cut, plain_pieces
+from pricefold.llm.pieces import PATTERN, Merges, Remembered, cut, kept_by_worker, plain_pieces
 
 _PIECE = regex.compile(PATTERN)
 _SPACE = regex.compile(r"\s+")
@@ -130,7 +130,7 @@ def prefix_counts(docs: DataFrame, tokenizer: str, budget: int = 512, id_column:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(tokenizer)
+        counter = kept_by_worker("prefix counter", tokenizer, PrefixCounter)
         for batch in batches:
             sizes, totals, within, prefixes = [], [], [], []
             for text in batch.column(1):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pricefold.llm.common import one_row_a_task, opened, shared_folder, written_whole
-from pricefold.llm.pieces import Remembered, plain_pieces
+from pricefold.llm.pieces import Remembered, kept_by_worker, plain_pieces
 
 BLOCK = 65_536
 _MAGIC = b"PLNS0001"
@@ -168,13 +168,12 @@ def write_token_files(
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = None
         part = TaskContext.get().partitionId()
         path = f"{folder}/ids-{part:08d}.planes"
         first = next(batches, None)
         if first is None:
             return
-        encode = Encoder(tokenizer)
+        encode = kept_by_worker("encoder", tokenizer, Encoder)
         end = np.array([end_id], "<u4")
         with written_whole(path) as stream:
             writer = PlaneWriter(stream, bits)
