@@ -15,23 +15,29 @@ from pricefold.llm import contamination, language, mixing, near_duplicates, toke
 from pricefold.llm.common import shared_folder, stored
 from pricefold.llm.queries import END_ID, TOKENIZER, table
 
-_PLACE = "_place"
+_PLACE = "place"
 _FEW = 1_000_000
 
 
 def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
-    """Documents joined with decisions by their place, which is numbered alike in each read of a stored table."""
+    """Documents, each as one column ``doc``, joined with decisions by their place.
+
+    A stored table numbers its rows alike in each read.
+    """
     decisions = stored(decisions, "decisions")
     if decisions.count() <= _FEW:
         decisions = F.broadcast(decisions)
-    placed = docs.withColumn(_PLACE, F.monotonically_increasing_id())
-    return placed.join(decisions, _PLACE, how).drop(_PLACE)
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    return docs.select(whole.alias("doc"), F.monotonically_increasing_id().alias(_PLACE)).join(decisions, _PLACE, how)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a language, and write the one found into ``lang``."""
-    found = language.identified(docs, into="_found").where("_found.kept")
-    return found.withColumn("lang", F.col("_found.language")).select(*docs.columns)
+    into = "identified"
+    while into in docs.columns:
+        into += "_"
+    found = language.identified(docs, into=into).where(f"{into}.kept")
+    return found.withColumn("lang", F.col(f"{into}.language")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,22 +47,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "seen")
     kept = grouped.groupBy("group").agg(F.min_by("seen", order).alias("kept"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(kept.select("group", "kept"), "group").where("seen != kept")
-    return _decided(docs, gone.select(F.col("seen").alias(_PLACE)), "left_anti")
+    return _decided(docs, gone.select(F.col("seen").alias(_PLACE)), "left_anti").select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents without an occurrence of a benchmark window."""
     found = contamination.contaminated(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
-    return _decided(docs, found.select(F.col("seen").alias(_PLACE)), "left_anti")
+    return _decided(docs, found.select(F.col("seen").alias(_PLACE)), "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words, rounded; documents without words stay once."""
     taken = mixing.mixed(docs)
     copies = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("taken") / F.col("size"))).cast("int")
-    decided = _decided(docs, taken.select(F.col("seen").alias(_PLACE), copies.alias("_copies")), "inner")
-    repeated = F.explode(F.array_repeat(F.lit(0), F.col("_copies")))
-    return decided.withColumn("_copy", repeated).select(*docs.columns)
+    decided = _decided(docs, taken.select(F.col("seen").alias(_PLACE), copies.alias("copies")), "inner")
+    return decided.select(F.explode(F.array_repeat("doc", F.col("copies"))).alias("doc")).select("doc.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

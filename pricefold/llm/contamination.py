@@ -145,12 +145,13 @@ class Segment:
     def near(self, window: np.ndarray, slop: int) -> np.ndarray:
         """First positions of stretches of ``len(window) + slop`` words in one document that have all the terms."""
         span = len(window) + slop
-        lists = [self.list(term) for term in sorted(set(window.tolist()), key=lambda term: self.counts[term])]
+        # 64 bits, so that positions and the largest number fit together.
+        lists = [self.list(term).astype(np.int64) for term in sorted(set(window.tolist()), key=lambda term: self.counts[term])]
         near = np.unique(np.concatenate(lists))
         rarest = lists[0]
         reach = np.searchsorted(rarest, near)
         ahead = np.where(reach < len(rarest), rarest[np.minimum(reach, len(rarest) - 1)], np.iinfo(np.int64).max)
-        starts = near[ahead < near + span].astype(np.int64)
+        starts = near[ahead < near + span]
         ends = self.firsts + self.lengths
         bound = np.minimum(starts + span, ends[self.document(starts)])
         for other in lists[1:]:

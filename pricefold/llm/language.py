@@ -141,14 +141,16 @@ def identified(
     )
     if hosts.count() <= _FEW_HOSTS:
         known = F.broadcast(known)
-    same = named(host).eqNullSafe(F.col("_llm_h")) & named(suffix).eqNullSafe(F.col("_llm_s"))
-    own = [F.col(f"`{name}`") for name in docs.columns]
-    # Looked up by place, so equal names among the columns that pass through do no harm.
-    rows = docs.join(known, same).select(
-        F.col("_llm_counts.col1").alias("_llm_host"), F.col("_llm_counts.col2").alias("_llm_suffix"),
-        named(declared).alias("_llm_declared"), F.col(text).alias("_llm_text"), *own,
+    # The document travels as one column, so no name in it clashes.
+    whole_rows = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"), F.col(text).alias("text"),
+        named(declared).alias("declared"), named(host).alias("host"), named(suffix).alias("suffix"),
     )
-    classes = len(languages) + 1
+    same = F.col("host").eqNullSafe(F.col("_llm_h")) & F.col("suffix").eqNullSafe(F.col("_llm_s"))
+    rows = whole_rows.join(known, same).select(
+        F.col("_llm_counts.col1").alias("at_host"), F.col("_llm_counts.col2").alias("at_suffix"), "declared", "text", "doc"
+    )
+    classes, names = len(languages) + 1, docs.columns
 
     def log_text(batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         totals, seen = np.zeros((len(batch), classes)), np.zeros(len(batch))
@@ -187,8 +189,8 @@ def identified(
             told = pa.StructArray.from_arrays(
                 [language, pa.array(sharest), pa.array(found & (sharest >= sure))], names=["language", "confidence", "kept"]
             )
-            columns = batch.columns[4:]
-            yield pa.RecordBatch.from_arrays([*columns, told], names=[*batch.schema.names[4:], into])
+            doc = batch.column(4)
+            yield pa.RecordBatch.from_arrays([*doc.flatten(), told], names=[*names, into])
 
     answer = T.StructType.fromDDL("language string, confidence double, kept boolean")
     return rows.mapInArrow(fuse, T.StructType([*docs.schema.fields, T.StructField(into, answer)]))
