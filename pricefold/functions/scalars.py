@@ -17,6 +17,8 @@ from pricefold.schema import SCALE
 _WIDE = "decimal(38,23)"
 # Leaves the quotient below enough decimals that rounding it never reaches the next integer.
 _RATIO = "decimal(24,18)"
+# Times a whole number of nine digits this is exact.
+_FACTOR = "decimal(28,23)"
 
 
 def _column(value: Column | str) -> Column:
@@ -24,18 +26,43 @@ def _column(value: Column | str) -> Column:
 
 
 def scaled(text: Column | str) -> Column:
-    """Number text to a fixed-point integer, truncated; NULL when it is no number or negative."""
-    number = F.trim(_column(text)).try_cast(_WIDE)
+    """Number text to a fixed-point integer, truncated; NULL when it is no number or negative.
+
+    Plain digits with at most four decimals, which prices are, go through a double: the scaled value is then whole and
+    small enough that the double is less than half from it. All other text takes 38-digit arithmetic.
+    """
+    trimmed = F.trim(_column(text))
+    point = F.instr(trimmed, ".")
+    short = (F.length(trimmed) <= 15) & ((point == 0) | (F.length(trimmed) - point <= 4))
+    plain = short & (F.translate(trimmed, "0123456789.", "") == "")
+    product = trimmed.try_cast("double") * F.lit(float(SCALE))
+    number = trimmed.try_cast(_WIDE)
     # Truncate before multiplying: a plain product would first round to a smaller scale.
     whole = F.floor(F.greatest(number, F.lit(0).cast(_WIDE)), F.lit(4)) * F.lit(SCALE)
-    return F.when(number > F.lit(Decimal("-0.0001")), whole.try_cast("bigint"))
+    slow = F.when(number > F.lit(Decimal("-0.0001")), whole.try_cast("bigint"))
+    return F.when(plain & (product < F.lit(1e15)), F.rint(product).cast("bigint")).otherwise(slow)
 
 
 def scaled_reciprocal(text: Column | str) -> Column:
-    """``1 / number`` as a fixed-point integer, truncated; NULL when there is no such positive value."""
-    number = F.trim(_column(text)).try_cast(_RATIO)
-    quotient = F.lit(SCALE).cast("decimal(5,0)") / F.when(number > 0, number)
-    return F.floor(quotient).try_cast("bigint")
+    """``1 / number`` as a fixed-point integer, truncated; NULL when there is no such positive value.
+
+    For numbers from 0.0001 to 10000 the double quotient is off by one at most, and the exact product with the number,
+    of which 23 decimals count, tells which way. Above, the result is 0. Smaller numbers count with 18 decimals.
+    """
+    trimmed = F.trim(_column(text))
+    about, factor = trimmed.try_cast("double"), trimmed.try_cast(_FACTOR)
+    guess = F.floor(F.lit(float(SCALE)) / about).cast("bigint")
+
+    def fits(quotient: Column) -> Column:
+        return quotient.cast("decimal(9,0)") * factor <= SCALE
+
+    exact = F.when(fits(guess + 1), guess + 1).when(fits(guess), guess).otherwise(guess - 1)
+    number = trimmed.try_cast(_RATIO)
+    small = F.floor(F.lit(SCALE).cast("decimal(5,0)") / F.when(number > 0, number)).try_cast("bigint")
+    large = trimmed.try_cast("decimal(38,0)") > SCALE
+    # Beyond the digits that are kept, only the size matters.
+    in_range = (factor >= F.lit(Decimal("0.0001"))) & (factor <= SCALE)
+    return F.when(in_range, exact).when(large, F.lit(0).cast("bigint")).otherwise(small)
 
 
 def descaled(value: Column | str) -> Column:

@@ -17,6 +17,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: significant digits.
 DIGITS = 28
+_INT64 = 2**63
+_READ = ["symbol", "date", "newest", "newer_dividend", "newer_split_ratio", *PRICES]
 
 
 def _coefficients(
@@ -35,30 +37,52 @@ def _coefficients(
     return running
 
 
+def _fraction(value: Decimal) -> tuple[int, int]:
+    """``value`` as a whole number over a power of ten, both without common tens."""
+    _, digits, exponent = value.as_tuple()
+    whole = int("".join(map(str, digits)))
+    while exponent < 0 and whole % 10 == 0 and whole:
+        whole, exponent = whole // 10, exponent + 1
+    return (whole * 10**exponent, 1) if exponent >= 0 else (whole, 10**-exponent)
+
+
 def _floor_products(values: np.ndarray, level: np.ndarray, running: list[Decimal], raw: np.ndarray) -> np.ndarray:
     """``floor(value * coefficient)`` in decimal arithmetic; ``raw`` marks the rows whose coefficient is 1.
 
-    The double product decides every value that is not next to an integer; its relative error is below 2**-51.
+    The double product decides every value that is not next to an integer; its relative error is below 2**-51. The
+    others are decided in 64-bit integers where the coefficient is a short decimal, as after splits alone, and else
+    once for each distinct pair of value and coefficient.
     """
     product = values * np.array([float(value) for value in running])[level]
     result = np.where(raw, values, np.floor(product).astype(np.int64))
-    unsure = (np.abs(product - np.rint(product)) <= product * 2.0**-50) & ~raw
-    for row in np.flatnonzero(unsure):
-        result[row] = int(Decimal(int(values[row])) * running[level[row]])
+    unsure = np.flatnonzero((np.abs(product - np.rint(product)) <= product * 2.0**-50) & ~raw)
+    if not len(unsure):
+        return result
+    fractions = [_fraction(value) for value in running]
+    most = int(values[unsure].max())
+    short = np.array([tens < _INT64 and whole * max(1, most) < _INT64 for whole, tens in fractions])
+    whole = np.array([whole if fits else 0 for (whole, _), fits in zip(fractions, short)], np.int64)
+    tens = np.array([tens if fits else 1 for (_, tens), fits in zip(fractions, short)], np.int64)
+    easy, hard = unsure[short[level[unsure]]], unsure[~short[level[unsure]]]
+    result[easy] = values[easy] * whole[level[easy]] // tens[level[easy]]
+    if len(hard):
+        pairs, place = np.unique(np.stack([values[hard], level[hard]]), axis=1, return_inverse=True)
+        exact = [int(Decimal(value) * running[at]) for value, at in pairs.T.tolist()]
+        result[hard] = np.array(exact, np.int64)[place.reshape(-1)]
     return result
 
 
 def fold_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adjust rows that come sorted by symbol, newest day first.
 
-    ``newest`` marks the first row of each symbol. Only one coefficient is carried from batch to batch, so no symbol is
+    ``newest`` marks the first row of each symbol. Columns that the fold does not read are carried along. Only one coefficient is carried from batch to batch, so no symbol is
     held in memory, and Python loops over the rows that change the coefficient, not over all.
     """
     last = Decimal(1)
     for batch in batches:
         column = {
             name: batch.column(name).to_numpy(zero_copy_only=False)
-            for name in ["newest", "newer_dividend", "newer_split_ratio", *PRICES]
+            for name in _READ if name not in ("symbol", "date")
         }
         newest, dividend, split = column["newest"], column["newer_dividend"], column["newer_split_ratio"]
         changes = np.flatnonzero(newest | (dividend != NO_DIVIDEND) | (split != NO_SPLIT))
@@ -72,4 +96,8 @@ def fold_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prices = [_floor_products(column[price], level, running, raw) for price in PRICES]
         last = running[-1]
         data = [batch.column("symbol"), batch.column("date"), coefficient, *prices]
-        yield pa.RecordBatch.from_pydict(dict(zip(["symbol", "date", "adjustment_coefficient", *ADJUSTED], data)))
+        names = ["symbol", "date", "adjustment_coefficient", *ADJUSTED]
+        carried = [name for name in batch.schema.names if name not in _READ]
+        yield pa.RecordBatch.from_arrays(
+            [*map(pa.array, data), *[batch.column(name) for name in carried]], names=[*names, *carried]
+        )

@@ -6,9 +6,10 @@ import random
 from datetime import date, timedelta
 from decimal import Decimal, localcontext
 
+import numpy as np
 import pytest
 
-from pricefold.operators import adjustment
+from pricefold.operators import adjustment, decimal_fold
 from pricefold.plans import adjusting
 
 BARS = "symbol string, date date, open bigint, high bigint, low bigint, close bigint"
@@ -67,6 +68,45 @@ def test_exact_equals_the_decimal_fold(spark, many):
     assert adjusted(spark, many) == expected_rows(many)
 
 
+def split_only(count, ratio):
+    generator = random.Random(3)
+    prices = [generator.randrange(100, 900_000) * 100 for _ in range(count)]
+    rows = [("a", FIRST + timedelta(days=day), *[price] * 4, 0, 10000) for day, price in enumerate(prices)]
+    return [*rows[:-1], (*rows[-1][:7], ratio)]
+
+
+@pytest.mark.parametrize("ratio", [20000, 40000, 30000, 5000, 12500, 3730])
+def test_split_only_histories_need_few_decimals(monkeypatch, ratio):
+    """Whole cents by a short coefficient are next to integers throughout, yet are not decided one by one."""
+    rows = split_only(4000, ratio)
+    made = []
+
+    class Counting(Decimal):
+        def __mul__(self, other):
+            made.append(1)
+            return Decimal(self) * other
+
+    monkeypatch.setattr(decimal_fold, "Decimal", Counting)
+    values = np.array([row[2] for row in rows] * 3, np.int64)
+    running = [Decimal(1), 1 / (Decimal(ratio) / Decimal(10000))]
+    level = np.ones(len(values), np.int64)
+    found = decimal_fold._floor_products(values, level, running, np.zeros(len(values), bool))
+    assert found.tolist() == [int(Decimal(value) * running[1]) for value in values.tolist()]
+    # Ratios without a short reciprocal decide each distinct price once.
+    assert len(made) <= (0 if ratio in (20000, 40000, 5000, 12500) else 4000)
+
+
+def test_large_values_and_coefficients_stay_exact():
+    values = np.array([9_007_199_254_740_993, 123_456_789_012_345_600, 10, 0], np.int64)
+    running = [Decimal("0.5"), Decimal("0.0625"), Decimal("12.5"), Decimal("0.3333333333333333333333333333")]
+    for at, coefficient in enumerate(running):
+        level = np.full(len(values), at)
+        found = decimal_fold._floor_products(values, level, running, np.zeros(len(values), bool))
+        with localcontext() as context:
+            context.prec = 28
+            assert found.tolist() == [int(Decimal(value) * coefficient) for value in values.tolist()]
+
+
 def test_exact_does_not_depend_on_batches(spark, many):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:

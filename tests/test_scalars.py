@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 
@@ -19,22 +20,27 @@ def applied(spark, function, values):
 def test_scaled_truncates(spark):
     numbers = [
         "23.45019", "0.00009999999999999", "28.75", " 1e3 ", "5.", ".5", "+5", "0.99999", "-0.00001", "-0.0", "0",
-        "1e-40", "99999999.99999999999999999", "922337203685477.5807", "0.3333333333333333", "7e-5",
+        "1e-40", "1e-4", "9e-5", "123456789.1234", "99999999999.999", "99999999999999", "0.1234", "00012.30", "1.0000",
+        "99999999.99999999999999999", "922337203685477.5807", "0.3333333333333333", "7e-5",
     ]
     assert applied(spark, scalars.scaled, numbers) == [int(Decimal(number) * 10000) for number in numbers]
 
 
 def test_scaled_rejects(spark):
-    bad = ["", " ", "NaN", "abc", "1_000", "Infinity", "1,5", "-0.0001", "-3", "922337203685477.5808", "0x10", None]
+    bad = ["", " ", "NaN", "abc", "1_000", "Infinity", "1,5", "-0.0001", "-3", "922337203685477.5808", "0x10", "1.2.3", ".", "1d", "5f", "-5.1", "1 2", None]
     assert applied(spark, scalars.scaled, bad) == [None] * len(bad)
 
 
 def test_scaled_reciprocal(spark):
     numbers = ["0.5", "0.142857143", "2", "3", "1", "7", "0.0001", "1.5", "0.3333333333334", "1e3", "0.373", "30000"]
-    expected = [int(1 / Decimal(number) * 10000) for number in numbers]
+    numbers += ["100.000000000000000001", "99.999999999999999999", "1000000", "1e7", "123456789012", "9999.99", "10000"]
+    numbers += ["10000.000000001", "0.000099", "0.00010000000000000001", "3.000000000000000000000001", "1e30", "0.1"]
+    # In whole numbers, since a quotient of 28 digits is rounded.
+    expected = [int(Fraction(10000) / Fraction(number)) for number in numbers]
     assert expected[:2] == [20000, 69999]
     assert applied(spark, scalars.scaled_reciprocal, numbers) == expected
-    assert applied(spark, scalars.scaled_reciprocal, ["0", "-2", "", "x", "NaN", None]) == [None] * 6
+    bad = ["0", "-2", "", "x", "NaN", "Infinity", "-1e7", "1e-30", None]
+    assert applied(spark, scalars.scaled_reciprocal, bad) == [None] * len(bad)
 
 
 def test_every_two_decimal_reciprocal(spark):
