@@ -16,9 +16,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricefold.operators.decimal_fold import fold_batches
-from pricefold.schema import ADJUSTED, NO_DIVIDEND, NO_SPLIT, PRICES, SCALE
+from pricefold.schema import ADJUSTED, BAD, NO_DIVIDEND, NO_SPLIT, PRICES, SCALE
 
 
 def _newest_first() -> WindowSpec:
@@ -67,6 +68,11 @@ def with_checked_dividend(paired: DataFrame, skip_errors: bool) -> DataFrame:
     return paired.withColumn("newer_dividend", checked)
 
 
+def with_bad_dividend(paired: DataFrame) -> DataFrame:
+    """Add a struct that tells of a bad newer dividend, null where there is none."""
+    return paired.withColumn(BAD, F.when(is_bad_dividend(), F.struct("newer_date", "newer_dividend", "close")))
+
+
 def with_factor(paired: DataFrame) -> DataFrame:
     """Add each row's own factor as a double; 1 where the newer row has no event."""
     split = F.when(F.col("newer_split_ratio") != NO_SPLIT, F.lit(float(SCALE)) / F.col("newer_split_ratio"))
@@ -85,24 +91,33 @@ def _adjusted_native(paired: DataFrame) -> DataFrame:
     rows = with_coefficient(with_factor(paired))
     prices = [F.floor(F.col(price) * F.col("coefficient")).alias(name) for price, name in zip(PRICES, ADJUSTED)]
     coefficient = F.floor(F.col("coefficient") * SCALE).alias("adjustment_coefficient")
-    return rows.select("symbol", "date", coefficient, *prices)
+    return rows.select("symbol", "date", coefficient, *prices, *_kept(paired))
 
 
 def _adjusted_exact(paired: DataFrame) -> DataFrame:
     newest = F.col("newer_date").isNull().alias("newest")
-    rows = paired.select("symbol", "date", *PRICES, newest, "newer_dividend", "newer_split_ratio")
+    rows = paired.select("symbol", "date", *PRICES, newest, "newer_dividend", "newer_split_ratio", *_kept(paired))
     # The window has put each symbol into one partition, in this order; naming the order adds no sort to the plan.
     ordered = rows.sortWithinPartitions("symbol", F.desc("date"))
-    longs = ", ".join(f"{name} bigint" for name in ["adjustment_coefficient", *ADJUSTED])
-    return ordered.mapInArrow(fold_batches, f"symbol string, date date, {longs}")
+    longs = [T.StructField(name, T.LongType()) for name in ["adjustment_coefficient", *ADJUSTED]]
+    carried = [paired.schema[name] for name in ["symbol", "date", *_kept(paired)]]
+    return ordered.mapInArrow(fold_batches, T.StructType([*carried[:2], *longs, *carried[2:]]))
+
+
+def _kept(paired: DataFrame) -> list[str]:
+    return [BAD] if BAD in paired.columns else []
 
 
-def adjusted_days(rows: DataFrame, skip_errors: bool = False, exact: bool = True) -> DataFrame:
+def adjusted_days(
+    rows: DataFrame, skip_errors: bool = False, exact: bool = True, report: bool = False
+) -> DataFrame:
     """Adjusted prices and stored coefficient of each daily bar.
 
     ``exact=True`` works in decimal arithmetic of 28 significant digits. ``exact=False`` is a pure window plan in
     double arithmetic; a price whose exact value is next to an integer may then differ by one unit (0.0001).
-    A dividend that is not below the prior close fails the job, or is left out with ``skip_errors``.
+    A dividend that is not below the prior close fails the job, or is left out with ``skip_errors``. With ``report``
+    the rows also tell of the dividends left out.
     """
-    paired = with_checked_dividend(with_newer_event(rows), skip_errors)
+    paired = with_newer_event(rows)
+    paired = with_checked_dividend(with_bad_dividend(paired) if report else paired, skip_errors)
     return _adjusted_exact(paired) if exact else _adjusted_native(paired)

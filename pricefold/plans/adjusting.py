@@ -9,9 +9,16 @@ from pricefold.operators.keyed import any_left_join
 from pricefold.schema import ACTION, KEY, PRICES
 
 
-def with_actions(days: DataFrame, actions: DataFrame) -> DataFrame:
-    """Daily bars with the action of the same day, 0 where there is none. An action on a day without a bar is lost."""
-    return any_left_join(days.select(*KEY, *PRICES), actions.select(*KEY, *ACTION), KEY)
+def with_actions(days: DataFrame, actions: DataFrame, by_symbol: bool = False) -> DataFrame:
+    """Daily bars with the action of the same day, 0 where there is none. An action on a day without a bar is lost.
+
+    ``by_symbol`` deals out both sides by symbol alone, as the adjustment needs the bars. It saves a shuffle of the bars
+    in a plan that runs within ``pricefold.session.joins_on_part_of_keys``, and costs one elsewhere.
+    """
+    bars, events = days.select(*KEY, *PRICES), actions.select(*KEY, *ACTION)
+    if by_symbol:
+        bars, events = bars.repartition("symbol"), events.repartition("symbol")
+    return any_left_join(bars, events, KEY)
 
 
 def adjust(days: DataFrame, actions: DataFrame, skip_errors: bool = False, exact: bool = True) -> DataFrame:

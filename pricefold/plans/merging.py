@@ -7,6 +7,7 @@ Inputs may be the whole tables; rows of the same key in one staging table are se
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pricefold.functions.scalars import day_of, is_action
 from pricefold.operators.bars import day_bars
@@ -14,6 +15,17 @@ from pricefold.operators.keyed import first_source, latest_per_key, new_keys
 from pricefold.schema import ACTION, KEY, PRICES, columns
 
 
+def staged_days(staged: DataFrame) -> DataFrame:
+    """The distinct symbols and days of staged rows; small where little is new, and then broadcast by the optimizer."""
+    return staged.select("symbol", day_of("date").alias("day")).distinct()
+
+
+def of_days(rows: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """The stored rows of the given symbols and days, so that a merge shuffles those and not whole months."""
+    wanted = days.select(F.col("symbol"), F.col("day").alias(day)) if day != "day" else days
+    return rows.join(wanted, ["symbol", day], "left_semi")
+
+
 def minutes_delta(staged: DataFrame, existing: DataFrame) -> DataFrame:
     rows = latest_per_key(staged.select(*KEY, *PRICES, "_seq"), KEY)
     return new_keys(rows.withColumn("day", day_of("date")), existing, KEY).select(*columns("minutes"))

@@ -33,12 +33,17 @@ def joined_minutes(minutes: DataFrame, adjusted: DataFrame) -> DataFrame:
     )
 
 
+def _shown(view: DataFrame) -> DataFrame:
+    """The columns of a view; stored tables also show the month, so that readers can name the months they need."""
+    return view.select(*VIEW, *[name for name in view.columns if name == "month"])
+
+
 def days_view(days: DataFrame, adjusted: DataFrame) -> DataFrame:
-    return joined_days(days, adjusted).select(*VIEW)
+    return _shown(joined_days(days, adjusted))
 
 
 def minutes_view(minutes: DataFrame, adjusted: DataFrame) -> DataFrame:
-    return joined_minutes(minutes, adjusted).select(*VIEW)
+    return _shown(joined_minutes(minutes, adjusted))
 
 
 def _described(found: DataFrame) -> DataFrame:

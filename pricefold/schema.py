@@ -39,6 +39,10 @@ TABLES = {
     "days_adjusted": _struct(*KEY, "adjustment_coefficient", *ADJUSTED),
 }
 
+# Columns on disk that reads leave out: why a row's newer dividend was not applied.
+BAD = "bad_dividend"
+HIDDEN = {"days_adjusted": {BAD: _struct("newer_date", "newer_dividend", "close", newer_date=T.DateType())}}
+
 STAGING = ["minutes_import", "days_import", "adjustments_import"]
 
 

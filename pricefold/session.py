@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 # More partitions than this cost more in shuffle blocks than they save in memory.
 _MOST_PARTITIONS = 50_000
 
@@ -33,6 +34,17 @@ def shuffles_sized_for(*inputs: DataFrame) -> Iterator[None]:
             spark.conf.set(_INITIAL_PARTITIONS, before)
 
 
+@contextmanager
+def joins_on_part_of_keys(spark: SparkSession) -> Iterator[None]:
+    """Let joins of the enclosed jobs use sides that are dealt out alike by some of the join keys."""
+    before = spark.conf.get(_ALL_KEYS, None)
+    spark.conf.set(_ALL_KEYS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_ALL_KEYS) if before is None else spark.conf.set(_ALL_KEYS, before)
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
     """A session on this machine. On a cluster use the one the cluster gives."""
     builder = (

@@ -10,12 +10,14 @@ from __future__ import annotations
 import re
 from collections.abc import Collection
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricefold.functions.scalars import month_of
-from pricefold.schema import STAGING, TABLES, columns, stored
+from pricefold.schema import HIDDEN, STAGING, TABLES, columns, stored
 
 # Row numbers of a scan partition take the low bits of a position, the partition number the bits above them.
 _POSITION_BITS = 33
@@ -24,6 +26,13 @@ _MAX_PARTITIONS = 2 ** (63 - _POSITION_BITS)
 _EMPTY_MONTH = date(1969, 12, 1)
 
 
+class Numbers(NamedTuple):
+    """The last batch of a staging table, and the partition numbers that its rows take up."""
+
+    batch: int
+    partitions: int
+
+
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -44,35 +53,77 @@ class Tables:
         names = ",".join(f"month={month.isoformat()}" for month in sorted({_EMPTY_MONTH, *months}))
         return reader.parquet(f"{self.path(table)}/{{{names}}}")
 
+    def exists(self, table: str) -> bool:
+        folder, files = self._folder(self.path(table))
+        return files.exists(folder)
+
     def create(self, table: str) -> None:
         """Create the table empty, dropping its rows if it exists."""
         partition = "batch" if table in STAGING else "month"
         empty = self.spark.createDataFrame([], stored(table))
-        empty.write.mode("overwrite").partitionBy(partition).parquet(self.path(table))
+        if table in STAGING and self.exists(table):
+            self._note_numbers(table, self.numbers(table)._replace(partitions=0))
+        # Static whatever the session says: a dynamic overwrite with no rows would drop nothing.
+        writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(partition).parquet(self.path(table))
         if partition == "month":
-            empty.drop("month").write.parquet(f"{self.path(table)}/month={_EMPTY_MONTH.isoformat()}")
+            month = f"{self.path(table)}/month={_EMPTY_MONTH.isoformat()}"
+            empty.drop("month").write.mode("overwrite").parquet(month)
+
+    def _folder(self, path: str):
+        """A path and its file system, as the cluster's Hadoop settings name it."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def _names(self, path: str) -> list[str]:
+        """The names in a directory, none if there is no such directory."""
+        folder, files = self._folder(path)
+        return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
 
-    def last_batch(self, table: str) -> int:
-        batches = [re.search(r"/batch=(\d+)/", name) for name in self.read(table).inputFiles()]
-        return max((int(found.group(1)) for found in batches if found), default=0)
+    def numbers(self, table: str) -> Numbers:
+        """The numbers that imports of a staging table have used, from the name of one marker directory.
+
+        A store without a marker is asked for the names of its batch directories; no file is listed.
+        """
+        noted = [re.fullmatch(r"batch=(\d+),partitions=(\d+)", name) for name in self._names(self.path(f"imports/{table}"))]
+        if any(noted):
+            return max(Numbers(*map(int, found.groups())) for found in noted if found)
+        batches = [re.fullmatch(r"batch=(\d+)", name) for name in self._names(self.path(table))]
+        last = max((int(found.group(1)) for found in batches if found), default=0)
+        return Numbers(last, last)
+
+    def _note_numbers(self, table: str, numbers: Numbers) -> None:
+        """Put down the new marker before the old ones go, so that no number comes twice."""
+        home = self.path(f"imports/{table}")
+        name = f"batch={numbers.batch},partitions={numbers.partitions}"
+        folder, files = self._folder(f"{home}/{name}")
+        files.mkdirs(folder)
+        for old in self._names(home):
+            if old != name:
+                files.delete(self._folder(f"{home}/{old}")[0], True)
 
     def stage(self, table: str, rows: DataFrame, position: str, partitions: int, overwrite: bool = False) -> int:
-        """Write one import and return its batch number.
+        """Write one import and return its batch number, which is larger than that of any import before.
 
         ``position`` numbers the rows within the scan (partition number above, row number below) and ``partitions`` is
-        the number of partitions it may mention. Batch N owns the partition numbers up to N that no earlier batch
-        owns, which makes ``_seq`` increase from import to import without reading what is stored.
+        the number of partitions it may mention. The partition numbers of imports follow each other, which makes
+        ``_seq`` increase from import to import without reading what is stored. Dropping the rows starts them again,
+        but not the batch numbers: whoever has merged up to a batch still finds the next one above it.
         """
-        base = self.last_batch(table)
-        batch = base + partitions
-        if batch > _MAX_PARTITIONS:
-            raise OverflowError(f"{table} has used up its import numbers; merge it and import with overwrite")
-        first = F.lit(0 if overwrite else base << _POSITION_BITS).cast("bigint")
-        batch = partitions if overwrite else batch
-        staged = rows.select(*columns(table), (F.col(position) + first).alias("_seq"))
+        used = self.numbers(table)
+        first = 0 if overwrite else used.partitions
+        if first + partitions > _MAX_PARTITIONS:
+            raise OverflowError(f"{table} has used up its row numbers; merge it and import with overwrite")
+        batch = used.batch + 1
+        # A marker that an unfinished overwrite left must not be below the rows that are still there.
+        self._note_numbers(table, Numbers(batch, max(used.partitions, first + partitions)))
+        staged = rows.select(*columns(table), (F.col(position) + F.lit(first << _POSITION_BITS)).alias("_seq"))
         if overwrite:
             staged = staged.withColumn("batch", F.lit(batch).cast("bigint"))
-            staged.write.mode("overwrite").partitionBy("batch").parquet(self.path(table))
+            writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.partitionBy("batch").parquet(self.path(table))
+            self._note_numbers(table, Numbers(batch, partitions))
         else:
             staged.write.mode("overwrite").parquet(f"{self.path(table)}/batch={batch}")
         return batch
@@ -86,7 +137,8 @@ class Tables:
         """
         keys = ["month", "symbol", "date"]
         day = "day" if "day" in columns(table) else "date"
-        rows = rows.select(*columns(table), month_of(day).alias("month"))
+        extra = [name for name in HIDDEN.get(table, {}) if name in rows.columns]
+        rows = rows.select(*columns(table), *extra, month_of(day).alias("month"))
         laid = rows.repartitionByRange(*keys) if table == "minutes" else rows.hint("rebalance", "month")
         return laid.sortWithinPartitions(*keys)
 
@@ -101,6 +153,23 @@ class Tables:
         """
         return self._write(table, rows, "overwrite", partitionOverwriteMode="dynamic")
 
+    def rewrite_months(self, table: str, months: Collection[date]) -> int:
+        """Lay the files of some months out anew, after many small merges, and return the number of rows.
+
+        The rows go through a copy beside the table, so that no month is read and replaced by one job.
+        """
+        if table in STAGING or not months:
+            return 0
+        copy = f"{self.path('rewritten')}/{table}"
+        self.read(table, months).write.mode("overwrite").parquet(copy)
+        return self.replace(table, self.spark.read.schema(stored(table)).parquet(copy))
+
+    def hidden(self, table: str) -> DataFrame:
+        """A keyed table with the columns that its reads leave out."""
+        fields = [T.StructField(name, kind) for name, kind in HIDDEN.get(table, {}).items()]
+        schema = T.StructType([*stored(table).fields, *fields])
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(self.path(table))
+
     def _write(self, table: str, rows: DataFrame, mode: str, **options: str) -> int:
         seen = Observation()
         # Counted after the layout, since a count before it would also see the rows of the sampling run.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pricefold.functions.scalars import month_of
 from pricefold.operators import adjustment
 from pricefold.plans import adjusting, merging, views
-from pricefold.schema import STAGING
-from pricefold.session import shuffles_sized_for
+from pricefold.schema import BAD, STAGING
+from pricefold.session import joins_on_part_of_keys, shuffles_sized_for
 from pricefold.sinks.tables import Tables
 from pricefold.sources import csv_files, rows
 from pricefold.sources.csv_files import SYMBOL_IN_NAME
@@ -56,6 +56,8 @@ class PriceStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.tables = Tables(spark, root)
+        if all(map(self.tables.exists, ("days", "minutes", "days_adjusted"))):
+            self.create_views()
 
     # Schema
 
@@ -133,27 +135,34 @@ class PriceStore:
         Daily bars are rolled up for the months that staged minutes touch; ``rescan`` rolls up all months, which is
         only needed after a merge failed and its staged rows were dropped.
         """
-        minutes_staged, days_staged, actions_staged = (
-            self.tables.read(table).where(F.col("batch") > (since or {}).get(table, 0)) for table in STAGING
-        )
-        with shuffles_sized_for(minutes_staged, days_staged, actions_staged):
-            report = self._merge(minutes_staged, days_staged, actions_staged, rescan)
+        staged = [self.tables.read(table).where(F.col("batch") > (since or {}).get(table, 0)) for table in STAGING]
+        report = self._merge(*staged, rescan)
         self.create_views()
         return report
 
     def _merge(
         self, minutes_staged: DataFrame, days_staged: DataFrame, actions_staged: DataFrame, rescan: bool
     ) -> MergeReport:
-        minute_months, day_months = self._months(minutes_staged), self._months(days_staged)
-        existing = self.tables.read("minutes", minute_months)
-        minutes = self.tables.append("minutes", merging.minutes_delta(minutes_staged, existing))
-
-        rolled = self.tables.read("minutes", None if rescan else minute_months)
-        existing = self.tables.read("days", None if rescan else minute_months | day_months)
-        days = self.tables.append("days", merging.days_delta(rolled, days_staged, existing))
-
-        existing = self.tables.read("adjustments", day_months | self._months(actions_staged))
-        actions = self.tables.append("adjustments", merging.actions_delta(days_staged, actions_staged, existing))
+        minute_months, day_months, action_months = map(self._months, (minutes_staged, days_staged, actions_staged))
+        touched = merging.staged_days(minutes_staged)
+        existing = merging.of_days(self.tables.read("minutes", minute_months), touched, "day")
+        with shuffles_sized_for(minutes_staged, existing):
+            minutes = self.tables.append("minutes", merging.minutes_delta(minutes_staged, existing))
+
+        # Days that no staged minute touches were rolled up when their minutes came.
+        if rescan:
+            rolled, existing = self.tables.read("minutes"), self.tables.read("days")
+        else:
+            rolled = merging.of_days(self.tables.read("minutes", minute_months), touched, "day")
+            new_days = touched.unionByName(merging.staged_days(days_staged)).distinct()
+            existing = merging.of_days(self.tables.read("days", minute_months | day_months), new_days, "date")
+        with shuffles_sized_for(days_staged, rolled, existing):
+            days = self.tables.append("days", merging.days_delta(rolled, days_staged, existing))
+
+        new_days = merging.staged_days(days_staged).unionByName(merging.staged_days(actions_staged)).distinct()
+        existing = merging.of_days(self.tables.read("adjustments", day_months | action_months), new_days, "date")
+        with shuffles_sized_for(days_staged, actions_staged, existing):
+            actions = self.tables.append("adjustments", merging.actions_delta(days_staged, actions_staged, existing))
         return MergeReport(minutes, days, actions)
 
     def _months(self, staged: DataFrame) -> set[date]:
@@ -169,20 +178,28 @@ class PriceStore:
         With ``skip_errors`` the dividends left out are written to ``rejects/days_adjusted``.
         """
         days, actions = self.tables.read("days"), self.tables.read("adjustments")
-        rows = adjusting.with_actions(days, actions)
-        with shuffles_sized_for(days, actions):
-            bad = self._write_bad_dividends(rows) if skip_errors else 0
-            adjusted = self.tables.replace("days_adjusted", adjustment.adjusted_days(rows, skip_errors, exact))
+        rows = adjusting.with_actions(days, actions, by_symbol=True)
+        adjusted = adjustment.adjusted_days(rows, skip_errors, exact, report=skip_errors)
+        with shuffles_sized_for(days, actions), joins_on_part_of_keys(self.spark):
+            written = self.tables.replace("days_adjusted", adjusted)
+        bad = self._write_bad_dividends() if skip_errors else 0
         self.create_views()
-        return AdjustReport(adjusted, bad)
+        return AdjustReport(written, bad)
 
-    def _write_bad_dividends(self, rows: DataFrame) -> int:
+    def _write_bad_dividends(self) -> int:
+        """Copy what the adjusted rows tell of dividends left out; the scan reads that column of few values alone."""
         seen = Observation()
-        bad = adjustment.bad_dividends(adjustment.with_newer_event(rows)).observe(seen, F.count("*").alias("bad"))
-        found = bad.select("symbol", "date", "newer_date", "newer_dividend", "close")
+        bad = self.tables.hidden("days_adjusted").where(F.col(BAD).isNotNull()).observe(seen, F.count("*").alias("bad"))
+        found = bad.select("symbol", "date", f"{BAD}.*")
         found.write.mode("overwrite").parquet(self.tables.path("rejects/days_adjusted"))
         return seen.get["bad"]
 
+    def rewrite_months(self, table: str, months: Collection[date]) -> int:
+        """Lay some months of a keyed table out in few files again, after many small merges."""
+        rows = self.tables.rewrite_months(table, months)
+        self.create_views()
+        return rows
+
     # Read
 
     def days_view(self) -> DataFrame:
@@ -191,6 +208,25 @@ class PriceStore:
     def minutes_view(self) -> DataFrame:
         return views.minutes_view(self.tables.read("minutes"), self.tables.read("days_adjusted"))
 
+    def days_between(self, symbol: str, first: str, last: str) -> DataFrame:
+        """The daily view of a symbol from one day to another, both included; lists only their months."""
+        days, adjusted = self._months_between("days", first, last)
+        view = views.days_view(days, adjusted).where(F.col("symbol") == symbol)
+        return view.where(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+    def minutes_between(self, symbol: str, first: str, last: str) -> DataFrame:
+        """The minute view of a symbol from one time to another, both included; lists only their months."""
+        minutes, adjusted = self._months_between("minutes", first, last)
+        view = views.minutes_view(minutes, adjusted).where(F.col("symbol") == symbol)
+        return view.where(F.col("date").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
+
+    def _months_between(self, table: str, first: str, last: str) -> tuple[DataFrame, DataFrame]:
+        start, end = (datetime.fromisoformat(moment).date().replace(day=1) for moment in (first, last))
+        count = (end.year - start.year) * 12 + end.month - start.month + 1
+        places = [start.year * 12 + start.month - 1 + step for step in range(max(count, 0))]
+        months = [date(place // 12, place % 12 + 1, 1) for place in places]
+        return self.tables.read(table, months), self.tables.read("days_adjusted", months)
+
     def get_day(self, symbol: str, day: str) -> DataFrame:
         """See ``views.get_day``; reads the month of the day only."""
         return views.get_day(*self._month_of("days", day), symbol, day)

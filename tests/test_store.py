@@ -7,7 +7,12 @@ from decimal import Decimal
 
 import pytest
 
+from pricefold.operators import adjustment
+from pricefold.plans import adjusting, merging
+from pricefold.session import joins_on_part_of_keys
+from pricefold.sinks import tables
 from pricefold.sources import csv_files, rows
+from pricefold.store import PriceStore
 
 DAYS = "ticker,date,open,high,low,close,volume,ex-dividend,split_ratio,adj_open,adj_high,adj_low,adj_close,adj_volume"
 ACTIONS = "Date(ex),RegularDividend$,Split"
@@ -313,3 +318,138 @@ def test_reset_empties_the_tables(store, write):
     for table in ("days_import", "days", "adjustments", "days_adjusted", "minutes"):
         assert store.tables.read(table).count() == 0
     assert store.spark.table("days_view").count() == 0
+
+
+@pytest.fixture(params=["static", "dynamic"])
+def overwrite_mode(spark, request):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_verbs_do_not_depend_on_the_overwrite_mode(overwrite_mode, store, write):
+    store.import_days(write("a.csv", DAYS, *GOLDEN))
+    store.import_days(write("b.csv", DAYS, day("Z", "2021-01-01", 1, 1, 1, 1)), overwrite=True)
+    assert collected(store.tables.read("days_import"), "symbol") == [("Z",)]
+    assert store.merge().days == 1
+    assert store.adjust().adjusted == 1
+    store.reset()
+    for table in ("days_import", "days", "adjustments", "days_adjusted"):
+        assert store.tables.read(table).count() == 0
+    store.import_days(write("c.csv", DAYS, *GOLDEN))
+    assert store.merge().days == 4
+
+
+def test_batch_numbers_are_never_used_again(store, write):
+    first = store.import_days(write("a.csv", DAYS, GOLDEN[0])).batch
+    second = store.import_days(write("b.csv", DAYS, GOLDEN[1])).batch
+    assert store.merge().days == 2
+    third = store.import_days(write("c.csv", DAYS, GOLDEN[2]), overwrite=True).batch
+    assert first < second < third
+    assert store.merge(since={"days_import": second}).days == 1
+    store.reset()
+    assert store.import_days(write("d.csv", DAYS, GOLDEN[3])).batch > third
+    # A store from before the markers goes by the names of its batches.
+    import shutil
+
+    shutil.rmtree(store.tables.path("imports"))
+    assert store.import_days(write("e.csv", DAYS, GOLDEN[3])).batch > third + 1
+
+
+def test_rejects_of_all_imports_stay(store, write):
+    for name, overwrite in (("a", False), ("b", True)):
+        store.import_days(write(f"{name}.csv", DAYS, GOLDEN[0], f"{name},no date,1,1,1"), skip_errors=True, overwrite=overwrite)
+    rejects = store.spark.read.parquet(store.tables.path("rejects") + "/days_import")
+    assert collected(rejects, "ticker") == [("a",), ("b",)]
+
+
+def test_overwrite_helps_when_the_row_numbers_are_used_up(store, write, monkeypatch):
+    monkeypatch.setattr(tables, "_MAX_PARTITIONS", 2)
+    paths = [write(f"{name}.csv", DAYS, GOLDEN[0]) for name in "abc"]
+    for path in paths[:2]:
+        store.import_days(path)
+    with pytest.raises(OverflowError):
+        store.import_days(paths[2])
+    assert store.import_days(paths[2], overwrite=True).accepted == 1
+    assert store.import_days(paths[2]).accepted == 1
+
+
+def test_a_new_session_sees_both_views(store, write):
+    store.import_days(write("days.csv", DAYS, *GOLDEN))
+    store.merge()
+    store.adjust()
+    other = store.spark.newSession()
+    PriceStore(other, store.tables.root)
+    assert other.sql("select adjusted_open from days_view where symbol = 'X' and date = date'2020-01-02'").first()[0] == 155000
+    assert other.table("minutes_view").count() == 0
+
+
+def test_views_and_ranges_read_only_their_months(store, write):
+    lines = [day("X", f"2020-{month:02}-03", month, month, month, month) for month in range(1, 13)]
+    store.import_days(write("days.csv", DAYS, *lines))
+    store.import_minutes(write("x.csv", *[f"2021-{month:02}-03 10:00:00,3,3,3,3,5,5" for month in range(1, 13)]), "X")
+    store.merge()
+    store.adjust()
+    found = store.spark.sql("select * from days_view where month = date'2020-03-01' and symbol = 'X'")
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [") == 2 and "PartitionFilters: []" not in plan
+    for between, wanted in (
+        (store.days_between("X", "2020-03-03", "2020-05-02"), [date(2020, month, 3) for month in (3, 4)]),
+        (store.minutes_between("X", "2021-11-03 10:00:00", "2021-12-03 10:00:00"),
+         [datetime(2021, month, 3, 10) for month in (11, 12)]),
+    ):
+        assert [row.date for row in between.orderBy("date").collect()] == wanted
+        months = {name.split("month=")[1].split("/")[0] for name in between.inputFiles()}
+        assert len(months) <= 4
+    assert store.days_between("X", "2020-05-01", "2020-03-01").count() == 0
+
+
+def test_adjust_shuffles_the_bars_once(store, write):
+    store.import_days(write("days.csv", DAYS, *GOLDEN))
+    store.merge()
+    spark = store.spark
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with joins_on_part_of_keys(spark):
+            rows = adjusting.with_actions(store.tables.read("days"), store.tables.read("adjustments"), by_symbol=True)
+            for exact in (True, False):
+                plan = adjustment.adjusted_days(rows, exact=exact)._jdf.queryExecution().executedPlan().toString()
+                above, _, below = plan.partition("SortMergeJoin")
+                assert "Exchange" not in above and below.count("Exchange hashpartitioning") == 2
+        assert store.adjust().adjusted == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_skipping_takes_one_join_and_one_window(store, write):
+    store.import_days(write("days.csv", DAYS, *GOLDEN))
+    store.merge()
+    rows = adjusting.with_actions(store.tables.read("days"), store.tables.read("adjustments"))
+    plan = adjustment.adjusted_days(rows, skip_errors=True, report=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Window [") == 1
+    assert "Join" not in store.tables.hidden("days_adjusted")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_merge_reduces_stored_rows_before_the_shuffle(store, write):
+    store.import_minutes(write("x.csv", *[f"2020-01-{day:02} 10:00:00,33,30,31,32,5,5" for day in range(1, 29)]), "X")
+    store.merge()
+    staged = store.tables.read("minutes_import").where("date = timestamp_ntz'2020-01-05 10:00:00'")
+    existing = merging.of_days(store.tables.read("minutes"), merging.staged_days(staged), "day")
+    assert existing.count() == 1
+    plan = merging.minutes_delta(staged, existing)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("LeftAnti") < plan.index("LeftSemi")
+
+
+def test_months_can_be_laid_out_again(store, write):
+    january = date(2020, 1, 1)
+    for number, line in enumerate(GOLDEN[:3]):
+        store.import_days(write(f"{number}.csv", DAYS, line))
+        store.merge()
+    before = collected(store.tables.read("days"), "*")
+    assert len(store.tables.read("days", [january]).inputFiles()) == 4
+    assert store.rewrite_months("days", [january]) == 3
+    assert len(store.tables.read("days", [january]).inputFiles()) == 2
+    assert collected(store.tables.read("days"), "*") == before
+    assert store.rewrite_months("days", []) == 0

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from workload.queries import QUERIES
+from workload.sql import ORACLES
 
 SF_DIR = Path("/root/testdata/sf0.001")
 TABLES = (
@@ -17,7 +18,7 @@ TABLES = (
 ).split()
 TYPES = {
     "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE",
-    "decimal(20,4)": "DECIMAL(20,4)",
+    "decimal(20,4)": "DECIMAL(20,4)", "boolean": "BOOLEAN",
 }
 
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="driver tables not present")
@@ -36,7 +37,7 @@ def by_name(rows, names):
     return sorted((tuple(row[index] for index in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, database, name):
     frame = entry_module.queries()[name](spark, str(SF_DIR))
     relation = database.execute(entry_module.oracle_sql()[name])
@@ -45,21 +46,9 @@ def test_query_equals_oracle(spark, database, name):
     assert by_name(frame.collect(), frame.columns) == by_name(relation.fetchall(), list(described))
 
 
-def test_only_the_decimal_mode_has_no_oracle():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"adjusted_days_exact"}
+def test_every_price_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
-
-
-def test_exact_mode_is_within_one_unit_of_the_oracle(spark, database):
-    names = ["symbol", "date", "adjustment_coefficient", "adjusted_open", "adjusted_close"]
-    frame = entry_module.queries()["adjusted_days_exact"](spark, str(SF_DIR)).select(*names)
-    oracle = re.sub(r"SELECT \* FROM adjusted$", f"SELECT {', '.join(names)} FROM adjusted",
-                    entry_module.oracle_sql()["adjusted_days"])
-    found, wanted = sorted(map(tuple, frame.collect())), sorted(database.execute(oracle).fetchall())
-    assert len(found) == len(wanted)
-    for left, right in zip(found, wanted):
-        assert left[:2] == right[:2]
-        assert max(abs(a - b) for a, b in zip(left[2:], right[2:])) <= 1

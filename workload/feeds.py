@@ -61,6 +61,13 @@ def line_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily bars with splits alone, whose factors are 0.5, 2 and 0.8, so that all coefficients are short decimals."""
+    split = F.when(F.col("split_ratio") == 15000, 12500).otherwise(F.col("split_ratio"))
+    bars = line_bars(spark, sf_dir)
+    return bars.withColumns({"dividend": F.lit(0).cast("bigint"), "split_ratio": split.cast("bigint")})
+
+
 def days_of(bars: DataFrame) -> DataFrame:
     return bars.select(*KEY, *PRICES)
 
@@ -235,7 +242,10 @@ def action_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("p"), "p_partkey").alias("symbol"),
         _short_date(when, ".").alias("Date(ex)"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("RegularDividend$"),
-        (F.col("p_size") / F.lit(100)).cast("decimal(6,2)").alias("Split"),
+        # Some are so large that nothing is left, some are next to a whole number of ten-thousandths.
+        F.when(F.col("p_partkey") % 11 == 0, F.concat("p_size", F.lit("000000")))
+        .when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("100."), F.lpad("p_size", 18, "0")))
+        .otherwise((F.col("p_size") / F.lit(100)).cast("decimal(6,2)").cast("string")).alias("Split"),
     )
     names = ["Date(ex)", "RegularDividend$", "Split"]
     text = _through_csv(lines, names, ", ".join(f"`{name}` string" for name in names), "symbol")

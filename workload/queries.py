@@ -154,8 +154,18 @@ def adjusted_days_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjusted_days_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``adjusted_days``, in 28-digit decimal arithmetic, which SQL does not have."""
-    return adjustment.adjusted_days(feeds.line_bars(spark, sf_dir), exact=True)
+    """In decimal arithmetic, the default, for histories whose coefficients have no more digits than it has."""
+    return adjustment.adjusted_days(feeds.split_bars(spark, sf_dir), exact=True)
+
+
+def exact_within_one_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether decimal and double arithmetic differ by at most one unit, for each daily bar with all its actions."""
+    every = feeds.line_bars(spark, sf_dir)
+    exact, double = (adjustment.adjusted_days(every, exact=mode) for mode in (True, False))
+    names = [name for name in exact.columns if name not in KEY]
+    joined = exact.join(double.withColumnsRenamed({name: f"double_{name}" for name in names}), KEY)
+    near = [F.abs(F.col(name) - F.col(f"double_{name}")) <= 1 for name in names]
+    return joined.select(*KEY, F.forall(F.array(*near), lambda each: each).alias("near"))
 
 
 # Views and lookups
@@ -210,6 +220,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         parse_days, parse_minutes, parse_adjustments, reject_rows, skip_errors, import_counts, min_date_filter,
         offset_rows, to_date_day, descaled_prices, distinct_rows, dedup_latest, anti_new_keys, day_bars, days_merged,
         action_filter, actions_merged, any_left_join, pair_factors, bad_dividends, running_coefficient, adjusted_days,
-        adjusted_days_skipping, adjusted_days_exact, days_view, minutes_view, get_day, get_minute, price_history,
+        adjusted_days_skipping, adjusted_days_exact, exact_within_one_unit, days_view, minutes_view, get_day, get_minute, price_history,
     )
 }

@@ -168,7 +168,8 @@ ORACLES: dict[str, str] = {
     "parse_adjustments": """
         SELECT 'P' || p_partkey AS symbol, CAST(DATE '2000-01-01' + CAST(p_partkey % 5000 AS INTEGER) AS DATE) AS date,
                CAST(round(p_retailprice * 100) AS BIGINT) * 100 AS dividend,
-               CAST(1000000 // p_size AS BIGINT) AS split_ratio
+               CAST(CASE WHEN p_partkey % 11 = 0 THEN 0 WHEN p_partkey % 7 = 0 THEN 99 ELSE 1000000 // p_size END
+                    AS BIGINT) AS split_ratio
         FROM part""",
     "reject_rows": f"""{_with('minute_text')}
         SELECT symbol, CAST(year(date) AS VARCHAR) || '-' || month(date) || '-' || day(date)
@@ -219,6 +220,22 @@ ORACLES: dict[str, str] = {
     "adjusted_days": f"{_with('ticks', 'bars', **_LINE_ADJUSTED)} SELECT * FROM adjusted",
     "adjusted_days_skipping":
         f"{_with('ticks', 'bars', **_adjusted('bars', 'bars', times=1000))} SELECT * FROM adjusted",
+    # All factors are 1/2, 2 and 4/5, so a coefficient is a power of two over a power of five.
+    "adjusted_days_exact": f"""{_with('ticks', 'bars')}, splits AS (
+            SELECT symbol, date, open, high, low, close, split_ratio,
+                   sum(CASE split_ratio WHEN 20000 THEN -1 WHEN 5000 THEN 1 WHEN 15000 THEN 2 ELSE 0 END) OVER newer AS twos,
+                   sum(CASE split_ratio WHEN 15000 THEN 1 ELSE 0 END) OVER newer AS fives
+            FROM bars
+            WINDOW newer AS (PARTITION BY symbol ORDER BY date DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        powers AS (
+            SELECT *, CAST(pow(2, greatest(COALESCE(twos, 0), 0)) AS HUGEINT) AS up,
+                   CAST(pow(2, greatest(-COALESCE(twos, 0), 0)) AS HUGEINT)
+                   * CAST(pow(5, COALESCE(fives, 0)) AS HUGEINT) AS down
+            FROM splits)
+        SELECT symbol, date, CAST(CAST(10000 AS HUGEINT) * up // down AS BIGINT) AS adjustment_coefficient,
+               {', '.join(f'CAST(CAST({price} AS HUGEINT) * up // down AS BIGINT) AS adjusted_{price}' for price in _PRICES)}
+        FROM powers""",
+    "exact_within_one_unit": f"{_with('ticks', 'bars')} SELECT symbol, date, TRUE AS near FROM bars",
     "days_view": f"{_with('ticks', 'bars', **_BEFORE_2001)} {_DAYS_VIEW.format(days='bars')}",
     "minutes_view": f"""
         {_with('staged', 'minutes', 'rolled', 'event_actions', **_MINUTE_ADJUSTED)} {_MINUTES_VIEW}""",
