@@ -33,13 +33,14 @@ def _symbol(symbol: str | None, name_pattern: str) -> Column:
     return F.upper(named).alias("symbol")
 
 
-def _reader(spark: SparkSession):
-    # A doubled quote stands for a quote; a file whose header differs from the first one's is an error.
-    return spark.read.option("escape", '"').option("enforceSchema", False)
+def _reader(spark: SparkSession, multiline: bool):
+    # A doubled quote stands for a quote; a file whose header differs from the first one's is an error. Quoted line
+    # breaks make each file one split, so they must be asked for.
+    return spark.read.option("escape", '"').option("enforceSchema", False).option("multiLine", multiline)
 
 
-def read_days(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    rows = _reader(spark).option("header", True).csv(path)
+def read_days(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    rows = _reader(spark, multiline).option("header", True).csv(path)
     return rows.select(*[F.col(f"`{name}`") for name in DAY_FIELDS], *_origin())
 
 
@@ -57,7 +58,8 @@ def minute_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataF
 
 
 def read_adjustments(
-    spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME
+    spark: SparkSession, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME,
+    multiline: bool = False,
 ) -> DataFrame:
-    rows = _reader(spark).option("header", True).csv(path)
+    rows = _reader(spark, multiline).option("header", True).csv(path)
     return rows.select(_symbol(symbol, name_pattern), *[F.col(f"`{name}`") for name in ACTION_FIELDS], *_origin())

@@ -74,9 +74,12 @@ class PriceStore:
 
     # Import
 
-    def import_days(self, path: str | list[str], **options) -> ImportReport:
-        """Import daily bars with their dividends and split ratios. For the options see ``stage``."""
-        return self.stage("days_import", csv_files.read_days(self.spark, path), **options)
+    def import_days(self, path: str | list[str], multiline: bool = False, **options) -> ImportReport:
+        """Import daily bars with their dividends and split ratios. For the options see ``stage``.
+
+        ``multiline`` allows line breaks in quoted fields; a file is then read by one task.
+        """
+        return self.stage("days_import", csv_files.read_days(self.spark, path, multiline), **options)
 
     def import_minutes(
         self, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME, **options
@@ -89,10 +92,11 @@ class PriceStore:
         return self.stage("minutes_import", text, **options)
 
     def import_adjustments(
-        self, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME, **options
+        self, path: str | list[str], symbol: str | None = None, name_pattern: str = SYMBOL_IN_NAME,
+        multiline: bool = False, **options,
     ) -> ImportReport:
-        """Import dividends and splits, with the symbol as in ``import_minutes``."""
-        text = csv_files.read_adjustments(self.spark, path, symbol, name_pattern)
+        """Import dividends and splits, with the symbol as in ``import_minutes``, ``multiline`` as in ``import_days``."""
+        text = csv_files.read_adjustments(self.spark, path, symbol, name_pattern, multiline)
         return self.stage("adjustments_import", text, **options)
 
     def stage(

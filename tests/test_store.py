@@ -453,3 +453,10 @@ def test_months_can_be_laid_out_again(store, write):
     assert len(store.tables.read("days", [january]).inputFiles()) == 2
     assert collected(store.tables.read("days"), "*") == before
     assert store.rewrite_months("days", []) == 0
+
+
+def test_line_breaks_in_quoted_fields(store, write):
+    path = write("notes.csv", "ticker,note,date,open,high,low,close,ex-dividend,split_ratio", 'x,"two', 'lines",2020-01-01,1,2,1,2,0,1')
+    with pytest.raises(Exception, match="row does not parse"):
+        store.import_days(path)
+    assert store.import_days(path, multiline=True).accepted == 1
