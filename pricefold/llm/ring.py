@@ -152,7 +152,7 @@ def sharded(docs: DataFrame, shards: int = 40, nodes: int = 128, id_column: str
         F.monotonically_increasing_id().alias("seen"),
     )
     # The size of the ring is fixed by the parameters.
-    rows = located(rows, ring, "place", _BITS, small=True).withColumn("part", F.pmod(F.shiftright("seen", 33), F.lit(_PARTS)))
+    rows = located(rows, ring.drop("shard"), "place", _BITS, small=True).withColumn("part", F.pmod(F.shiftright("seen", 33), F.lit(_PARTS)))
     rows = rows.checkpoint()
     counts = rows.groupBy("arc", "part").agg(F.count("*").alias("rows"))
     dealt = F.broadcast(segments(counts.groupBy("arc").agg(F.sum("rows").alias("rows")), ring, shards))
