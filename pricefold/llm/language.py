@@ -12,6 +12,7 @@ One more class, for text in none of the languages, draws each letter by itself.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,12 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricefold.llm.pieces import forget_kept
+
 LANGUAGES = ("de", "en", "es", "fr")
 TRAIN_ROWS = 8_000
 # Signs: 0 for all but letters, then a-z, then other letters by code point, several to a class.
 _SIGNS = 64
 _FEW_HOSTS = 100_000
 _STRETCH = 1 << 20
+_NO_WORD = re.compile(r"[0-9@]")
 
 
 def _sign_table() -> np.ndarray:
@@ -43,7 +47,12 @@ _TABLE = _sign_table()
 
 
 def trigrams(text: str) -> Iterator[np.ndarray]:
-    """The trigrams of a text that have a letter, as numbers, a stretch at a time."""
+    """The trigrams of a text that have a letter, as numbers, a stretch at a time.
+
+    Words with a digit or an at sign, such as addresses and keys, are in no language and left out.
+    """
+    if _NO_WORD.search(text):
+        text = " ".join(word for word in text.split() if not _NO_WORD.search(word))
     for start in range(0, max(len(text) - 2, 0), _STRETCH):
         codes = np.frombuffer(text[start : start + _STRETCH + 2].lower().encode("utf-32-le", "replace"), "<u4")
         signs = _TABLE[np.minimum(codes, 0xFFFF)].astype(np.int32)
@@ -62,6 +71,7 @@ def trained(docs: DataFrame, languages: Sequence[str], rows: int) -> np.ndarray:
         labelled = labelled.where(F.shiftrightunsigned(F.xxhash64("text"), 1) < int(rows / total * ((1 << 63) - 1)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         seen = np.zeros((len(languages), _SIGNS**3), np.int64)
         for batch in batches:
             for language, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -162,6 +172,7 @@ def identified(
         return totals * weight[:, None], seen
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for batch in batches:
             if not batch.num_rows:
                 continue

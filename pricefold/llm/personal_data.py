@@ -6,8 +6,8 @@ words with an at sign) are variables whose label is a kind or none; mentions nex
 and mentions that repeat each other, however far apart, are tied by skip edges. Loopy sum-product messages carry the
 labels of base spans along both. A mention whose belief in a kind is high enough becomes a span.
 
-All mentions of one key share a hub variable, so a number that stands in a document a thousand times has a thousand skip
-edges, not half a million.
+Skip edges between mentions without a base label go through a hub variable for each key, so a number that stands in a
+document a thousand times has a thousand skip edges, not half a million.
 """
 
 from __future__ import annotations
@@ -200,20 +200,35 @@ def added_spans(text: str, base: list[list[tuple[int, int]]], model: Model, agre
     found = mentions(text, base)
     if all(mention.label is not None for mention in found):
         return []
+    labels: dict[str, set[int]] = defaultdict(set)
+    for mention in found:
+        if mention.label is not None:
+            for key in mention.keys:
+                labels[key].add(mention.label)
+    free = [mention for mention in found if mention.label is None]
+    counts = Counter(key for mention in free for key in mention.keys)
     hubs: dict[str, int] = {}
-    edges = []
+    edges, own, tied = [], [], set()
     same = [[agree if a == b else 0.0 for b in range(NONE + 1)] for a in range(NONE + 1)]
-    counts = Counter(key for mention in found for key in mention.keys)
     for place, mention in enumerate(found):
-        for key in mention.keys:
-            if counts[key] > 1:
-                edges.append((place, len(found) + hubs.setdefault(key, len(hubs)), same))
+        potential = model.own(mention)
+        if mention.label is None:
+            # The message of a skip edge to a base span is known: its label is certain.
+            for kind in set().union(*(labels[key] for key in mention.keys if key in labels)):
+                potential[kind] += agree
+                tied.add(place)
+            for key in mention.keys:
+                if counts[key] > 1:
+                    edges.append((place, len(found) + hubs.setdefault(key, len(hubs)), same))
+        else:
+            tied.add(place)
+        own.append(potential)
         if place and not text[found[place - 1].end : mention.start].strip() and found[place - 1].end <= mention.start:
             edges.append((place - 1, place, model.step))
-    reached = _reached({place for place, mention in enumerate(found) if mention.label is not None}, edges)
+    reached = _reached(tied, edges)
     if not any(mention.label is None and place in reached for place, mention in enumerate(found)):
         return []
-    own = [model.own(mention) for mention in found] + [[0.0] * (NONE + 1) for _ in hubs]
+    own += [[0.0] * (NONE + 1) for _ in hubs]
     added = []
     for place, (mention, belief) in enumerate(zip(found, beliefs(own, edges))):
         # Without any path to a base span nothing speaks for a kind but the looks.
@@ -273,9 +288,10 @@ def trained(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         table[name][label] = float(n)
     labels = table.pop("label", [0.0] * (NONE + 1))
     steps = [table.pop(f"after {label}", [0.0] * (NONE + 1)) for label in range(NONE + 1)]
-    # A tenth of a mention is added to each count.
+    # A fiftieth of each label's mentions may look like anything, however many there are.
     likelihood = {
-        feature: [math.log((n + 0.1) / (total + 1)) for n, total in zip(counts, labels)] for feature, counts in table.items()
+        feature: [math.log(0.98 * n / max(total, 1) + 0.02) for n, total in zip(counts, labels)]
+        for feature, counts in table.items()
     }
     return Model(
         likelihood,

@@ -56,6 +56,17 @@ def test_letters_at_random_are_no_language(spark, sf_dir):
     assert not row.identified.kept and row.identified.language is None
 
 
+def test_keys_and_addresses_do_not_count(spark, sf_dir):
+    from pricefold.llm.queries import table
+
+    docs = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    (text,) = docs.where("lang = 'en' and length(text) > 60").select("text").first()
+    odd = f"{text[:40]} token = d79b4bd5ac35c6fd4765f3c195ae8bf92c95a355 ldlooirp.70@mail5.example.com"
+    noise = spark.createDataFrame([(odd, "en", "src1")], docs.schema)
+    (row,) = language.identified(docs.union(noise)).where("text like '%d79b4bd5%'").collect()
+    assert row.identified.kept and row.identified.language == "en"
+
+
 def test_pages(spark, sf_dir):
     from pricefold.llm.queries import table
 

@@ -84,6 +84,15 @@ def test_a_number_that_stands_a_thousand_times(spark, sf_dir):
     assert len(added) == 1000
 
 
+def test_repeats_do_not_outvote_a_base_span():
+    """However the looks speak against it, what repeats a base span gets its label."""
+    looks = [-3.9, -0.1, -3.9, -3.9, -1.0]
+    model = personal_data.Model({"digits 10": looks, "signs -": looks})
+    text = "+1 (918) 555-4124 and " + "918-555-4124, " * 30
+    added = added_spans(text, base_spans(text), model, 12.0, 0.9)
+    assert len(added) == 30 and {kind for kind, _, _ in added} == {3}
+
+
 def test_documents_of_all_kinds(spark, odd_documents, no_documents):
     from pyspark.sql import functions as F
 
