@@ -13,20 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that the cluster names in ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``, with its file system.
 
     A local session without that setting gets a temporary folder; on a cluster the setting is needed.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        context = spark.sparkContext
-        if not context.getCheckpointDir():
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="pricefold-"))
-        root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not context.getCheckpointDir():
+        if not root and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="pricefold-"))
+    # Without a scheme the path is in the cluster's default file system, which tasks cannot tell from the path.
+    path = context._jvm.org.apache.hadoop.fs.Path(root or context.getCheckpointDir())
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The name of a new folder below the shared one."""
+    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """``frame`` computed and written to the checkpoint folder, which no lost executor undoes."""
+    shared_root(frame.sparkSession)
+    return frame.checkpoint()
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricefold.llm.common import checkpointed
+
 
 def _stars(links: DataFrame, smaller_only: bool) -> DataFrame:
     """Tie the neighbours of each vertex to the smallest of them and itself.
@@ -33,10 +35,10 @@ def components(links: DataFrame) -> DataFrame:
     has one link, to its root.
     """
     current = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    current = current.checkpoint()
+    current = checkpointed(current)
     seen = None
     while True:
-        current = _stars(_stars(current, smaller_only=False), smaller_only=True).checkpoint()
+        current = checkpointed(_stars(_stars(current, smaller_only=False), smaller_only=True))
         state = current.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.col("a").cast("decimal(38,0)"))
         ).first()

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricefold.llm.common import checkpointed
 from pricefold.llm.pieces import forget_kept
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -140,7 +141,7 @@ def identified(
 
     told = docs.select(named(host).alias("_host"), named(suffix).alias("_suffix"), named(declared).alias("_declared"))
     counts = [F.count_if(F.col("_declared") == language).alias(f"_n{place}") for place, language in enumerate(languages)]
-    hosts = told.groupBy("_host", "_suffix").agg(*counts).checkpoint()
+    hosts = checkpointed(told.groupBy("_host", "_suffix").agg(*counts))
     sums = [F.sum(f"_n{place}").alias(f"_s{place}") for place in range(len(languages))]
     suffixes = hosts.groupBy(F.col("_suffix").alias("_of")).agg(*sums)
     whole = np.array([value or 0 for value in hosts.agg(*sums).first()], float)

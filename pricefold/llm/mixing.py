@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import located
+from pricefold.llm.common import checkpointed, located
 
 # Points are multiples of 2**-31. The step is 2**31 divided by the golden ratio, made odd, so no point repeats early.
 _BITS = 31
@@ -90,14 +90,15 @@ def mixed(
     Words are counted once and written, slim, to the checkpoint folder. A source that holds most rows is ordered in
     2**10 buckets of the hash and its slots are ranked by stretches of the schedule; only sums are put in order whole.
     """
-    rows = docs.select(
+    rows = checkpointed(docs.select(
         F.monotonically_increasing_id().alias("seen"),
         F.col(id_column).alias("doc_id"),
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         F.xxhash64(F.col(id_column), "text").alias("key"),
-    ).checkpoint()
-    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most).checkpoint()
+    ))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sources = checkpointed(targets(sizes, weights, share, most))
     small = sources.count() <= _FEW_SOURCES
     few = (lambda frame: F.broadcast(frame)) if small else (lambda frame: frame)
     named = few(sources.withColumnRenamed("source", "_source"))

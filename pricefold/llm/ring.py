@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import located
+from pricefold.llm.common import checkpointed, located
 
 _BITS = 52
 # A hash that many rows share is counted in so many parts.
@@ -153,7 +153,7 @@ def sharded(docs: DataFrame, shards: int = 40, nodes: int = 128, id_column: str
     )
     # The size of the ring is fixed by the parameters.
     rows = located(rows, ring.drop("shard"), "place", _BITS, small=True).withColumn("part", F.pmod(F.shiftright("seen", 33), F.lit(_PARTS)))
-    rows = rows.checkpoint()
+    rows = checkpointed(rows)
     counts = rows.groupBy("arc", "part").agg(F.count("*").alias("rows"))
     dealt = F.broadcast(segments(counts.groupBy("arc").agg(F.sum("rows").alias("rows")), ring, shards))
     upto = Window.partitionBy("arc").orderBy("part")
