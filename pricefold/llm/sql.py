@@ -1,5 +1,97 @@
-"""SQL over the driver's tables for the queries that SQL can express."""
+"""SQL over the driver's tables for the queries that SQL can express.
+
+Tokenizers, hash rings, trained models and spans have no counterpart there; those queries are tested by brute force.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Equal payloads are read off the texts themselves. Base32 takes five bits a sign, so four signs for five hex digits.
+_WARC = r"""
+    WITH payloads AS (SELECT page_id, COALESCE(html, '') AS html, sha1(COALESCE(html, '')) AS hex FROM pages),
+    latest AS (SELECT html, max(page_id) AS page_id FROM payloads GROUP BY html)
+    SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes,
+           list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT),
+               1)), 'string_agg', '') AS payload_digest,
+           CASE WHEN p.page_id = l.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN p.page_id <> l.page_id THEN l.page_id END AS refers_to
+    FROM payloads p JOIN latest l USING (html)"""
+
+# All windows of the documents, of each length that a window of the benchmark has.
+_CONTAMINATION = rf"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+    items AS (
+        SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+    sought AS (
+        SELECT DISTINCT item_id, width, array_to_string(words[pos:pos + width - 1], ' ') AS phrase
+        FROM (SELECT *, unnest(range(1, len(words) - width + 2)) AS pos
+              FROM (SELECT *, least(len(words), 10) AS width FROM items WHERE len(words) > 0))),
+    found AS (
+        SELECT doc_id, pos, width, item_id
+        FROM (SELECT doc_id, pos, width, array_to_string(words[pos:pos + width - 1], ' ') AS phrase
+              FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS pos
+                    FROM words, (SELECT DISTINCT width FROM sought) WHERE len(words) >= width))
+        JOIN sought USING (width, phrase)),
+    hit AS (
+        SELECT doc_id, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, unnest(range(pos, pos + width)) AS place FROM found) GROUP BY doc_id),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+           sha256(COALESCE(names, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+    FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+def _components(nodes: str, node: str, links: str) -> str:
+    """Common tables that end in ``least``: the smallest node that each node reaches by links (a, b)."""
+    return f"""
+    edges AS (SELECT a, b FROM {links} UNION ALL SELECT b, a FROM {links}),
+    reached AS (
+        SELECT {node} AS node, {node} AS root FROM {nodes}
+        UNION
+        SELECT b, root FROM reached JOIN edges ON a = node),
+    least AS (SELECT node, min(root) AS component_id FROM reached GROUP BY node)"""
+
+
+_COSINES = f"""
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+    usable AS (
+        SELECT *, sqrt(list_dot_product(v, v)) AS length FROM vectors
+        WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+        WHERE list_dot_product(x.v, y.v) / (x.length * y.length) >= 0.9),
+    {_components('embeddings', 'vec_id', 'links')},
+    counts AS (SELECT a AS node, count(*) AS n FROM edges GROUP BY a)
+    SELECT node AS vec_id, COALESCE(n, 0) AS n_links, component_id, node = component_id AS kept
+    FROM least LEFT JOIN counts USING (node)"""
+
+_NEAR = rf"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+    shingled AS (
+        SELECT doc_id, list_distinct(list_transform(
+            range(1, greatest(len(words) - 3, least(len(words), 1) + 1)),
+            lambda i: array_to_string(words[i:i + 4], ' '))) AS shingles
+        FROM words),
+    flat AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM shingled),
+    shared AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, x.n + y.n AS n, count(*) AS common
+        FROM flat x JOIN flat y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared WHERE 100 * common >= 75 * (n - common)),
+    {_components('documents', 'doc_id', 'links')}
+    SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM shingled JOIN least ON node = doc_id"""
+
+ORACLES: dict[str, str] = {
+    "op2_warc": _WARC,
+    "op7_contamination": _CONTAMINATION,
+    "op9_cover_tree": _COSINES,
+    "op10_near_duplicates": _NEAR,
+}
