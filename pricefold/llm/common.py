@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,17 +34,27 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
+def fitted(frame: DataFrame, at_most: int | None, rows: int = 500_000) -> DataFrame:
+    """``frame`` in no more partitions than its known bound of rows needs, so that little data makes few files."""
+    return frame if at_most is None else frame.coalesce(max(1, -(-at_most // rows)))
+
+
+def checkpointed(frame: DataFrame, at_most: int | None = None) -> DataFrame:
     """``frame`` computed and written to the checkpoint folder, which no lost executor undoes."""
     shared_root(frame.sparkSession)
-    return frame.checkpoint()
+    return fitted(frame, at_most).checkpoint()
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, at_most: int | None = None) -> DataFrame:
     """``frame`` written to the shared folder and read back: it is computed once and no lost executor undoes it."""
-    folder = shared_folder(frame.sparkSession, name)
-    frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    return counted(frame, name, at_most)[0]
+
+
+def counted(frame: DataFrame, name: str, at_most: int | None = None) -> tuple[DataFrame, int]:
+    """A stored table, and its number of rows as counted by the write."""
+    folder, seen = shared_folder(frame.sparkSession, name), Observation()
+    fitted(frame, at_most).observe(seen, F.count("*").alias("rows")).write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder), seen.get["rows"]
 
 
 def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:

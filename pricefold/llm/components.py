@@ -27,18 +27,21 @@ def _stars(links: DataFrame, smaller_only: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, at_most: int | None = None) -> DataFrame:
     """``vertex`` and ``root``, the smallest vertex of its component, for each vertex with a link.
 
-    ``links`` has two long columns ``a`` and ``b``, in any order, repeats allowed. Each round writes the links to the
+    ``links`` has two long columns ``a`` and ``b``, in any order, repeats allowed; ``at_most`` bounds their number, if
+    it is known, so that few links take few partitions. Each round writes the links to the
     checkpoint folder; there are about as many rounds as the logarithm of the longest path. At the end every vertex
     has one link, to its root.
     """
     current = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    current = checkpointed(current)
+    # Each round keeps at most two links for one.
+    bound = None if at_most is None else 2 * at_most
+    current = checkpointed(current, bound)
     seen = None
     while True:
-        current = checkpointed(_stars(_stars(current, smaller_only=False), smaller_only=True))
+        current = checkpointed(_stars(_stars(current, smaller_only=False), smaller_only=True), bound)
         state = current.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.col("a").cast("decimal(38,0)"))
         ).first()

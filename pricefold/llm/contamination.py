@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.llm.common import stored
+from pricefold.llm.pieces import forget_kept
 
 WINDOW = 10
 _SEGMENT = 1 << 20
@@ -87,6 +88,7 @@ def build_index(docs: DataFrame, phrases: Phrases) -> DataFrame:
         return pa.RecordBatch.from_pydict(row)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         get = terms.value.get
         ids, seen, found, held = [], [], [], 0
         for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import stored
+from pricefold.llm.common import counted, stored
 from pricefold.llm.components import components
 
 COSINE = 0.9
@@ -225,9 +225,9 @@ def linked_vectors(
         found = links if found is None else found.unionByName(links)
     if found is None:
         found = spark.createDataFrame([], "a long, b long, n long")
-    found = stored(found, "vector-links")
+    found, number = counted(found, "vector-links")
     counts = found.where("b is null").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))
-    roots = components(found.where("b is not null").select("a", "b"))
+    roots = components(found.where("b is not null").select("a", "b"), number)
     told = classes.join(roots.withColumnRenamed("vertex", "cls"), "cls", "left").join(counts, "cls", "left")
     told = told.withColumn("root", F.coalesce("root", "cls"))
     least = told.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -13,11 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import stored
+from pricefold.llm.common import counted, stored
 from pricefold.llm.components import components
+from pricefold.llm.pieces import forget_kept
 
 CHUNKS, WIDTH = 12, 4
 SYMBOLS = CHUNKS * WIDTH
@@ -29,7 +30,7 @@ SIMILARITY = 75
 _FEW = 1_000_000
 # Rows of one key that meet in one task; the rows of a key that has more meet part by part.
 _PART = 2048
-_MOST_REMEMBERED = 500_000
+_MOST_REMEMBERED = 200_000
 
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(0, 1 << 63, SYMBOLS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,6 +82,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """seen, n_shingles, digest of the set, signature for rows of (seen, text as bytes). One pass over the texts."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         hashes = WordHashes()
         for batch in batches:
             sizes, digests, signatures = [], [], []
@@ -99,7 +101,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
-    """The keys that each class is entered under: cls, key."""
+    """The keys that each class is entered under: cls, slot (which key it is of the class), key."""
 
     def enumerate_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = np.arange(SYMBOLS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -117,87 +119,118 @@ def index_keys(classes: DataFrame) -> DataFrame:
                 mixed = _spread(keys.reshape(-1, SYMBOLS) + salt)
                 yield pa.RecordBatch.from_pydict({
                     "cls": pa.array(np.repeat(part.column("cls").to_numpy(zero_copy_only=False), SYMBOLS)),
+                    "slot": pa.array(np.tile(np.arange(SYMBOLS, dtype=np.int32), len(symbols))),
                     "key": pa.array(mixed.reshape(-1).view(np.int64)),
                 })
 
-    return classes.select("cls", "signature").mapInArrow(enumerate_keys, "cls long, key long")
+    return classes.select("cls", "signature").mapInArrow(enumerate_keys, "cls long, slot int, key long")
 
 
 def _symbols(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, SYMBOLS)
 
 
-def _within_reach(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures differ in at most ``REACH`` symbols."""
+def _shared_slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The first key that signatures within reach share, by its slot; -1 for those out of reach.
+
+    A pair is reported under that key only, so it is reported once.
+    """
+    errors = left != right
+    by_chunk = errors.reshape(-1, CHUNKS, WIDTH)
+    few = by_chunk.sum(axis=2) <= 1
+    chunk = few.argmax(axis=1)
+    left_out = by_chunk[np.arange(len(chunk)), chunk].argmax(axis=1)
+    return np.where((errors.sum(axis=1) <= REACH) & few.any(axis=1), chunk * WIDTH + left_out, -1)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted batches as tables that hold whole runs."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if batch.column("run")[batch.num_rows - 1] == held[0].column("run")[0]:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        values = table.column("run").to_numpy()
+        # The last run may go on in the next batch.
+        done = int(np.searchsorted(values, values[-1], "left"))
+        yield table.slice(0, done)
+        held = table.slice(done).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _reported(
+    table: pa.Table, left: np.ndarray, right: np.ndarray, symbols: np.ndarray, once: bool
+) -> Iterator[pa.RecordBatch]:
+    """The pairs of rows that are within reach; with ``once`` only where they met under the first key that they share."""
+    cls, slot = table.column("cls").to_numpy(), table.column("slot").to_numpy()
+    for start in range(0, len(left), 100_000):
+        a, b = left[start : start + 100_000], right[start : start + 100_000]
+        shared = _shared_slot(symbols[a], symbols[b])
+        met = shared == slot[a] if once else shared >= 0
+        first, second = cls[a[met]], cls[b[met]]
+        yield pa.RecordBatch.from_pydict(
+            {"a": pa.array(np.maximum(first, second)), "b": pa.array(np.minimum(first, second))}
+        )
+
+
+def _signed(entries: DataFrame, classes: DataFrame, run: Column) -> DataFrame:
+    chosen = entries.withColumn("run", run).join(classes.select("cls", "signature"), "cls")
+    return chosen.repartition("run").sortWithinPartitions("run", F.col("cls") != F.col("first"), "cls")
+
+
+def _part(cls: str) -> Column:
+    return F.pmod(F.xxhash64(cls), F.ceil(F.col("rows") / _PART)).cast("int")
+
+
+def _stars(entries: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each class with the first one under a key, if they are within reach.
+
+    A key of many rows is dealt to several runs, each with the first class. Half of the keys are enough here.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = _symbols(batch.column("left")), _symbols(batch.column("right"))
-            near = pa.array((left != right).sum(axis=1) <= REACH)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(name).filter(near) for name in ("a", "b")], names=["a", "b"]
-            )
+        for table in _runs(batches):
+            runs, symbols = table.column("run").to_numpy(), _symbols(table.column("signature"))
+            heads = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
+            rows = np.setdiff1d(np.arange(len(runs)), heads, assume_unique=True)
+            yield from _reported(table, rows, heads[np.searchsorted(heads, rows, "right") - 1], symbols, once=False)
 
-    signed = classes.select("cls", "signature")
-    left = signed.select(F.col("cls").alias("a"), F.col("signature").alias("left"))
-    right = signed.select(F.col("cls").alias("b"), F.col("signature").alias("right"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(compare, "a long, b long")
+    parts = F.ceil(F.col("rows") / _PART).cast("int")
+    everywhere = F.sequence(F.lit(0), parts - 1)
+    own = F.when(F.col("cls") == F.col("first"), everywhere).otherwise(F.array(_part("cls")))
+    dealt = entries.withColumn("part", F.explode(own))
+    return _signed(dealt, classes, F.xxhash64("key", "part")).mapInArrow(compare, "a long, b long")
 
 
-def _met(entries: DataFrame) -> DataFrame:
+def _met(entries: DataFrame, classes: DataFrame) -> DataFrame:
     """All pairs that meet under a key, belong to different components and have signatures within reach.
 
-    ``entries`` has key, rows (of the key), cls, root and signature. Keys are compared as runs of sorted rows, all runs
-    of a batch at once: each row with the next one, then the one after that, as far as the key goes.
+    Runs are compared all at once: each row with the next one, then the one after that, as far as the run goes. The rows
+    of a part of a large key meet those of each other part in a run of their own.
     """
-    parts = F.ceil(F.col("rows") / _PART).cast("int")
-    own = F.pmod(F.xxhash64("cls"), parts).cast("int")
-    other = F.sequence(F.lit(0), parts - 1)
-    dealt = entries.withColumn("own", own).withColumn("other", F.explode(other))
-    # The rows of a part meet those of each other part in a run of their own.
-    run = F.when(F.col("rows") <= _PART, F.col("key")).otherwise(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    )
-    runs = dealt.select(run.alias("run"), "cls", "root", "signature")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            run = batch.column("run")
-            if held and run[0] == run[batch.num_rows - 1] == held[-1].column("run")[0]:
-                held.append(batch)
-                continue
-            table = pa.Table.from_batches([*held, batch]).combine_chunks()
-            values = table.column("run").to_numpy()
-            # The last run may go on in the next batch.
-            done = int(np.searchsorted(values, values[-1], "left"))
-            yield from pairs(table.slice(0, done))
-            held = table.slice(done).to_batches()
-        if held:
-            yield from pairs(pa.Table.from_batches(held))
-
-    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
-            return
-        runs, cls, root = (table.column(name).to_numpy() for name in ("run", "cls", "root"))
-        symbols = _symbols(table.column("signature"))
-        rows = np.arange(len(runs))
-        step = 1
-        while len(rows):
-            rows = rows[rows + step < len(runs)]
-            rows = rows[runs[rows] == runs[rows + step]]
-            apart = rows[root[rows] != root[rows + step]]
-            for start in range(0, len(apart), 100_000):
-                left = apart[start : start + 100_000]
-                left = left[(symbols[left] != symbols[left + step]).sum(axis=1) <= REACH]
-                first, second = cls[left], cls[left + step]
-                yield pa.RecordBatch.from_pydict(
-                    {"a": pa.array(np.minimum(first, second)), "b": pa.array(np.maximum(first, second))}
-                )
-            step += 1
-
-    ordered = runs.repartition("run").sortWithinPartitions("run")
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
+        for table in _runs(batches):
+            runs, symbols = table.column("run").to_numpy(), _symbols(table.column("signature"))
+            root = table.column("root").to_numpy()
+            rows, step = np.arange(len(runs)), 1
+            while len(rows):
+                rows = rows[rows + step < len(runs)]
+                rows = rows[runs[rows] == runs[rows + step]]
+                apart = rows[root[rows] != root[rows + step]]
+                yield from _reported(table, apart, apart + step, symbols, once=True)
+                step += 1
+
+    parts = F.ceil(F.col("rows") / _PART).cast("int")
+    dealt = entries.withColumn("own", _part("cls")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    run = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    found = _signed(dealt, classes, run).mapInArrow(compare, "a long, b long")
+    # Rows of one part of a large key meet in several runs.
+    return found.distinct()
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -223,8 +256,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(chosen.mapInArrow(gather, "cls long, found binary"), "shingle-sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """The pairs that are links, by their full sets."""
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: int) -> tuple[DataFrame, int]:
+    """The pairs that are links, by their full sets, and their number."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,12 +272,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity
                 [batch.column(name).filter(pa.array(linked, pa.bool_())) for name in ("a", "b")], names=["a", "b"]
             )
 
-    pairs = stored(pairs, "candidate-pairs")
+    pairs, count = counted(pairs, "candidate-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = _sets(docs, stored(wanted.join(classes.select("cls", "digest"), "cls"), "wanted-classes"))
+    wanted = stored(wanted.join(classes.select("cls", "digest"), "cls"), "wanted-classes", at_most=2 * count)
+    sets = _sets(docs, wanted)
     left = sets.select(F.col("cls").alias("a"), F.col("found").alias("left"))
     right = sets.select(F.col("cls").alias("b"), F.col("found").alias("right"))
-    return stored(pairs.join(left, "a").join(right, "b").mapInArrow(compare, "a long, b long"), "links")
+    found = pairs.join(left, "a").join(right, "b").mapInArrow(compare, "a long, b long")
+    # Compared in parallel; what is left is two numbers a link.
+    return counted(found.repartition(max(1, -(-count // 500_000))), "links")
 
 
 def near_duplicates(
@@ -259,37 +295,41 @@ def near_duplicates(
     order of the stored table and ``group`` is the smallest of a component's numbers.
 
     1. Documents with equal sets are one class, found by an aggregation; only one of them goes on.
-    2. Each class is compared with the smallest class under each of its keys, and confirmed links give components.
+    2. Each class is compared with one class under each of half its keys, and confirmed links give components.
     3. Under keys that have classes of different components, all pairs across components are compared.
 
-    So large groups of near copies collapse in step 2, with one pair a member, and step 3 loses no link. Full sets are
+    So large groups of near copies collapse in step 2, with a few pairs a member, and step 3 loses no link. Full sets are
     made again for the classes in candidate pairs only, from a second read of ``docs``, which must be a stored table.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("seen"), F.col(id_column).cast("bigint").alias("doc_id"),
         F.col(text_column).cast("binary").alias("text"),
     )
-    found = stored(sketches(rows), "sketches")
+    found, count = counted(sketches(rows), "sketches")
     texts = rows.select("seen", "text")
     classes = stored(
         found.where("digest is not null").groupBy("digest").agg(
             F.min("seen").alias("cls"), F.min("doc_id").alias("least"), F.first("signature").alias("signature")
         ),
         "classes",
+        at_most=10 * count,
     )
     keys = index_keys(classes)
-    shared = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min("cls").alias("first")).where("rows > 1")
+    # Which class comes first differs from key to key, so that members of a loose group are compared with many others.
+    first = F.min_by("cls", F.xxhash64("cls", "key")).alias("first")
+    shared = keys.groupBy("key").agg(F.count("*").alias("rows"), first).where("rows > 1")
     entries = stored(keys.join(shared, "key"), "index")
 
-    stars = entries.where("cls > first").select(F.col("cls").alias("a"), F.col("first").alias("b")).distinct()
-    links = _confirmed(_within_reach(stars, classes), texts, classes, similarity)
-    roots = components(links)
+    stars = _stars(entries.where(F.col("slot") % 2 == 0), classes)
+    links, number = _confirmed(stars.distinct(), texts, classes, similarity)
+    roots = components(links, number)
 
     rooted = _with_roots(entries, roots)
     apart = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    crossing = rooted.join(apart.select("key"), "key").join(classes.select("cls", "signature"), "cls")
-    more = _confirmed(_met(crossing), texts, classes, similarity)
-    roots = components(links.unionByName(more))
+    crossing = rooted.join(apart.select("key"), "key")
+    more, further = _confirmed(_met(crossing, classes), texts, classes, similarity)
+    ties = roots.select(F.col("vertex").alias("a"), F.col("root").alias("b"))
+    roots = components(ties.unionByName(more), 2 * number + further)
 
     least = _with_roots(classes, roots)
     named = least.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -65,6 +65,11 @@ def kept_by_worker(kind: str, path: str, make: Callable[[str], object]) -> objec
     return kept[kind, path]
 
 
+def forget_kept() -> None:
+    """Give the memory back, for tasks of other operators that come to the same worker."""
+    sys.modules.pop("_pricefold_kept", None)
+
+
 class Merges:
     """The merges of a byte-level BPE vocabulary, as rules on token numbers in merge order."""
 
