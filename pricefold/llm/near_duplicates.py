@@ -133,7 +133,7 @@ def _symbols(column: pa.Array) -> np.ndarray:
 def _shared_slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The first key that signatures within reach share, by its slot; -1 for those out of reach.
 
-    A pair is reported under that key only, so it is reported once.
+    A pair across components is looked at under that key only, so it is looked at once.
     """
     errors = left != right
     by_chunk = errors.reshape(-1, CHUNKS, WIDTH)
@@ -163,14 +163,13 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _reported(
-    table: pa.Table, left: np.ndarray, right: np.ndarray, symbols: np.ndarray, once: bool
+    table: pa.Table, left: np.ndarray, right: np.ndarray, symbols: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """The pairs of rows that are within reach; with ``once`` only where they met under the first key that they share."""
-    cls, slot = table.column("cls").to_numpy(), table.column("slot").to_numpy()
+    """The pairs of rows that are within reach."""
+    cls = table.column("cls").to_numpy()
     for start in range(0, len(left), 100_000):
         a, b = left[start : start + 100_000], right[start : start + 100_000]
-        shared = _shared_slot(symbols[a], symbols[b])
-        met = shared == slot[a] if once else shared >= 0
+        met = _shared_slot(symbols[a], symbols[b]) >= 0
         first, second = cls[a[met]], cls[b[met]]
         yield pa.RecordBatch.from_pydict(
             {"a": pa.array(np.maximum(first, second)), "b": pa.array(np.minimum(first, second))}
@@ -197,7 +196,7 @@ def _stars(entries: DataFrame, classes: DataFrame) -> DataFrame:
             runs, symbols = table.column("run").to_numpy(), _symbols(table.column("signature"))
             heads = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
             rows = np.setdiff1d(np.arange(len(runs)), heads, assume_unique=True)
-            yield from _reported(table, rows, heads[np.searchsorted(heads, rows, "right") - 1], symbols, once=False)
+            yield from _reported(table, rows, heads[np.searchsorted(heads, rows, "right") - 1], symbols)
 
     parts = F.ceil(F.col("rows") / _PART).cast("int")
     everywhere = F.sequence(F.lit(0), parts - 1)
@@ -206,31 +205,85 @@ def _stars(entries: DataFrame, classes: DataFrame) -> DataFrame:
     return _signed(dealt, classes, F.xxhash64("key", "part")).mapInArrow(compare, "a long, b long")
 
 
+MET = "run long, slot int, cls long, root long, signature binary"
+
+
 def _met(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs that meet under a key, belong to different components and have signatures within reach.
+    """The rows of runs that meet one of another component within reach, under the first key that the two share.
 
     Runs are compared all at once: each row with the next one, then the one after that, as far as the run goes. The rows
-    of a part of a large key meet those of each other part in a run of their own.
+    of a part of a large key meet those of each other part in a run of their own. What comes out is a row for each class
+    that meets others in a run, not one for each pair.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
             runs, symbols = table.column("run").to_numpy(), _symbols(table.column("signature"))
-            root = table.column("root").to_numpy()
+            root, slot = table.column("root").to_numpy(), table.column("slot").to_numpy()
+            meets = np.zeros(len(runs), bool)
             rows, step = np.arange(len(runs)), 1
             while len(rows):
                 rows = rows[rows + step < len(runs)]
                 rows = rows[runs[rows] == runs[rows + step]]
                 apart = rows[root[rows] != root[rows + step]]
-                yield from _reported(table, apart, apart + step, symbols, once=True)
+                for start in range(0, len(apart), 100_000):
+                    left = apart[start : start + 100_000]
+                    left = left[_shared_slot(symbols[left], symbols[left + step]) == slot[left]]
+                    meets[left] = meets[left + step] = True
                 step += 1
+            for batch in table.filter(pa.array(meets)).select(["run", "slot", "cls", "root", "signature"]).to_batches():
+                yield batch
 
     parts = F.ceil(F.col("rows") / _PART).cast("int")
     dealt = entries.withColumn("own", _part("cls")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     run = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    found = _signed(dealt, classes, run).mapInArrow(compare, "a long, b long")
-    # Rows of one part of a large key meet in several runs.
-    return found.distinct()
+    return _signed(dealt, classes, run).mapInArrow(compare, MET)
+
+
+def _linked_across(
+    entries: DataFrame, docs: DataFrame, classes: DataFrame, similarity: int
+) -> tuple[DataFrame, int]:
+    """Links that join the components of ``entries``, and their number: at least one for any two that have a link.
+
+    Sets are brought to the runs, where pairs are confirmed on them; two components that a run has joined already are
+    not compared further in it.
+    """
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            runs, symbols = table.column("run").to_numpy(), _symbols(table.column("signature"))
+            cls, root, slot = (table.column(name).to_numpy() for name in ("cls", "root", "slot"))
+            found = table.column("found").combine_chunks()
+            bounds = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1], [True]]))
+            links = []
+            for start, end in zip(bounds.tolist(), bounds[1:].tolist()):
+                sets = [np.frombuffer(found[row].as_py(), np.uint64) for row in range(start, end)]
+                joined: dict[int, int] = {}
+
+                def top(vertex: int) -> int:
+                    while joined.setdefault(vertex, vertex) != vertex:
+                        joined[vertex] = vertex = joined[joined[vertex]]
+                    return vertex
+
+                for row in range(start, end - 1):
+                    others = np.arange(row + 1, end)
+                    others = others[root[others] != root[row]]
+                    others = others[_shared_slot(symbols[others], symbols[row]) == slot[row]] if len(others) else others
+                    for other in others.tolist():
+                        a, b = top(int(root[row])), top(int(root[other]))
+                        if a != b and _similar(sets[row - start], sets[other - start], similarity):
+                            joined[a] = b
+                            links.append((max(cls[row], cls[other]), min(cls[row], cls[other])))
+            yield pa.RecordBatch.from_pydict({
+                "a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())
+            })
+
+    met, count = counted(_met(entries, classes), "met-classes")
+    wanted = met.select("cls").distinct().join(classes.select("cls", "digest"), "cls")
+    sets = _sets(docs, stored(wanted, "wanted-classes", at_most=count))
+    rows = met.join(sets, "cls").repartition("run").sortWithinPartitions("run", "cls")
+    links = rows.mapInArrow(confirm, "a long, b long")
+    return counted(links.repartition(max(1, -(-count // 500_000))), "links")
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -256,6 +309,14 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(chosen.mapInArrow(gather, "cls long, found binary"), "shingle-sets")
 
 
+def _similar(left: np.ndarray, right: np.ndarray, similarity: int) -> bool:
+    """Whether two sets, sorted, have ``similarity`` percent of their union in common."""
+    places = np.searchsorted(left, right)
+    places[places == len(left)] = 0
+    common = int((left[places] == right).sum())
+    return 100 * common >= similarity * (len(left) + len(right) - common)
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: int) -> tuple[DataFrame, int]:
     """The pairs that are links, by their full sets, and their number."""
 
@@ -264,10 +325,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity
             linked = []
             for left, right in zip(batch.column("left"), batch.column("right")):
                 left, right = np.frombuffer(left.as_py(), np.uint64), np.frombuffer(right.as_py(), np.uint64)
-                places = np.searchsorted(left, right)
-                places[places == len(left)] = 0
-                common = int((left[places] == right).sum())
-                linked.append(100 * common >= similarity * (len(left) + len(right) - common))
+                linked.append(_similar(left, right, similarity))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(name).filter(pa.array(linked, pa.bool_())) for name in ("a", "b")], names=["a", "b"]
             )
@@ -296,7 +354,8 @@ def near_duplicates(
 
     1. Documents with equal sets are one class, found by an aggregation; only one of them goes on.
     2. Each class is compared with one class under each of half its keys, and confirmed links give components.
-    3. Under keys that have classes of different components, all pairs across components are compared.
+    3. Under keys that have classes of different components, all pairs across components are compared, in the tasks
+       that hold the key's classes. No row is written for a pair that is no link.
 
     So large groups of near copies collapse in step 2, with a few pairs a member, and step 3 loses no link. Full sets are
     made again for the classes in candidate pairs only, from a second read of ``docs``, which must be a stored table.
@@ -327,7 +386,7 @@ def near_duplicates(
     rooted = _with_roots(entries, roots)
     apart = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     crossing = rooted.join(apart.select("key"), "key")
-    more, further = _confirmed(_met(crossing, classes), texts, classes, similarity)
+    more, further = _linked_across(crossing, texts, classes, similarity)
     ties = roots.select(F.col("vertex").alias("a"), F.col("root").alias("b"))
     roots = components(ties.unionByName(more), 2 * number + further)
 
