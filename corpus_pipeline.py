@@ -1,8 +1,8 @@
 """A training corpus from raw documents: language, near duplicates, benchmark passages, mixture, token files.
 
-Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Rows are dealt with by their place in
-the stored table, so null and repeated ids do no harm, and further columns of the documents pass through. A table of
-decisions is broadcast only if its counted rows are few; otherwise both sides are shuffled by place.
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Rows are dealt with by a place that
+is written once with them, so null and repeated ids do no harm, and further columns of the documents pass through. A
+table of decisions is broadcast only if its counted rows are few; otherwise both sides are shuffled by place.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricefold.llm import contamination, language, mixing, near_duplicates, token_files
-from pricefold.llm.common import shared_folder, stored
+from pricefold.llm.common import numbered, shared_folder, stored
 from pricefold.llm.queries import END_ID, TOKENIZER, table
 
 _PLACE = "place"
@@ -20,15 +20,11 @@ _FEW = 1_000_000
 
 
 def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
-    """Documents, each as one column ``doc``, joined with decisions by their place.
-
-    A stored table numbers its rows alike in each read.
-    """
+    """Numbered documents joined with decisions by their place."""
     decisions = stored(decisions, "decisions")
     if decisions.count() <= _FEW:
         decisions = F.broadcast(decisions)
-    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    return docs.select(whole.alias("doc"), F.monotonically_increasing_id().alias(_PLACE)).join(decisions, _PLACE, how)
+    return docs.join(decisions, _PLACE, how)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +38,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: that with the smallest id, or of equal and missing ids the first one."""
-    grouped = near_duplicates.near_duplicates(docs).select("seen", "doc_id", "group")
+    docs = numbered(docs)
+    texts = docs.select(_PLACE, "doc.doc_id", "doc.text")
+    grouped = near_duplicates.near_duplicates(texts, seen_column=_PLACE).select("seen", "doc_id", "group")
     grouped = stored(grouped, "near-duplicate-groups")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "seen")
     kept = grouped.groupBy("group").agg(F.min_by("seen", order).alias("kept"), F.count("*").alias("n")).where("n > 1")
@@ -52,13 +50,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents without an occurrence of a benchmark window."""
-    found = contamination.contaminated(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    docs = numbered(docs)
+    texts, benchmark = docs.select(_PLACE, "doc.doc_id", "doc.text"), table(spark, sf_dir, "benchmark")
+    found = contamination.contaminated(texts, benchmark, seen_column=_PLACE).where("contaminated")
     return _decided(docs, found.select(F.col("seen").alias(_PLACE)), "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words, rounded; documents without words stay once."""
-    taken = mixing.mixed(docs)
+    docs = numbered(docs)
+    taken = mixing.mixed(docs.select(_PLACE, "doc.doc_id", "doc.source", "doc.text"), seen_column=_PLACE)
     copies = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("taken") / F.col("size"))).cast("int")
     decided = _decided(docs, taken.select(F.col("seen").alias(_PLACE), copies.alias("copies")), "inner")
     return decided.select(F.explode(F.array_repeat("doc", F.col("copies"))).alias("doc")).select("doc.*")

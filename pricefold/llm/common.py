@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow.fs
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -57,6 +57,20 @@ def counted(frame: DataFrame, name: str, at_most: int | None = None) -> tuple[Da
     return frame.sparkSession.read.schema(frame.schema).parquet(folder), seen.get["rows"]
 
 
+def place(column: str | None) -> Column:
+    """The number of a row: the column that holds it, or one that this read of the rows gives.
+
+    Another read may deal files to partitions in another way, as cores come and go, and so number the rows otherwise.
+    """
+    return F.monotonically_increasing_id() if column is None else F.col(column)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with their numbers: ``place``, and each row as one column ``doc``, so no name in it clashes."""
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    return stored(docs.select(place(None).alias("place"), whole.alias("doc")), "numbered-documents")
+
+
 def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system of a path or URI, as tasks reach it, and the path in it."""
     if path.startswith("file:"):

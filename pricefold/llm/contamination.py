@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import stored
+from pricefold.llm.common import place, stored
 from pricefold.llm.pieces import forget_kept
 
 WINDOW = 10
@@ -226,17 +226,17 @@ def search(index: DataFrame, phrases: Phrases, slop: int | None = None) -> DataF
 
 def matches(
     docs: DataFrame, benchmark: DataFrame, slop: int | None = None, block_bytes: int = _BLOCK_BYTES,
-    id_column: str = "doc_id",
+    id_column: str = "doc_id", seen_column: str | None = None,
 ) -> DataFrame:
     """``search`` over an index of all of ``docs`` for the windows of all benchmark items.
 
     The benchmark is collected and broadcast in blocks of about ``block_bytes`` of text; one block is the rule. With
     several, the numbered documents are written once, each block is searched in an index of its own terms, and the hits
-    of a document are put together.
+    of a document are put together. ``seen_column`` says where ``docs`` has the numbers already, if it does.
     """
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
-    seen = F.monotonically_increasing_id().alias("seen")
+    seen = place(seen_column).alias("seen")
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), seen, F.col("text").cast("binary").alias("text"))
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), F.col("text").cast("binary"))
     if blocks == 1:
@@ -258,7 +258,10 @@ def matches(
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = _BLOCK_BYTES, id_column: str = "doc_id") -> DataFrame:
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = _BLOCK_BYTES, id_column: str = "doc_id",
+    seen_column: str | None = None,
+) -> DataFrame:
     """One row for each row of ``docs``: seen, doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     Words are runs of letters, digits and signs beyond ASCII, with A-Z as a-z. A window is ten consecutive words of an
@@ -266,7 +269,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = _BLOC
     of the items with occurring windows, sorted as strings and joined by commas. A null or empty text has no words;
     items without words match nothing; items of one id count once; an item without id is called ``null``.
     """
-    found = matches(docs, benchmark, None, block_bytes, id_column)
+    found = matches(docs, benchmark, None, block_bytes, id_column, seen_column)
     step = F.aggregate(
         F.array_sort("hits"),
         F.struct(F.lit(0).cast("bigint").alias("words"), F.lit(0).cast("bigint").alias("end")),

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import checkpointed, located
+from pricefold.llm.common import checkpointed, located, place
 
 # Points are multiples of 2**-31. The step is 2**31 divided by the golden ratio, made odd, so no point repeats early.
 _BITS = 31
@@ -79,19 +79,20 @@ def mixed(
     most: int = 2,
     block: int = 64,
     id_column: str = "doc_id",
+    seen_column: str | None = None,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, size, source_size, target, taken, seen.
 
     ``size`` counts the words of the text (0 for null); ``taken`` the words that the mix takes of the document, repeats
     counted, at most ``most`` times its size. What a source gives differs from its target by a few blocks at most. The
     shuffle order is a hash of id and text, so reruns agree; rows that agree in both follow the order of the input, which
-    ``seen`` numbers. Null ids and a null source are values like others.
+    ``seen`` numbers, or ``seen_column`` if it is given. Null ids and a null source are values like others.
 
     Words are counted once and written, slim, to the checkpoint folder. A source that holds most rows is ordered in
     2**10 buckets of the hash and its slots are ranked by stretches of the schedule; only sums are put in order whole.
     """
     rows = checkpointed(docs.select(
-        F.monotonically_increasing_id().alias("seen"),
+        place(seen_column).alias("seen"),
         F.col(id_column).alias("doc_id"),
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),

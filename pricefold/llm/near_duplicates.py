@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.common import counted, stored
+from pricefold.llm.common import counted, place, stored
 from pricefold.llm.components import components
 from pricefold.llm.pieces import forget_kept
 
@@ -342,15 +342,16 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity
 
 
 def near_duplicates(
-    docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id", text_column: str = "text",
+    seen_column: str | None = None,
 ) -> DataFrame:
     """One row for each row of ``docs``: seen, doc_id, n_shingles, component_id, kept, group.
 
     Documents whose sets of five-word shingles have ``100 * common >= similarity * all`` are linked. ``component_id`` is
     the smallest id that a document reaches by links; ``kept`` marks the documents that have it. Documents without words
     are linked with nothing. Rows of one id are documents of their own; a row without an id links like others and gives
-    its component no id, so a component of such rows only has a null id and none kept. ``seen`` numbers the rows in the
-    order of the stored table and ``group`` is the smallest of a component's numbers.
+    its component no id, so a component of such rows only has a null id and none kept. ``seen`` numbers the rows and
+    ``group`` is the smallest of a component's numbers.
 
     1. Documents with equal sets are one class, found by an aggregation; only one of them goes on.
     2. Each class is compared with one class under each of half its keys, and confirmed links give components.
@@ -358,12 +359,15 @@ def near_duplicates(
        that hold the key's classes. No row is written for a pair that is no link.
 
     So large groups of near copies collapse in step 2, with a few pairs a member, and step 3 loses no link. Full sets are
-    made again for the classes in candidate pairs only, from a second read of ``docs``, which must be a stored table.
+    made again for the classes in candidate pairs only, from a second read of the texts. For it they are written once with
+    their numbers, unless ``docs`` is a stored table that holds these in ``seen_column``.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("seen"), F.col(id_column).cast("bigint").alias("doc_id"),
+        place(seen_column).alias("seen"), F.col(id_column).cast("bigint").alias("doc_id"),
         F.col(text_column).cast("binary").alias("text"),
     )
+    if seen_column is None:
+        rows = stored(rows, "numbered-texts")
     found, count = counted(sketches(rows), "sketches")
     texts = rows.select("seen", "text")
     classes = stored(

@@ -86,3 +86,30 @@ def test_every_operator_is_registered():
     assert "pipeline" in names and [name for name, _ in pipeline.STAGES] == [
         "language", "near_duplicates", "decontamination", "mixing", "token_files"
     ]
+
+
+@pytest.mark.parametrize("name", ["near_duplicates", "decontamination", "mixing"])
+def test_decisions_stay_with_their_rows_when_the_splits_change(spark, sf_dir, tmp_path, monkeypatch, name):
+    """Fewer cores deal files to partitions in another way; here, from the first stored table on."""
+    from pricefold.llm import common
+    from pricefold.llm.queries import table
+
+    stage, path, setting = dict(pipeline.STAGES)[name], str(tmp_path / "docs"), "spark.sql.files.minPartitionNum"
+    table(spark, sf_dir, "documents").repartition(12, "doc_id").write.parquet(path)
+    answers, counted = [], common.counted
+
+    def then_fewer(*args, **kwargs):
+        made = counted(*args, **kwargs)
+        spark.conf.set(setting, "1")
+        return made
+
+    try:
+        for change in (False, True):
+            spark.conf.set(setting, "12")
+            if change:
+                monkeypatch.setattr(common, "counted", then_fewer)
+                monkeypatch.setattr("pricefold.llm.near_duplicates.counted", then_fewer)
+            answers.append(sorted(row.doc_id for row in stage(spark, spark.read.parquet(path), sf_dir).collect()))
+    finally:
+        spark.conf.unset(setting)
+    assert answers[0] == answers[1]
