@@ -1,8 +1,11 @@
 """Operator 6: mix sources to target weights by a low-discrepancy schedule of equal blocks of words.
 
-Slot i of the schedule falls on point ``i * golden ratio mod 1``. The points are mapped through the cumulative targets, so
-every stretch of the schedule holds the sources in proportion. The k-th slot of a source takes the k-th block of its
-documents, which are shuffled, laid end to end and cut every ``block`` words; after the last block it starts again.
+A source has as many slots as it takes to reach its target, and its last slot is cut to the words that are missing then.
+The order of the slots is the schedule: slot i falls on point ``i * golden ratio mod 1`` and the points are mapped through
+the cumulative numbers of slots, so every stretch of the schedule holds the sources in proportion. Points that a source
+has too many are passed over, and slots for which it has too few come at the end. The k-th slot of a source takes the
+k-th block of its documents, which are shuffled, laid end to end and cut every ``block`` words; after the last block,
+which may be shorter, it starts again.
 """
 
 from __future__ import annotations
@@ -53,23 +56,47 @@ def targets(sizes: DataFrame, weights: Sequence[int], share: float, most: float)
     return sources.withColumn("target", target).drop("_ratio", "_level", "_reached")
 
 
-def schedule(sources: DataFrame, block: int, small: bool) -> DataFrame:
-    """The slots as (number of the source, rank among its slots)."""
-    words = sources.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
-    if not words:
+def quotas(sources: DataFrame, most: int, block: int) -> DataFrame:
+    """Add to each source its blocks, the words it gives and the slots it gives them in.
+
+    The words are the target rounded up, so a source with a target is never without a slot: ``rounds`` times all words
+    and then the first ``rest`` words again.
+    """
+    words = F.least(F.ceil("target"), F.col("source_size") * most).cast("bigint")
+    sources = sources.withColumn("blocks", F.ceil(F.col("source_size") / block)).withColumn("words", words)
+    whole = F.when(F.col("words") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(0)
+    sources = sources.withColumn("rounds", whole.cast("bigint"))
+    sources = sources.withColumn("rest", F.col("words") - F.col("rounds") * F.col("source_size"))
+    slots = F.col("rounds") * F.col("blocks") + F.ceil(F.col("rest") / block)
+    return sources.withColumn("slots", slots.cast("bigint"))
+
+
+def schedule(sources: DataFrame, small: bool) -> DataFrame:
+    """The slots as (number of the source, rank among its slots): for each source as many as its ``slots``, from rank 0."""
+    number = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    if not number:
         return sources.select("number", F.lit(0).cast("bigint").alias("rank")).where(F.lit(False))
-    share = F.sum("target").over(Window.orderBy("number")) / F.sum("target").over(Window.partitionBy())
+    share = F.sum("slots").over(Window.orderBy("number")) / F.sum("slots").over(Window.partitionBy())
     ends = sources.withColumn("high", F.round(share * F.lit(1 << _BITS)).cast("bigint"))
     shares = ends.select("number", F.lag("high", 1, 0).over(Window.orderBy("number")).alias("low"), "high")
     point = F.pmod(F.pmod("id", F.lit(1 << _BITS)) * F.lit(_STEP), F.lit(1 << _BITS))
-    slots = sources.sparkSession.range(-(-int(words) // block)).withColumn("point", point)
+    slots = sources.sparkSession.range(number).withColumn("point", point)
     slots = located(slots, shares, "point", _BITS, small)
     slots = slots.select("number", "id", F.shiftright("id", _STRETCH).alias("stretch"))
     counts = slots.groupBy("number", "stretch").agg(F.count("*").alias("slots"))
+    # One row for each source and stretch that it has points in, which the points' ranks and the missing slots need.
+    counts = checkpointed(counts)
+    met = counts.groupBy(F.col("number").alias("_number")).agg(F.sum("slots").alias("_met"))
+    wanted = sources.select("number", "slots")
+    lacking = wanted.join(met, F.col("number") == F.col("_number"), "left").withColumn("_met", F.coalesce("_met", F.lit(0)))
+    lacking = lacking.where(F.col("_met") < F.col("slots"))
+    late = lacking.select("number", F.explode(F.sequence("_met", F.col("slots") - 1)).alias("rank"))
     counts = counts.withColumn("start", _before("slots", ["number"], ["stretch"])).drop("slots")
     within = F.row_number().over(Window.partitionBy("number", "stretch").orderBy("id")) - 1
     ranked = slots.withColumn("rank", within).join(counts, ["number", "stretch"])
-    return ranked.select("number", (F.col("rank") + F.col("start")).alias("rank"))
+    ranked = ranked.select("number", (F.col("rank") + F.col("start")).alias("rank"))
+    wanted = F.broadcast(wanted) if small else wanted
+    return ranked.join(wanted, "number").where(F.col("rank") < F.col("slots")).drop("slots").unionByName(late)
 
 
 def mixed(
@@ -84,8 +111,8 @@ def mixed(
     """One row for each row of ``docs``: doc_id, size, source_size, target, taken, seen.
 
     ``size`` counts the words of the text (0 for null); ``taken`` the words that the mix takes of the document, repeats
-    counted, at most ``most`` times its size. What a source gives differs from its target by a few blocks at most. The
-    shuffle order is a hash of id and text, so reruns agree; rows that agree in both follow the order of the input, which
+    counted, at most ``most`` times its size. What a source gives is its target, rounded up to whole words. The shuffle
+    order is a hash of id and text, so reruns agree; rows that agree in both follow the order of the input, which
     ``seen`` numbers, or ``seen_column`` if it is given. Null ids and a null source are values like others.
 
     Words are counted once and written, slim, to the checkpoint folder. A source that holds most rows is ordered in
@@ -99,17 +126,19 @@ def mixed(
         F.xxhash64(F.col(id_column), "text").alias("key"),
     ))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    sources = checkpointed(targets(sizes, weights, share, most))
+    sources = checkpointed(quotas(targets(sizes, weights, share, most), most, block))
     small = sources.count() <= _FEW_SOURCES
     few = (lambda frame: F.broadcast(frame)) if small else (lambda frame: frame)
     named = few(sources.withColumnRenamed("source", "_source"))
     rows = rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
 
-    blocks = F.ceil(F.col("source_size") / block)
-    slots = schedule(sources, block, small).join(few(sources.select("number", "source_size")), "number")
-    slots = slots.withColumn("blocks", blocks).where(F.col("blocks") > 0)
-    rounds = slots.where(F.col("rank") < F.col("blocks") * most)
-    taken = rounds.groupBy("number", (F.col("rank") % F.col("blocks")).alias("block")).agg(F.count("*").alias("times"))
+    slots = schedule(sources, small).join(few(sources.select("number", "blocks", "rounds", "rest")), "number")
+    turn = F.floor(F.col("rank") / F.col("blocks"))
+    slots = slots.withColumn("whole", turn < F.col("rounds")).withColumn("block", F.col("rank") % F.col("blocks"))
+    # In the round that is not whole, words of a block count up to the rest only.
+    taken = slots.groupBy("number", "block").agg(
+        F.count_if("whole").alias("times"), F.max(F.when(~F.col("whole"), F.col("rest"))).alias("until")
+    )
 
     rows = rows.withColumn("bucket", F.shiftrightunsigned("key", 64 - _BUCKETS))
     sums = rows.groupBy("number", "bucket").agg(F.sum("size").alias("words"))
@@ -120,9 +149,11 @@ def mixed(
     size = F.lit(block)
     cut = F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size))
     parts = laid.withColumn("block", F.explode(cut))
-    words = F.least("end", (F.col("block") + 1) * size) - F.greatest("start", F.col("block") * size)
-    met = parts.withColumn("words", words).join(taken, ["number", "block"])
-    given = met.groupBy("seen").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    parts = parts.withColumn("start", F.greatest("start", F.col("block") * size))
+    parts = parts.withColumn("end", F.least("end", (F.col("block") + 1) * size))
+    words = (F.col("end") - F.col("start")) * F.col("times")
+    last = F.greatest(F.least("end", F.coalesce("until", F.lit(0))) - F.col("start"), F.lit(0))
+    given = parts.join(taken, ["number", "block"]).groupBy("seen").agg(F.sum(words + last).alias("taken"))
     result = rows.join(given, "seen", "left")
     return result.select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "seen"

@@ -73,3 +73,26 @@ def test_a_hot_source(spark):
         "id as doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 50)) as source", "repeat('w ', cast(id % 40 as int)) as text"
     )
     checked(docs.collect(), mixing.mixed(docs).collect())
+
+
+def test_small_sources_reach_their_targets(spark):
+    """One large source, sources of 1 to 200 words, and many of 30: none vanishes, each gives its target."""
+    texts = [("large", 3000)] * 100 + [(f"of{n}", n) for n in range(1, 201)] + [(f"s{n}", 30) for n in range(200)]
+    rows = [(place, source, "w " * words) for place, (source, words) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    target, taken = {}, defaultdict(int)
+    for row in mixing.mixed(docs).collect():
+        source = texts[row.doc_id][0]
+        target[source] = row.target
+        taken[source] += row.taken
+        assert 0 <= row.taken <= 2 * row.size
+    assert all(target[name] <= taken[name] < target[name] + 1 for name in target)
+
+
+def test_the_schedule_holds_each_quota(spark):
+    rows = [(number, slots) for number, slots in enumerate([5000, 0, 1, 1, 2, 70_000, 3, 1])]
+    sources = spark.createDataFrame(rows, "number int, slots long")
+    found = defaultdict(list)
+    for number, rank in mixing.schedule(sources, True).collect():
+        found[number].append(rank)
+    assert {number: sorted(ranks) for number, ranks in found.items()} == {n: list(range(k)) for n, k in rows if k}
