@@ -3,7 +3,8 @@
 A signature has ``CHUNKS`` chunks of ``WIDTH`` symbols, each the low 16 bits of a minimum over the document's shingles.
 Two signatures that differ in at most ``REACH`` symbols agree, by the pigeonhole principle, in some chunk up to one
 symbol. So each signature is entered under each of its chunks with each symbol left out, which enumerates all chunk
-errors there may be, and every such pair meets under a key. Links are confirmed on the full sets of shingles.
+errors there may be, and every such pair meets under a key. Every pair that meets, also of signatures that differ in
+more, is confirmed or not on the full sets of shingles.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,16 +133,21 @@ def _symbols(column: pa.Array) -> np.ndarray:
 
 
 def _shared_slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The first key that signatures within reach share, by its slot; -1 for those out of reach.
+    """The first key that signatures share, by its slot; -1 for those that share none.
 
-    A pair across components is looked at under that key only, so it is looked at once.
+    A pair across components is looked at under that key only, so it is looked at once. How many symbols differ in all
+    does not decide: sets that are similar enough may differ in more than ``REACH``.
     """
-    errors = left != right
-    by_chunk = errors.reshape(-1, CHUNKS, WIDTH)
+    by_chunk = (left != right).reshape(-1, CHUNKS, WIDTH)
     few = by_chunk.sum(axis=2) <= 1
     chunk = few.argmax(axis=1)
     left_out = by_chunk[np.arange(len(chunk)), chunk].argmax(axis=1)
-    return np.where((errors.sum(axis=1) <= REACH) & few.any(axis=1), chunk * WIDTH + left_out, -1)
+    return np.where(few.any(axis=1), chunk * WIDTH + left_out, -1)
+
+
+def _alike_in_size(left: np.ndarray, right: np.ndarray, similarity: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar: they have at most the smaller one in common."""
+    return 100 * np.minimum(left, right) >= similarity * np.maximum(left, right)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -163,13 +170,13 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _reported(
-    table: pa.Table, left: np.ndarray, right: np.ndarray, symbols: np.ndarray
+    table: pa.Table, left: np.ndarray, right: np.ndarray, symbols: np.ndarray, similarity: int
 ) -> Iterator[pa.RecordBatch]:
-    """The pairs of rows that are within reach."""
-    cls = table.column("cls").to_numpy()
+    """The pairs of rows that share a key and may be links by their sizes."""
+    cls, size = table.column("cls").to_numpy(), table.column("size").to_numpy()
     for start in range(0, len(left), 100_000):
         a, b = left[start : start + 100_000], right[start : start + 100_000]
-        met = _shared_slot(symbols[a], symbols[b]) >= 0
+        met = (_shared_slot(symbols[a], symbols[b]) >= 0) & _alike_in_size(size[a], size[b], similarity)
         first, second = cls[a[met]], cls[b[met]]
         yield pa.RecordBatch.from_pydict(
             {"a": pa.array(np.maximum(first, second)), "b": pa.array(np.minimum(first, second))}
@@ -177,7 +184,7 @@ def _reported(
 
 
 def _signed(entries: DataFrame, classes: DataFrame, run: Column) -> DataFrame:
-    chosen = entries.withColumn("run", run).join(classes.select("cls", "signature"), "cls")
+    chosen = entries.withColumn("run", run).join(classes.select("cls", "size", "signature"), "cls")
     return chosen.repartition("run").sortWithinPartitions("run", F.col("cls") != F.col("first"), "cls")
 
 
@@ -185,8 +192,8 @@ def _part(cls: str) -> Column:
     return F.pmod(F.xxhash64(cls), F.ceil(F.col("rows") / _PART)).cast("int")
 
 
-def _stars(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each class with the first one under a key, if they are within reach.
+def _stars(entries: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
+    """Each class with the first one under a key, if they may be links.
 
     A key of many rows is dealt to several runs, each with the first class. Half of the keys are enough here.
     """
@@ -196,7 +203,7 @@ def _stars(entries: DataFrame, classes: DataFrame) -> DataFrame:
             runs, symbols = table.column("run").to_numpy(), _symbols(table.column("signature"))
             heads = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
             rows = np.setdiff1d(np.arange(len(runs)), heads, assume_unique=True)
-            yield from _reported(table, rows, heads[np.searchsorted(heads, rows, "right") - 1], symbols)
+            yield from _reported(table, rows, heads[np.searchsorted(heads, rows, "right") - 1], symbols, similarity)
 
     parts = F.ceil(F.col("rows") / _PART).cast("int")
     everywhere = F.sequence(F.lit(0), parts - 1)
@@ -208,8 +215,8 @@ def _stars(entries: DataFrame, classes: DataFrame) -> DataFrame:
 MET = "run long, slot int, cls long, root long, signature binary"
 
 
-def _met(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of runs that meet one of another component within reach, under the first key that the two share.
+def _met(entries: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
+    """The rows of runs that meet one of another component that may be a link, under the first key that the two share.
 
     Runs are compared all at once: each row with the next one, then the one after that, as far as the run goes. The rows
     of a part of a large key meet those of each other part in a run of their own. What comes out is a row for each class
@@ -219,7 +226,7 @@ def _met(entries: DataFrame, classes: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
             runs, symbols = table.column("run").to_numpy(), _symbols(table.column("signature"))
-            root, slot = table.column("root").to_numpy(), table.column("slot").to_numpy()
+            root, slot, size = (table.column(name).to_numpy() for name in ("root", "slot", "size"))
             meets = np.zeros(len(runs), bool)
             rows, step = np.arange(len(runs)), 1
             while len(rows):
@@ -228,6 +235,7 @@ def _met(entries: DataFrame, classes: DataFrame) -> DataFrame:
                 apart = rows[root[rows] != root[rows + step]]
                 for start in range(0, len(apart), 100_000):
                     left = apart[start : start + 100_000]
+                    left = left[_alike_in_size(size[left], size[left + step], similarity)]
                     left = left[_shared_slot(symbols[left], symbols[left + step]) == slot[left]]
                     meets[left] = meets[left + step] = True
                 step += 1
@@ -254,6 +262,7 @@ def _linked_across(
             runs, symbols = table.column("run").to_numpy(), _symbols(table.column("signature"))
             cls, root, slot = (table.column(name).to_numpy() for name in ("cls", "root", "slot"))
             found = table.column("found").combine_chunks()
+            size = pc.binary_length(found).to_numpy() // 8
             bounds = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1], [True]]))
             links = []
             for start, end in zip(bounds.tolist(), bounds[1:].tolist()):
@@ -268,6 +277,7 @@ def _linked_across(
                 for row in range(start, end - 1):
                     others = np.arange(row + 1, end)
                     others = others[root[others] != root[row]]
+                    others = others[_alike_in_size(size[others], size[row], similarity)]
                     others = others[_shared_slot(symbols[others], symbols[row]) == slot[row]] if len(others) else others
                     for other in others.tolist():
                         a, b = top(int(root[row])), top(int(root[other]))
@@ -278,7 +288,7 @@ def _linked_across(
                 "a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())
             })
 
-    met, count = counted(_met(entries, classes), "met-classes")
+    met, count = counted(_met(entries, classes, similarity), "met-classes")
     wanted = met.select("cls").distinct().join(classes.select("cls", "digest"), "cls")
     sets = _sets(docs, stored(wanted, "wanted-classes", at_most=count))
     rows = met.join(sets, "cls").repartition("run").sortWithinPartitions("run", "cls")
@@ -372,7 +382,8 @@ def near_duplicates(
     texts = rows.select("seen", "text")
     classes = stored(
         found.where("digest is not null").groupBy("digest").agg(
-            F.min("seen").alias("cls"), F.min("doc_id").alias("least"), F.first("signature").alias("signature")
+            F.min("seen").alias("cls"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("size"),
+            F.first("signature").alias("signature"),
         ),
         "classes",
         at_most=10 * count,
@@ -383,7 +394,7 @@ def near_duplicates(
     shared = keys.groupBy("key").agg(F.count("*").alias("rows"), first).where("rows > 1")
     entries = stored(keys.join(shared, "key"), "index")
 
-    stars = _stars(entries.where(F.col("slot") % 2 == 0), classes)
+    stars = _stars(entries.where(F.col("slot") % 2 == 0), classes, similarity)
     links, number = _confirmed(stars.distinct(), texts, classes, similarity)
     roots = components(links, number)
 

@@ -119,3 +119,18 @@ def test_components(spark):
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {row.vertex: row.root for row in found} == {vertex: find(vertex) for vertex in root} and len(found) == len(root)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_similar_sets_beyond_reach_are_linked_if_they_meet(spark):
+    """Two pairs with six of eight shingles in common, whose signatures differ in 24 symbols and share a key."""
+    docs = []
+    for number in (730, 6333):
+        words = [f"w{number}x{place}" for place in range(11)]
+        docs += [(len(docs), " ".join(words)), (len(docs) + 1, " ".join([*words[:-1], f"v{number}"]))]
+    hashes = near_duplicates.WordHashes()
+    signs = [np.frombuffer(near_duplicates.signature(near_duplicates.shingles(text.encode(), hashes)), "<u2") for _, text in docs]
+    assert all((signs[row] != signs[row + 1]).sum() > near_duplicates.REACH for row in (0, 2))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = near_duplicates.near_duplicates(frame).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, rows), key=repr) == brute(docs)
+    assert len({row.component_id for row in rows}) == 2
