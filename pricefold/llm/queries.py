@@ -50,6 +50,13 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(docs).select("doc_id", F.col("lang").alias("declared"), "identified.*")
 
 
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3 over all pages, with the language that the markup declares and the address suffix."""
+    pages = language.page_evidence(table(spark, sf_dir, "pages"))
+    found = language.identified(pages, declared="declared", host="host", suffix="suffix")
+    return found.select("page_id", "declared", "host", "suffix", "identified.*")
+
+
 def op4_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.sharded(table(spark, sf_dir, "documents"), shards=SHARDS)
 
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
     "op3_language": op3_language,
+    "pages_language": pages_language,
     "op4_ring": op4_ring,
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,

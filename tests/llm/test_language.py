@@ -79,3 +79,14 @@ def test_pages(spark, sf_dir):
     assert {tuple(row) for row in language.page_evidence(odd).select("declared", "host", "suffix").collect()} == {
         (None, None, None), ("fr", None, None), (None, "a.b.fr", "fr")
     }
+
+
+def test_a_registered_query_identifies_all_pages(spark, sf_dir):
+    import __spark_entry__ as entry
+    from pricefold.llm.queries import table
+
+    pages = table(spark, sf_dir, "pages")
+    rows = entry.queries()["pages_language"](spark, sf_dir).collect()
+    assert sorted(row.page_id for row in rows) == sorted(row.page_id for row in pages.select("page_id").collect())
+    assert all(row.suffix and row.host.endswith(row.suffix) for row in rows if row.host)
+    assert any(row.declared for row in rows) and any(row.language for row in rows)
