@@ -71,6 +71,19 @@ def numbered(docs: DataFrame) -> DataFrame:
     return stored(docs.select(place(None).alias("place"), whole.alias("doc")), "numbered-documents")
 
 
+def drawn(texts: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` of the distinct rows of ``texts``, or all if there are no more.
+
+    The draw goes by a hash of the row and copies count once, so neither copies nor rows left out before bear on its size.
+    The number of distinct rows is estimated, to a few hundredths.
+    """
+    key = F.xxhash64(*texts.columns)
+    total = texts.agg(F.approx_count_distinct(key)).first()[0]
+    if total > rows:
+        texts = texts.where(F.shiftrightunsigned(key, 1) < int(rows / total * ((1 << 63) - 1)))
+    return texts.distinct()
+
+
 def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system of a path or URI, as tasks reach it, and the path in it."""
     if path.startswith("file:"):

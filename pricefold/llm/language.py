@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricefold.llm.common import checkpointed
+from pricefold.llm.common import checkpointed, drawn
 from pricefold.llm.pieces import forget_kept
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -64,12 +64,9 @@ def trigrams(text: str) -> Iterator[np.ndarray]:
 def trained(docs: DataFrame, languages: Sequence[str], rows: int) -> np.ndarray:
     """Log-likelihood of each trigram's last sign under each language, and under none of them, as one table.
 
-    Counted over about ``rows`` documents that declare one of the languages. ``docs`` has text and declared.
+    Counted over about ``rows`` of the distinct texts that declare one of the languages. ``docs`` has text and declared.
     """
     labelled = docs.where(F.col("declared").isin(*languages) & F.col("text").isNotNull()).select("declared", "text")
-    total = docs.count()
-    if total > rows:
-        labelled = labelled.where(F.shiftrightunsigned(F.xxhash64("text"), 1) < int(rows / total * ((1 << 63) - 1)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_kept()
@@ -84,7 +81,7 @@ def trained(docs: DataFrame, languages: Sequence[str], rows: int) -> np.ndarray:
             "n": pa.array(seen[language, trigram], pa.int64()),
         })
 
-    counted = labelled.mapInArrow(count, "language int, trigram int, n long").groupBy("language", "trigram").agg(F.sum("n"))
+    counted = drawn(labelled, rows).mapInArrow(count, "language int, trigram int, n long").groupBy("language", "trigram").agg(F.sum("n"))
     counts = np.zeros((len(languages), _SIGNS, _SIGNS, _SIGNS))
     # At most one row for each language and trigram.
     for language, trigram, n in counted.collect():
@@ -128,7 +125,7 @@ def identified(
     of their own. A column of ``docs`` that is called ``into`` is replaced; other columns, whatever their names, pass
     through, as do repeated rows.
 
-    The trigram table is fitted on a bounded sample of about ``train_rows`` documents. The counts behind the priors
+    The trigram table is fitted on a bounded sample of about ``train_rows`` labelled, distinct texts. The counts behind the priors
     cover all documents; they are one row per host, broadcast only if there are few, and else joined by host.
     """
     languages = list(languages)

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricefold.llm.common import drawn
+
 # The kinds in their order, and the patterns.
 KINDS = ["email", "ip", "card", "phone"]
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -254,14 +256,11 @@ def _reached(start: set[int], edges: list) -> set[int]:
 
 
 def trained(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Potentials of looks and of neighbours, counted over about ``rows`` documents whose base spans are the labels.
+    """Potentials of looks and of neighbours, counted over about ``rows`` distinct texts whose base spans are the labels.
 
     The table that comes to the driver has one row per feature and label; there are some hundred at most.
     """
-    total = docs.count()
-    chosen = docs.select("text")
-    if total > rows:
-        chosen = chosen.where(F.shiftrightunsigned(F.xxhash64("text"), 1) < int(rows / total * ((1 << 63) - 1)))
+    chosen = drawn(docs.select("text").where("text is not null"), rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricefold.llm import language
+from pricefold.llm import common, language
 
 
 def test_held_out_accuracy(spark, sf_dir):
@@ -90,3 +90,19 @@ def test_a_registered_query_identifies_all_pages(spark, sf_dir):
     assert sorted(row.page_id for row in rows) == sorted(row.page_id for row in pages.select("page_id").collect())
     assert all(row.suffix and row.host.endswith(row.suffix) for row in rows if row.host)
     assert any(row.declared for row in rows) and any(row.language for row in rows)
+
+
+def test_the_training_draw_counts_labelled_texts_and_each_text_once(spark):
+    """Few labelled rows among many, and one text that holds a third of them."""
+    docs = spark.range(20_000).selectExpr("if(id % 3 = 0, 'the same', concat('text ', id)) as text")
+    labelled = docs.distinct().withColumn("declared", F.lit("en"))
+    assert 400 < common.drawn(labelled, 500).count() < 600
+    copied = docs.union(docs).withColumn("declared", F.lit("en"))
+    rows = common.drawn(copied, 500)
+    assert 400 < rows.count() < 600 and rows.distinct().count() == rows.count()
+
+    few = spark.range(300).selectExpr("concat('le chat ', id) as text", "'fr' as declared")
+    rest = docs.selectExpr("text", "cast(null as string) as declared").limit(9_000)
+    whole = language.trained(few, language.LANGUAGES, 1_000)
+    assert (language.trained(few.union(rest), language.LANGUAGES, 1_000) == whole).all()
+    assert (language.trained(few.union(few), language.LANGUAGES, 1_000) == whole).all()
