@@ -12,19 +12,23 @@ from pricefold.llm import (
     contamination,
     cover_tree,
     language,
+    merkle,
     mixing,
     near_duplicates,
     personal_data,
+    prefix_trie,
     ring,
     token_counts,
     token_files,
     warc,
+    whitening,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 END_ID = 2
 SHARDS = 40
+COMPONENTS = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +95,20 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("seen", "group")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator's deviation is an exact decimal; here, one that passes 64 bits is null."""
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"), COMPONENTS)
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
@@ -103,4 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_cover_tree": op9_cover_tree,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_merkle": op11_merkle,
+    "op12_whitening": op12_whitening,
+    "op13_prefix_trie": op13_prefix_trie,
 }

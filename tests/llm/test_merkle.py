@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from pricefold.llm import merkle
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def split_after(text: str, pattern: str) -> list[str]:
+    """The parts of a text that end where ``pattern`` has matched."""
+    ends = [0, *(match.end() for match in re.finditer(pattern, text)), len(text)]
+    return [text[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def brute_tree(text: str):
+    sections = [
+        part for long in split_after(text, r"\n[\t\n\f\r ]*\n") for part in split_after(long, r"\n(?=#{1,6} )")
+    ]
+    paragraphs = [split_after(section, r"(?<!\n)\n+(?=[^\n])|^\n+(?=[^\n])") for section in sections]
+    phrases = [[split_after(part, r"[.!?;:,st][\t\n\f\r ](?=[^\t\n\f\r ])") for part in section] for section in paragraphs]
+    return phrases
+
+
+def brute_digests(text: str):
+    leaves = [[[sha(leaf) for leaf in part] for part in section] for section in brute_tree(text)]
+    paragraphs = [[sha("".join(part)) for part in section] for section in leaves]
+    sections = [sha("".join(section)) for section in paragraphs]
+    return sha("".join(sections)), sections, paragraphs, leaves
+
+
+def brute_fingerprint(text: str) -> str:
+    root, sections, paragraphs, leaves = brute_digests(text)
+    return "/".join([
+        root,
+        ";".join(x[:16] for x in sections),
+        ";".join(",".join(x[:16] for x in part) for part in paragraphs),
+        ";".join(",".join("".join(x[:8] for x in leaf) for leaf in part) for part in leaves),
+    ])
+
+
+def brute_likeness(one: str, other: str) -> float:
+    a, b = ({x for part in brute_digests(t)[3] for leaf in part for x in leaf} for t in (one, other))
+    return len(a & b) / max(len(a), len(b))
+
+
+def brute_rows(texts: list[str]):
+    """For texts in their order, the contract's columns but the id."""
+    for text, following in zip(texts, [*texts[1:], texts[0]]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        yield (
+            len(text), sha(edited), brute_fingerprint(text), brute_fingerprint(edited),
+            brute_likeness(text, edited), brute_likeness(text, following),
+        )
+
+
+COLUMNS = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+TEXTS = [
+    "", "a", "One line.", "First line, of two.\nSecond line, of two.", "# Head\nSome text.\n\nMore text, said at last.\n## Next\nEnd.",
+    "A line that stays.\nA line that goes.\n\n\n# New\nLast words of all.", "x" * 70_000, "it was so, it was late. " * 4_000,
+    "Wörter, Zeichen; 😀 und est là, et puis tout.\nÜber alles hinaus.", "same", "same", " \t\n", "One line.",
+]
+
+
+def test_rows_equal_brute_force(spark):
+    docs = spark.createDataFrame([(k, text, "x") for k, text in enumerate(TEXTS)], "doc_id long, text string, key string")
+    found = merkle.edited_fingerprints(docs).orderBy(F.desc("doc_id")).select(*COLUMNS).collect()
+    assert [tuple(row) for row in found] == list(brute_rows(TEXTS[::-1]))
+
+
+@pytest.mark.parametrize("rows_a_group", [1, 3, 1000])
+def test_hot_ids_and_repeated_rows_go_to_slices(spark, monkeypatch, rows_a_group):
+    monkeypatch.setattr(merkle, "_ROWS_A_GROUP", rows_a_group)
+    rows = [(7, f"text number {k % 9}, with some words.") for k in range(60)]
+    rows += [(k, f"alone, as {k} is.") for k in (-(2**63), -3, 0, 1, 6, 8, 9, 2**63 - 1)] + [(None, "no id"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    order = [(k, t or "") for k, t in rows]
+    hashes = {row.text: row.h for row in spark.createDataFrame([(t,) for _, t in set(order)], "text string").select(
+        "text", F.xxhash64("text").alias("h")).collect()}
+    order.sort(key=lambda row: (-row[0] if row[0] is not None else 2**63, hashes[row[1]]))
+    found = merkle.edited_fingerprints(docs).select("doc_id", *COLUMNS).collect()
+    expected = [(k, *row) for (k, _), row in zip(order, brute_rows([t for _, t in order]))]
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
+
+
+def test_equal_texts_alone_have_equal_roots_whatever_signs_they_hold(spark):
+    texts = [*TEXTS, "a\x1cb", "a\x1ca", "a\x1d", "a\x1cb\x1d", "a\x1e", "s \x1fx", "s x", "s \x1cdx", "ab\x1fc", "a\x1fbc"]
+    docs = spark.createDataFrame([(k, text) for k, text in enumerate(texts)], "doc_id long, text string")
+    rows = merkle.fingerprinted(docs).select("text", "merkle.root", "merkle.lengths").collect()
+    assert len({row.root for row in rows}) == len(set(texts))
+    assert all(sum(map(sum, row.lengths)) == len(row.text) for row in rows)
+
+
+def test_first_edit_and_changed_paragraphs_locate_edits(spark):
+    before = "# One\nfirst line.\nsecond line.\n\n# Two\nthird line.\nfourth line.\n"
+    cases = [
+        before, before.replace("second", "changed"), before.replace("third", "changed"), before + "\n# Three\nfifth line.",
+        before[:20], "", before.replace("first line.\n", ""),
+    ]
+    docs = spark.createDataFrame([(k, before, text) for k, text in enumerate(cases)], "pair long, before string, after string")
+    trees = merkle.with_tree(merkle.with_tree(docs, "before", "a"), "after", "b")
+    for row in merkle.with_first_edit(trees, "a", "b").collect():
+        if row.after == before:
+            assert row.edit_section is None and row.edit_paragraph is None and row.edit_start is None
+        else:
+            common = next((k for k, (x, y) in enumerate(zip(before, row.after)) if x != y), min(len(before), len(row.after)))
+            assert row.edit_start <= common and before[: row.edit_start] == row.after[: row.edit_start]
+            parts = ["".join(leaf) for section in brute_tree(row.after)[: row.edit_section] for leaf in section]
+            assert row.edit_start >= len("".join(parts))
+    found = {(row.pair, row.start, row.length) for row in merkle.changed_paragraphs(trees, "a", "b").collect()}
+    expected = set()
+    known = {"".join(part) for section in brute_tree(before) for part in section}
+    for pair, after in enumerate(cases):
+        start = 0
+        for part in ("".join(part) for section in brute_tree(after) for part in section):
+            if part not in known:
+                expected.add((pair, start, len(part)))
+            start += len(part)
+    assert found == expected
+
+
+def test_odd_and_no_documents(odd_documents, no_documents):
+    assert merkle.edited_fingerprints(odd_documents).count() == odd_documents.count()
+    assert merkle.edited_fingerprints(no_documents).collect() == []
+    made = merkle.fingerprinted(odd_documents)
+    assert made.columns == [*odd_documents.columns, "merkle"] and made.count() == odd_documents.count()
+    with pytest.raises(ValueError):
+        merkle.fingerprinted(odd_documents, into="shard")
+
+
+def test_no_python_in_the_plan(spark, sf_dir):
+    plan = merkle.edited_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)

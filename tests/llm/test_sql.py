@@ -12,7 +12,7 @@ from pricefold.llm.sql import ORACLES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, sf_dir, name):
     database = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "embeddings"):
+    for table in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     relation = database.execute(ORACLES[name])
     columns = [column[0] for column in relation.description]
