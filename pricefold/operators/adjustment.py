@@ -8,8 +8,10 @@ factors of all newer rows' events:
 
 so an event changes every row older than its own day, and the newest row keeps its prices.
 
-One symbol is one window group. That group is bounded: the input is unique by symbol and day, so a symbol has at most
-one row per calendar day, whatever the size of the table.
+One symbol is one window group. That group is bounded for daily bars: the input is unique by symbol and day, so a symbol
+has at most one row per calendar day, whatever the size of the table. For longer series the two-level form cuts symbols
+into segments of time: what is newer than a segment comes to it as one carried row and one carried coefficient, so the
+rows of one symbol are spread over as many tasks as it has segments.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricefold.operators.decimal_fold import fold_batches
+from pricefold.operators.decimal_fold import CARRIED, fold_batches, last_coefficients
 from pricefold.schema import ADJUSTED, BAD, NO_DIVIDEND, NO_SPLIT, PRICES, SCALE
 
 
@@ -88,7 +90,10 @@ def with_coefficient(factors: DataFrame) -> DataFrame:
 
 
 def _adjusted_native(paired: DataFrame) -> DataFrame:
-    rows = with_coefficient(with_factor(paired))
+    return _truncated(with_coefficient(with_factor(paired)), paired)
+
+
+def _truncated(rows: DataFrame, paired: DataFrame) -> DataFrame:
     prices = [F.floor(F.col(price) * F.col("coefficient")).alias(name) for price, name in zip(PRICES, ADJUSTED)]
     coefficient = F.floor(F.col("coefficient") * SCALE).alias("adjustment_coefficient")
     return rows.select("symbol", "date", coefficient, *prices, *_kept(paired))
@@ -98,7 +103,10 @@ def _adjusted_exact(paired: DataFrame) -> DataFrame:
     newest = F.col("newer_date").isNull().alias("newest")
     rows = paired.select("symbol", "date", *PRICES, newest, "newer_dividend", "newer_split_ratio", *_kept(paired))
     # The window has put each symbol into one partition, in this order; naming the order adds no sort to the plan.
-    ordered = rows.sortWithinPartitions("symbol", F.desc("date"))
+    return _folded(rows.sortWithinPartitions("symbol", F.desc("date")), paired)
+
+
+def _folded(ordered: DataFrame, paired: DataFrame) -> DataFrame:
     longs = [T.StructField(name, T.LongType()) for name in ["adjustment_coefficient", *ADJUSTED]]
     carried = [paired.schema[name] for name in ["symbol", "date", *_kept(paired)]]
     return ordered.mapInArrow(fold_batches, T.StructType([*carried[:2], *longs, *carried[2:]]))
@@ -108,6 +116,104 @@ def _kept(paired: DataFrame) -> list[str]:
     return [BAD] if BAD in paired.columns else []
 
 
+# The two-level form. Rows carry ``segment``, the start of their stretch of time.
+
+
+def _in_segment() -> WindowSpec:
+    return Window.partitionBy("symbol", "segment").orderBy(F.desc("date"))
+
+
+def _newer_segments() -> WindowSpec:
+    """All segments of the symbol that are newer than this one, one row each."""
+    return Window.partitionBy("symbol").orderBy(F.desc("segment")).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def with_newer_event_by_segment(rows: DataFrame) -> DataFrame:
+    """As ``with_newer_event``, for rows that carry ``segment``; no window is wider than a segment's rows.
+
+    Each segment hands its oldest row to the next older one of the symbol; these rows come from an aggregation that
+    combines before its shuffle.
+    """
+    split = F.when(F.col("split_ratio") == 0, NO_SPLIT).otherwise(F.col("split_ratio"))
+    rows = rows.withColumn("split_ratio", split)
+    oldest = rows.groupBy("symbol", "segment").agg(
+        F.min("date").alias("oldest_date"),
+        *[F.min_by(name, "date").alias(f"oldest_{name}") for name in ("dividend", "split_ratio")],
+    )
+    names = ("date", "dividend", "split_ratio")
+    older = Window.partitionBy("symbol").orderBy(F.desc("segment"))
+    handed = oldest.select(
+        "symbol", "segment", *[F.lag(f"oldest_{name}").over(older).alias(f"handed_{name}") for name in names]
+    )
+    joined = rows.join(handed, ["symbol", "segment"])
+    newer = {name: F.coalesce(F.lag(name).over(_in_segment()), F.col(f"handed_{name}")) for name in names}
+    return joined.withColumns(
+        {
+            "newer_date": newer["date"],
+            "newer_dividend": F.coalesce(newer["dividend"], F.lit(NO_DIVIDEND)),
+            "newer_split_ratio": F.coalesce(newer["split_ratio"], F.lit(NO_SPLIT)),
+        }
+    ).drop(*[f"handed_{name}" for name in names])
+
+
+def _coefficient_by_segment(factors: DataFrame) -> DataFrame:
+    """The running product in two levels: within the segment, times the product of all newer segments.
+
+    The product of a segment is that of its oldest row, so it does not depend on the order in which tasks end.
+    """
+    within = _in_segment().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = factors.withColumn("local", F.product("factor").over(within))
+    products = local.groupBy("symbol", "segment").agg(F.min_by("local", "date").alias("product"))
+    carried = products.select(
+        "symbol", "segment", F.coalesce(F.product("product").over(_newer_segments()), F.lit(1.0)).alias("before")
+    )
+    joined = local.join(carried, ["symbol", "segment"])
+    return joined.withColumn("coefficient", F.col("before") * F.col("local"))
+
+
+def _adjusted_exact_by_segment(paired: DataFrame) -> DataFrame:
+    """The decimal fold in two levels, with the same digits as in one.
+
+    Decimal products are rounded at each step, so they do not regroup. But only events change the coefficient: the first
+    level folds the events of a symbol in their order, without the rows between them, and keeps what it has at the end of
+    each segment. Each segment then starts from the last of these that is newer, and the second level is the fold over
+    the rows, by segment.
+    """
+    is_event = (F.col("newer_dividend") != NO_DIVIDEND) | (F.col("newer_split_ratio") != NO_SPLIT)
+    events = paired.where(is_event).select(
+        "symbol", "segment", "date", "close", "newer_dividend", "newer_split_ratio",
+        (F.row_number().over(_newest_first()) == 1).alias("newest"),
+    )
+    kind = T.StructType([paired.schema["symbol"], paired.schema["segment"], T.StructField("coefficient", T.StringType())])
+    ends = events.sortWithinPartitions("symbol", F.desc("date")).drop("date").mapInArrow(last_coefficients, kind)
+    every = paired.select("symbol", "segment").distinct().join(ends, ["symbol", "segment"], "left")
+    before = F.coalesce(F.last("coefficient", ignorenulls=True).over(_newer_segments()), F.lit("1"))
+    starts = every.select("symbol", "segment", before.alias(CARRIED))
+    first = F.row_number().over(_in_segment()) == 1
+    rows = paired.join(starts, ["symbol", "segment"]).withColumn("newest", first)
+    rows = rows.select(
+        "symbol", "segment", "date", *PRICES, "newest", "newer_dividend", "newer_split_ratio", CARRIED, *_kept(paired)
+    )
+    ordered = rows.sortWithinPartitions("symbol", F.desc("segment"), F.desc("date")).drop("segment")
+    return _folded(ordered, paired)
+
+
+def adjusted_by_segment(
+    rows: DataFrame, skip_errors: bool = False, exact: bool = True, report: bool = False, unit: str = "month"
+) -> DataFrame:
+    """As ``adjusted_days``, in two levels: symbols are cut into segments of a time ``unit`` (of ``date_trunc``).
+
+    In decimal mode the results are the same; in double mode they may differ by one unit, since the product is formed in
+    another order. The date may also be a time, for bars of less than a day.
+    """
+    rows = rows.withColumn("segment", F.date_trunc(unit, "date").cast(rows.schema["date"].dataType))
+    paired = with_newer_event_by_segment(rows)
+    paired = with_checked_dividend(with_bad_dividend(paired) if report else paired, skip_errors)
+    if exact:
+        return _adjusted_exact_by_segment(paired)
+    return _truncated(_coefficient_by_segment(with_factor(paired)), paired)
+
+
 def adjusted_days(
     rows: DataFrame, skip_errors: bool = False, exact: bool = True, report: bool = False
 ) -> DataFrame:

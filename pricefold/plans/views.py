@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.functions.scalars import descaled, truncated
+from pricefold.functions.scalars import day_of, descaled, month_of, truncated
 from pricefold.operators.keyed import any_left_join
 from pricefold.schema import ADJUSTED, KEY, PRICES, SCALE, VIEW
 
@@ -71,3 +71,56 @@ def get_minute(minutes: DataFrame, adjusted: DataFrame, symbol: str, minute: str
     view = joined_minutes(minutes, adjusted)
     found = _at(view, symbol, moment, when.date()).where(F.col("day") == F.lit(when.date()))
     return _described(found)
+
+
+def wanted_keys(keys: DataFrame, kind: str) -> DataFrame:
+    """The distinct symbols and dates asked for, with their days and months; ``kind`` is the type of a date.
+
+    A key without a symbol or a date finds nothing, so it is not among them.
+    """
+    dated = keys.select("symbol", F.col("date").cast(kind).alias("date")).where("symbol is not null and date is not null")
+    return dated.distinct().select("*", day_of("date").alias("day"), month_of(day_of("date")).alias("month"))
+
+
+def _only(rows: DataFrame, wanted: DataFrame, names: list[str]) -> DataFrame:
+    """The rows that a lookup needs; where the storage month is there, it is part of the key and prunes the scan."""
+    return rows.join(wanted, [name for name in names if name in rows.columns], "left_semi")
+
+
+def _found(keys: DataFrame, view: DataFrame, kind: str, few: bool) -> DataFrame:
+    """One row for each key asked for, in decimals, ``found`` telling whether there is a bar."""
+    prices = [*PRICES, *ADJUSTED]
+    asked = keys.select("symbol", F.col("date").cast(kind).alias("date"))
+    bars = view.select(*KEY, F.lit(True).alias("found"), *prices)
+    joined = asked.join(F.broadcast(bars) if few else bars, KEY, "left")
+    return joined.select(
+        "symbol", F.col("date").cast("string").alias("date"), F.coalesce("found", F.lit(False)).alias("found"),
+        *[descaled(name).alias(name) for name in prices],
+    )
+
+
+def get_days(days: DataFrame, adjusted: DataFrame, keys: DataFrame, few: bool = False) -> DataFrame:
+    """The daily bars of many keys at once: symbol, date, found, and the prices as decimals.
+
+    ``keys`` has a symbol and a date; other columns play no part. Each of its rows gives one row, repeated ones too. Where
+    there is no bar, or the key holds a null, ``found`` is false and the prices are null.
+
+    Both tables are first reduced to the keys, so a bar that nobody asked for is never shuffled if ``few`` says that the
+    distinct keys are few enough to be broadcast. Otherwise everything meets by shuffles, and a key that is asked for very
+    often is a skewed left side, which adaptive execution splits.
+    """
+    wanted = wanted_keys(keys, "date")
+    wanted = F.broadcast(wanted) if few else wanted
+    names = [*KEY, "month"]
+    view = joined_days(_only(days, wanted, names), _only(adjusted, wanted, names))
+    return _found(keys, view, "date", few)
+
+
+def get_minutes(minutes: DataFrame, adjusted: DataFrame, keys: DataFrame, few: bool = False) -> DataFrame:
+    """As ``get_days`` for minute bars; a key's date is a time, to the second."""
+    wanted = wanted_keys(keys, "timestamp_ntz")
+    days = wanted.select("symbol", F.col("day").alias("date"), "month").distinct()
+    if few:
+        wanted, days = F.broadcast(wanted), F.broadcast(days)
+    view = joined_minutes(_only(minutes, wanted, [*KEY, "day", "month"]), _only(adjusted, days, [*KEY, "month"]))
+    return _found(keys, view, "timestamp_ntz", few)

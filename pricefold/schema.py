@@ -39,9 +39,12 @@ TABLES = {
     "days_adjusted": _struct(*KEY, "adjustment_coefficient", *ADJUSTED),
 }
 
-# Columns on disk that reads leave out: why a row's newer dividend was not applied.
+# Columns on disk that reads leave out: why a row's newer dividend was not applied, and the minutes that a bar spans.
 BAD = "bad_dividend"
-HIDDEN = {"days_adjusted": {BAD: _struct("newer_date", "newer_dividend", "close", newer_date=T.DateType())}}
+HIDDEN = {
+    "days_adjusted": {BAD: _struct("newer_date", "newer_dividend", "close", newer_date=T.DateType())},
+    "days": {"first_minute": T.TimestampNTZType(), "last_minute": T.TimestampNTZType()},
+}
 
 STAGING = ["minutes_import", "days_import", "adjustments_import"]
 

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricefold.functions.scalars import month_of
-from pricefold.schema import HIDDEN, STAGING, TABLES, columns, stored
+from pricefold.operators.keyed import changes, replaced
+from pricefold.schema import HIDDEN, KEY, STAGING, TABLES, columns, stored
 
 # Row numbers of a scan partition take the low bits of a position, the partition number the bits above them.
 _POSITION_BITS = 33
@@ -33,6 +34,10 @@ class Numbers(NamedTuple):
     partitions: int
 
 
+def _with_news(rows: DataFrame) -> T.StructType:
+    return T.StructType([*rows.schema.fields, T.StructField("is_new", T.BooleanType())])
+
+
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -47,7 +52,10 @@ class Tables:
         With ``months`` only the directories of those months are listed and read, so the cost of a lookup or of a
         small merge does not grow with the number of months stored.
         """
-        reader = self.spark.read.schema(stored(table)).option("basePath", self.path(table))
+        return self._scan(table, stored(table), months)
+
+    def _scan(self, table: str, schema: T.StructType, months: Collection[date] | None) -> DataFrame:
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
         if months is None:
             return reader.parquet(self.path(table))
         names = ",".join(f"month={month.isoformat()}" for month in sorted({_EMPTY_MONTH, *months}))
@@ -57,12 +65,18 @@ class Tables:
         folder, files = self._folder(self.path(table))
         return files.exists(folder)
 
+    def drop(self, name: str) -> None:
+        """Delete a directory beside the tables."""
+        folder, files = self._folder(self.path(name))
+        files.delete(folder, True)
+
     def create(self, table: str) -> None:
         """Create the table empty, dropping its rows if it exists."""
         partition = "batch" if table in STAGING else "month"
         empty = self.spark.createDataFrame([], stored(table))
         if table in STAGING and self.exists(table):
             self._note_numbers(table, self.numbers(table)._replace(partitions=0))
+            self._forget_tokens(table)
         # Static whatever the session says: a dynamic overwrite with no rows would drop nothing.
         writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(partition).parquet(self.path(table))
@@ -103,9 +117,31 @@ class Tables:
             if old != name:
                 files.delete(self._folder(f"{home}/{old}")[0], True)
 
-    def stage(self, table: str, rows: DataFrame, position: str, partitions: int, overwrite: bool = False) -> int:
+    def _held(self, table: str, token: str) -> tuple[Numbers, int] | None:
+        """What an import of this token has been given before: batch and partitions, and the first partition number."""
+        names = self._names(self.path(f"tokens/{table}/{token}"))
+        found = [re.fullmatch(r"batch=(\d+),first=(\d+),partitions=(\d+)", name) for name in names]
+        held = [tuple(map(int, match.groups())) for match in found if match]
+        return max(((Numbers(batch, partitions), first) for batch, first, partitions in held), default=None)
+
+    def _hold(self, table: str, token: str, numbers: Numbers, first: int) -> None:
+        name = f"batch={numbers.batch},first={first},partitions={numbers.partitions}"
+        folder, files = self._folder(self.path(f"tokens/{table}/{token}/{name}"))
+        files.mkdirs(folder)
+
+    def _forget_tokens(self, table: str) -> None:
+        """Imports of before are no longer there to be replaced."""
+        self.drop(f"tokens/{table}")
+
+    def stage(
+        self, table: str, rows: DataFrame, position: str, partitions: int, overwrite: bool = False,
+        token: str | None = None,
+    ) -> int:
         """Write one import and return its batch number, which is larger than that of any import before.
 
+        An import with a ``token``, a name fit for a file, takes the place of an earlier one with the same token: it has that
+        one's batch number, and its partition numbers if they suffice.
+
         ``position`` numbers the rows within the scan (partition number above, row number below) and ``partitions`` is
         the number of partitions it may mention. The partition numbers of imports follow each other, which makes
         ``_seq`` increase from import to import without reading what is stored. Dropping the rows starts them again,
@@ -113,19 +149,33 @@ class Tables:
         """
         used = self.numbers(table)
         first = 0 if overwrite else used.partitions
+        if overwrite:
+            self._forget_tokens(table)
+        held = self._held(table, token) if token and not overwrite else None
+        if held and held[0].partitions >= partitions:
+            (batch, _), first = held
+            return self._write_batch(table, rows, position, batch, first)
         if first + partitions > _MAX_PARTITIONS:
             raise OverflowError(f"{table} has used up its row numbers; merge it and import with overwrite")
-        batch = used.batch + 1
+        batch = held[0].batch if held else used.batch + 1
         # A marker that an unfinished overwrite left must not be below the rows that are still there.
-        self._note_numbers(table, Numbers(batch, max(used.partitions, first + partitions)))
-        staged = rows.select(*columns(table), (F.col(position) + F.lit(first << _POSITION_BITS)).alias("_seq"))
-        if overwrite:
-            staged = staged.withColumn("batch", F.lit(batch).cast("bigint"))
-            writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            writer.partitionBy("batch").parquet(self.path(table))
-            self._note_numbers(table, Numbers(batch, partitions))
-        else:
-            staged.write.mode("overwrite").parquet(f"{self.path(table)}/batch={batch}")
+        self._note_numbers(table, Numbers(max(used.batch, batch), max(used.partitions, first + partitions)))
+        if token:
+            self._hold(table, token, Numbers(batch, partitions), first)
+        if not overwrite:
+            return self._write_batch(table, rows, position, batch, first)
+        staged = self._staged(table, rows, position, first).withColumn("batch", F.lit(batch).cast("bigint"))
+        writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("batch").parquet(self.path(table))
+        self._note_numbers(table, Numbers(batch, partitions))
+        return batch
+
+    def _staged(self, table: str, rows: DataFrame, position: str, first: int) -> DataFrame:
+        return rows.select(*columns(table), (F.col(position) + F.lit(first << _POSITION_BITS)).alias("_seq"))
+
+    def _write_batch(self, table: str, rows: DataFrame, position: str, batch: int, first: int) -> int:
+        staged = self._staged(table, rows, position, first)
+        staged.write.mode("overwrite").parquet(f"{self.path(table)}/batch={batch}")
         return batch
 
     def _laid_out(self, table: str, rows: DataFrame) -> DataFrame:
@@ -160,15 +210,51 @@ class Tables:
         """
         if table in STAGING or not months:
             return 0
-        copy = f"{self.path('rewritten')}/{table}"
-        self.read(table, months).write.mode("overwrite").parquet(copy)
-        return self.replace(table, self.spark.read.schema(stored(table)).parquet(copy))
+        return self._rewrite(table, self.hidden(table, months))
 
-    def hidden(self, table: str) -> DataFrame:
+    def hidden(self, table: str, months: Collection[date] | None = None) -> DataFrame:
         """A keyed table with the columns that its reads leave out."""
         fields = [T.StructField(name, kind) for name, kind in HIDDEN.get(table, {}).items()]
-        schema = T.StructType([*stored(table).fields, *fields])
-        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(self.path(table))
+        return self._scan(table, T.StructType([*stored(table).fields, *fields]), months)
+
+    def upsert(self, table: str, rows: DataFrame) -> tuple[int, int]:
+        """Make ``rows``, unique by key, the stored ones of their keys; how many were new, and how many changed.
+
+        The rows are compared with the months that they name. What differs goes to a table beside, from which months
+        that have only new keys are appended to, and months with changed rows are written anew; others keep their files.
+        Rows that are stored as they are do nothing, so an upsert can be repeated, also after a failure. Columns that
+        reads leave out count too where ``rows`` has them.
+        """
+        day = "day" if "day" in columns(table) else "date"
+        extra = [name for name in HIDDEN.get(table, {}) if name in rows.columns]
+        names = [*columns(table), *extra]
+        dated = rows.select(*names, month_of(day).alias("month"))
+        months = {row["month"] for row in dated.select("month").distinct().collect()}
+        if not months:
+            return 0, 0
+        keys = ["month", *KEY]
+        held = self.hidden(table, months)
+        beside = self.path(f"changes/{table}")
+        changes(dated, held.select(*dated.columns), keys).write.mode("overwrite").parquet(beside)
+        changed = self.spark.read.schema(_with_news(dated)).parquet(beside)
+        counts = changed.groupBy("month", "is_new").agg(F.count("*").alias("n")).collect()
+        redone = sorted({row["month"] for row in counts if not row["is_new"]})
+        news = changed.where(~F.col("month").isin(redone)) if redone else changed
+        if len(redone) < len({row["month"] for row in counts}):
+            self.append(table, news)
+        if redone:
+            own = changed.where(F.col("month").isin(redone)).drop("is_new")
+            stored_rows = self.hidden(table, redone)
+            others = [F.lit(None).cast(stored_rows.schema[name].dataType).alias(name) for name in stored_rows.columns
+                      if name not in own.columns]
+            self._rewrite(table, replaced(stored_rows, own.select("*", *others), keys))
+        return tuple(sum(row["n"] for row in counts if row["is_new"] is new) for new in (True, False))
+
+    def _rewrite(self, table: str, rows: DataFrame) -> int:
+        """Replace months by rows that are read from them, through a copy, so that no job reads what it replaces."""
+        copy = f"{self.path('rewritten')}/{table}"
+        rows.write.mode("overwrite").parquet(copy)
+        return self.replace(table, self.spark.read.schema(rows.schema).parquet(copy))
 
     def _write(self, table: str, rows: DataFrame, mode: str, **options: str) -> int:
         seen = Observation()

@@ -12,40 +12,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricefold.functions.scalars import parsed_date, parsed_time, scaled, scaled_reciprocal
-from pricefold.schema import MINIMUM_DATE, PRICES, columns
+from pricefold.schema import ACTION, MINIMUM_DATE, PRICES, columns
 from pricefold.sources.csv_files import ACTION_FIELDS, BLOCK, DAY_FIELDS, FILE, MINUTE_FIELDS
 
 RAW, POSITION = "_raw", "_position"
 
 
-def _typed(text: DataFrame, raw: list[str], parsed: dict[str, Column]) -> DataFrame:
+# All numbers of a row, parsed by one expression over an array: written out for each column, they would make generated code
+# that the JVM finds too long to compile.
+_NUMBERS = "_numbers"
+
+
+def _typed(text: DataFrame, raw: list[str], parsed: dict[str, Column], numbers: list[str]) -> DataFrame:
+    """Typed rows: ``parsed``, and the fixed-point values of the columns ``numbers``, by the names of ``parsed`` for None."""
     raw_struct = F.struct(*[F.col(f"`{name}`").alias(name) for name in raw]).alias(RAW)
     origin = [name for name in (FILE, BLOCK) if name in text.columns]
     position = F.monotonically_increasing_id().alias(POSITION)
-    return text.select(*[column.alias(name) for name, column in parsed.items()], raw_struct, position, *origin)
+    texts = F.array(*[F.col(f"`{name}`") for name in numbers])
+    place = iter(range(len(numbers)))
+    columns_ = [
+        (F.col(_NUMBERS)[next(place)] if column is None else column).alias(name) for name, column in parsed.items()
+    ]
+    return text.withColumn(_NUMBERS, F.transform(texts, scaled)).select(*columns_, raw_struct, position, *origin)
 
 
 def type_days(text: DataFrame) -> DataFrame:
     parsed = {"symbol": F.col("ticker"), "date": parsed_date("date")}
-    parsed |= {price: scaled(price) for price in PRICES}
-    parsed |= {"dividend": scaled("`ex-dividend`"), "split_ratio": scaled("split_ratio")}
-    return _typed(text, DAY_FIELDS, parsed)
+    parsed |= dict.fromkeys([*PRICES, *ACTION])
+    return _typed(text, DAY_FIELDS, parsed, [*PRICES, "ex-dividend", "split_ratio"])
 
 
 def type_minutes(text: DataFrame) -> DataFrame:
     parsed = {"symbol": F.col("symbol"), "date": parsed_time("date")}
-    parsed |= {price: scaled(price) for price in PRICES}
-    return _typed(text, ["symbol", *MINUTE_FIELDS], parsed)
+    parsed |= dict.fromkeys(PRICES)
+    return _typed(text, ["symbol", *MINUTE_FIELDS], parsed, PRICES)
 
 
 def type_adjustments(text: DataFrame) -> DataFrame:
     parsed = {
         "symbol": F.col("symbol"),
         "date": parsed_date("`Date(ex)`", separator="."),
-        "dividend": scaled("`RegularDividend$`"),
+        "dividend": None,
         "split_ratio": scaled_reciprocal("Split"),
     }
-    return _typed(text, ["symbol", *ACTION_FIELDS], parsed)
+    return _typed(text, ["symbol", *ACTION_FIELDS], parsed, ["RegularDividend$"])
 
 
 TYPERS = {"days_import": type_days, "minutes_import": type_minutes, "adjustments_import": type_adjustments}

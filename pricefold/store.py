@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 from pricefold.functions.scalars import month_of
 from pricefold.operators import adjustment
 from pricefold.plans import adjusting, merging, views
-from pricefold.schema import BAD, STAGING
+from pricefold.schema import BAD, STAGING, TABLES
 from pricefold.session import joins_on_part_of_keys, shuffles_sized_for
 from pricefold.sinks.tables import Tables
 from pricefold.sources import csv_files, rows
 from pricefold.sources.csv_files import SYMBOL_IN_NAME
 
+# Distinct keys that a lookup broadcasts at most; a key takes some 50 bytes.
+FEW_KEYS = 1_000_000
+# Where minutes lie between their arrival and the refresh of their days' bars.
+ADDED = "added/minutes"
+
 
 @dataclass(frozen=True)
 class ImportReport:
@@ -31,19 +36,25 @@ class ImportReport:
 
 @dataclass(frozen=True)
 class MergeReport:
-    """Rows added to each keyed table."""
+    """Rows added to each keyed table, and stored rows that were replaced where that was asked for."""
 
     minutes: int
     days: int
     adjustments: int
+    replaced: int = 0
 
 
 @dataclass(frozen=True)
 class AdjustReport:
-    """Rows adjusted, and dividends left out because they are not below the prior close."""
+    """Rows adjusted, and dividends left out because they are not below the prior close.
+
+    Of actions on days without a bar, where these are looked after: those that moved to the next bar, and those lost.
+    """
 
     adjusted: int
     bad_dividends: int
+    moved_actions: int = 0
+    lost_actions: int = 0
 
 
 class PriceStore:
@@ -106,12 +117,14 @@ class PriceStore:
         offset: int | None = None,
         overwrite: bool = False,
         skip_errors: bool = False,
+        token: str | None = None,
     ) -> ImportReport:
         """Parse text rows and append them to a staging table.
 
         ``offset`` starts at that accepted row of each file, counted from 1. ``overwrite`` first drops all rows of
         the staging table, those of other symbols too. A row that does not parse fails the import and nothing is
-        written; with ``skip_errors`` it goes to the table's directory under ``rejects`` instead.
+        written; with ``skip_errors`` it goes to the table's directory under ``rejects`` instead. An import with a
+        ``token`` replaces an earlier one with the same token.
         """
         typed = rows.TYPERS[table](text)
         if overwrite and not skip_errors:
@@ -123,7 +136,7 @@ class PriceStore:
         if offset:
             kept = rows.from_offset(kept, offset, counted_from=rows.accepted(typed, table, skip_errors))
         partitions = text.rdd.getNumPartitions()
-        batch = self.tables.stage(table, kept, rows.POSITION, partitions, overwrite)
+        batch = self.tables.stage(table, kept, rows.POSITION, partitions, overwrite, token)
         report = ImportReport(batch, **seen.get)
         if report.rejected:
             rejects = self.tables.path(f"rejects/{table}/batch={batch}")
@@ -132,26 +145,47 @@ class PriceStore:
 
     # Merge
 
-    def merge(self, since: Mapping[str, int] | None = None, rescan: bool = False) -> MergeReport:
+    def merge(
+        self, since: Mapping[str, int] | None = None, rescan: bool = False, newest: bool = False, refresh: bool = False
+    ) -> MergeReport:
         """Add staged rows with new keys to the keyed tables.
 
         ``since`` gives, by staging table, the last batch that is merged already, to leave it and earlier ones out.
         Daily bars are rolled up for the months that staged minutes touch; ``rescan`` rolls up all months, which is
         only needed after a merge failed and its staged rows were dropped.
+
+        Stored rows stay as they are, but for two options. With ``newest`` the row that was imported last takes the place
+        of a stored one with its key; the bar of a day with minutes is rolled up from them anew, and an empty action
+        replaces none. With ``refresh`` minutes are only added, and the bars of their days take them in; bars that know
+        the minutes they span do so without a look at those. Months without a change keep their files.
         """
         staged = [self.tables.read(table).where(F.col("batch") > (since or {}).get(table, 0)) for table in STAGING]
-        report = self._merge(*staged, rescan)
+        if newest:
+            report = self._merge_newest(*staged)
+        else:
+            report = self._merge(*staged, rescan, refresh)
         self.create_views()
         return report
 
     def _merge(
-        self, minutes_staged: DataFrame, days_staged: DataFrame, actions_staged: DataFrame, rescan: bool
+        self, minutes_staged: DataFrame, days_staged: DataFrame, actions_staged: DataFrame, rescan: bool, refresh: bool
     ) -> MergeReport:
         minute_months, day_months, action_months = map(self._months, (minutes_staged, days_staged, actions_staged))
         touched = merging.staged_days(minutes_staged)
+        refreshed = 0
+        if refresh:
+            # What a merge that broke off had added already; bars may take it in twice.
+            refreshed = self._refresh(ADDED) if self.tables.exists(ADDED) else 0
         existing = merging.of_days(self.tables.read("minutes", minute_months), touched, "day")
         with shuffles_sized_for(minutes_staged, existing):
-            minutes = self.tables.append("minutes", merging.minutes_delta(minutes_staged, existing))
+            added = merging.minutes_delta(minutes_staged, existing)
+            if refresh:
+                added.write.mode("overwrite").parquet(self.tables.path(ADDED))
+                added = self.spark.read.schema(added.schema).parquet(self.tables.path(ADDED))
+            minutes = self.tables.append("minutes", added)
+        if refresh:
+            refreshed += self._refresh(ADDED)
+            self.tables.drop(ADDED)
 
         # Days that no staged minute touches were rolled up when their minutes came.
         if rescan:
@@ -161,13 +195,40 @@ class PriceStore:
             new_days = touched.unionByName(merging.staged_days(days_staged)).distinct()
             existing = merging.of_days(self.tables.read("days", minute_months | day_months), new_days, "date")
         with shuffles_sized_for(days_staged, rolled, existing):
-            days = self.tables.append("days", merging.days_delta(rolled, days_staged, existing))
+            days = self.tables.append("days", merging.days_delta(rolled, days_staged, existing, spans=True))
 
         new_days = merging.staged_days(days_staged).unionByName(merging.staged_days(actions_staged)).distinct()
         existing = merging.of_days(self.tables.read("adjustments", day_months | action_months), new_days, "date")
         with shuffles_sized_for(days_staged, actions_staged, existing):
             actions = self.tables.append("adjustments", merging.actions_delta(days_staged, actions_staged, existing))
-        return MergeReport(minutes, days, actions)
+        return MergeReport(minutes, days, actions, refreshed)
+
+    def _refresh(self, added: str) -> int:
+        """Let the stored bars take in minutes that were added to the minutes; how many bars changed.
+
+        Days without a stored bar are left to the merge.
+        """
+        minutes = self.spark.read.schema(TABLES["minutes"]).parquet(self.tables.path(added))
+        months = self._months(minutes)
+        days = merging.staged_days(minutes)
+        held = merging.of_days(self.tables.hidden("days", months), days, "date")
+        own = minutes.join(held.select("symbol", F.col("date").alias("day")), ["symbol", "day"], "left_semi")
+        older = self.tables.read("minutes", months) if held.where("last_minute is null").limit(1).count() else own
+        return self.tables.upsert("days", merging.refreshed_days(held, own, older.select(*own.columns)))[1]
+
+    def _merge_newest(
+        self, minutes_staged: DataFrame, days_staged: DataFrame, actions_staged: DataFrame
+    ) -> MergeReport:
+        minute_months, day_months = map(self._months, (minutes_staged, days_staged))
+        with shuffles_sized_for(minutes_staged):
+            minutes = self.tables.upsert("minutes", merging.newest_minutes(minutes_staged))
+        wanted = merging.staged_days(minutes_staged).unionByName(merging.staged_days(days_staged)).distinct()
+        rolled = merging.of_days(self.tables.read("minutes", minute_months | day_months), wanted, "day")
+        with shuffles_sized_for(days_staged, rolled):
+            days = self.tables.upsert("days", merging.newest_days(rolled, days_staged, spans=True))
+        with shuffles_sized_for(days_staged, actions_staged):
+            actions = self.tables.upsert("adjustments", merging.newest_actions(days_staged, actions_staged))
+        return MergeReport(*(new for new, _ in (minutes, days, actions)), sum(n for _, n in (minutes, days, actions)))
 
     def _months(self, staged: DataFrame) -> set[date]:
         """The months that staged rows fall in; at most one value per calendar month."""
@@ -176,19 +237,32 @@ class PriceStore:
 
     # Adjust
 
-    def adjust(self, skip_errors: bool = False, exact: bool = True) -> AdjustReport:
+    def adjust(
+        self, skip_errors: bool = False, exact: bool = True, lost: str = "drop", by_segment: bool = False
+    ) -> AdjustReport:
         """Recompute all adjusted daily prices; see ``pricefold.operators.adjustment``.
 
-        With ``skip_errors`` the dividends left out are written to ``rejects/days_adjusted``.
+        With ``skip_errors`` the dividends left out are written to ``rejects/days_adjusted``. With ``lost="next_bar"`` an
+        action on a day without a bar counts on the symbol's next day with one; those moved, and those without such a day,
+        are written to ``moved_actions``. ``by_segment`` takes the two-level form, for symbols of very many rows.
         """
         days, actions = self.tables.read("days"), self.tables.read("adjustments")
-        rows = adjusting.with_actions(days, actions, by_symbol=True)
-        adjusted = adjustment.adjusted_days(rows, skip_errors, exact, report=skip_errors)
+        rows = adjusting.with_actions(days, actions, by_symbol=not by_segment, lost=lost)
+        form = adjustment.adjusted_by_segment if by_segment else adjustment.adjusted_days
+        adjusted = form(rows, skip_errors, exact, report=skip_errors)
         with shuffles_sized_for(days, actions), joins_on_part_of_keys(self.spark):
             written = self.tables.replace("days_adjusted", adjusted)
+            moved, gone = self._write_moved(days, actions) if lost == "next_bar" else (0, 0)
         bad = self._write_bad_dividends() if skip_errors else 0
         self.create_views()
-        return AdjustReport(written, bad)
+        return AdjustReport(written, bad, moved, gone)
+
+    def _write_moved(self, days: DataFrame, actions: DataFrame) -> tuple[int, int]:
+        seen = Observation()
+        counts = F.count("bar").alias("moved"), F.count_if(F.col("bar").isNull()).alias("lost")
+        moved = adjusting.moved_actions(days, actions).observe(seen, *counts)
+        moved.write.mode("overwrite").parquet(self.tables.path("moved_actions"))
+        return seen.get["moved"], seen.get["lost"]
 
     def _write_bad_dividends(self) -> int:
         """Copy what the adjusted rows tell of dividends left out; the scan reads that column of few values alone."""
@@ -243,6 +317,22 @@ class PriceStore:
         month = datetime.fromisoformat(moment).date().replace(day=1)
         return self.tables.read(table, [month]), self.tables.read("days_adjusted", [month])
 
+    def get_days(self, keys: DataFrame) -> DataFrame:
+        """See ``views.get_days``; lists and reads only the months that the keys name."""
+        return views.get_days(*self._of_keys("days", keys, "date"))
+
+    def get_minutes(self, keys: DataFrame) -> DataFrame:
+        """See ``views.get_minutes``; lists and reads only the months that the keys name."""
+        return views.get_minutes(*self._of_keys("minutes", keys, "timestamp_ntz"))
+
+    def _of_keys(self, table: str, keys: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+        """The months that keys name, of a table and of the adjusted prices; the keys; whether they may be broadcast."""
+        found = views.wanted_keys(keys, kind).groupBy("month").agg(F.count("*").alias("n")).collect()
+        months, few = [row["month"] for row in found], sum(row["n"] for row in found) <= FEW_KEYS
+        named = F.col("month").isin(months)
+        tables = (self.tables.read(name, months).where(named) for name in (table, "days_adjusted"))
+        return *tables, keys, few
+
     def get(self, mode: str, symbol: str, moment: str) -> DataFrame:
         if mode not in ("day", "minute"):
             raise ValueError(f"unknown mode: {mode}")

@@ -7,6 +7,7 @@ imported, so calling it again takes only new ones. Files already in staging are
 from __future__ import annotations
 
 import re
+from queue import Queue
 
 from pyspark.sql import DataFrame
 
@@ -35,14 +36,18 @@ def import_arrived_minutes(
 ) -> list[ImportReport]:
     """Import the minute files that are new in ``landing``; each file's name gives its symbol.
 
-    Returns one report per micro-batch once all files there have been imported. A batch that is run again after a
-    failure may stage rows twice; merging keeps one row per key. After a reset of the store give a new checkpoint, since
-    the old one still counts the files as imported.
+    Returns one report per micro-batch once all files there have been imported. A batch that is run again after a failure
+    replaces what it had staged, known by the stream, which its checkpoint names, and by the batch's number in it. After a
+    reset of the store give a new checkpoint, since the old one still counts the files as imported.
     """
     reports: list[ImportReport] = []
+    started: Queue[str] = Queue()
 
-    def stage(text: DataFrame, _: int) -> None:
-        reports.append(store.stage("minutes_import", text, skip_errors=skip_errors))
+    def stage(text: DataFrame, number: int) -> None:
+        stream = started.get()
+        started.put(stream)
+        report = store.stage("minutes_import", text, skip_errors=skip_errors, token=f"{stream}-{number}")
+        reports.append(report)
 
     query = (
         minute_stream(store.spark, landing, files_per_batch)
@@ -51,5 +56,6 @@ def import_arrived_minutes(
         .trigger(availableNow=True)
         .start()
     )
+    started.put(query.id)
     query.awaitTermination()
     return reports

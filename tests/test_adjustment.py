@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, timedelta
 from decimal import Decimal, localcontext
 
@@ -189,3 +190,80 @@ def test_one_shuffle_and_one_sort_by_symbol(spark, many):
         plan = adjustment.adjusted_days(frame, exact=exact)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1
         assert plan.count("Sort [") == 1
+
+
+def by_segment(spark, rows, **options):
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    names = ["symbol", "date", "adjustment_coefficient", *adjustment.ADJUSTED]
+    return sorted(tuple(row) for row in adjustment.adjusted_by_segment(frame, **options).select(*names).collect())
+
+
+@pytest.mark.parametrize("unit", ["month", "year"])
+def test_segments_give_the_digits_of_the_decimal_fold(spark, many, unit):
+    assert by_segment(spark, many, unit=unit) == expected_rows(many)
+
+
+def test_segments_in_double_mode_are_within_one_unit(spark, many):
+    found, exact = by_segment(spark, many, exact=False), expected_rows(many)
+    assert [row[:2] for row in found] == [row[:2] for row in exact]
+    assert all(abs(x - y) <= 1 for one, other in zip(found, exact) for x, y in zip(one[2:], other[2:]))
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_segments_skip_or_report_bad_dividends(spark, exact):
+    rows = [("x", date(2020, 1 + k // 3, 1 + k % 3), 100, 100, 100, 100, 100 if k == 3 else 10 * (k == 5), 0) for k in range(9)]
+    with pytest.raises(Exception, match="dividend not below the prior close"):
+        by_segment(spark, rows, exact=exact)
+    assert by_segment(spark, rows, exact=exact, skip_errors=True) == expected_rows(rows, skip=True)
+    frame = adjustment.adjusted_by_segment(spark.createDataFrame(rows, SCHEMA), True, exact, report=True)
+    told = frame.where("bad_dividend is not null").select("date", "bad_dividend.newer_date").collect()
+    assert [tuple(row) for row in told] == [(date(2020, 1, 3), date(2020, 2, 1))]
+
+
+def test_a_long_series_of_times_is_cut_into_segments(spark):
+    moments = 4_000
+    rows = spark.range(moments).selectExpr(
+        "'x' as symbol", "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, cast(id as int)) as date",
+        *[f"100000 + id as {price}" for price in ("open", "high", "low", "close")],
+        "if(id % 97 = 0, 50, 0) as dividend", "if(id % 501 = 500, 20000, 0) as split_ratio",
+    )
+    rows = rows.withColumns({name: rows[name].cast("bigint") for name in ("dividend", "split_ratio")})
+    one = adjustment.adjusted_days(rows)
+    two = adjustment.adjusted_by_segment(rows, unit="day")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    # What all rows of a symbol meet in is keyed by segment; by symbol alone go the segments and the events.
+    plan = two._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\([^)]*segment#", plan)
+
+
+ACTIONS = "symbol string, date date, dividend bigint, split_ratio bigint"
+
+
+def test_actions_move_to_the_next_bar_and_combine(spark):
+    def day(number):
+        return date(2020, 1, number)
+
+    bars = [(symbol, day(number), 100, 100, 100, 100) for symbol in "xyz" for number in (2, 6, 9)]
+    actions = [
+        ("x", day(6), 30, 0), ("x", day(3), 10, 20000), ("x", day(4), 7, 15000), ("x", day(5), 0, 0),
+        ("x", day(10), 5, 10000), ("y", day(1), 3, 10000), ("w", day(3), 3, 10000), ("z", day(9), 0, 20000),
+    ]
+    days, events = spark.createDataFrame(bars, BARS), spark.createDataFrame(actions, ACTIONS)
+    joined = adjusting.with_actions(days, events, lost="next_bar").where("dividend <> 0 or split_ratio not in (0, 10000)")
+    # Ten, then seven after a split of two, then thirty after splits of two and one and a half.
+    assert sorted(tuple(row) for row in joined.select("symbol", "date", "dividend", "split_ratio").collect()) == [
+        ("x", day(6), 10 + 14 + 90, 30000), ("y", day(2), 3, 10000), ("z", day(9), 0, 20000),
+    ]
+    moved = adjusting.moved_actions(days, events).select("symbol", "date", "bar").collect()
+    assert sorted(map(tuple, moved), key=repr) == sorted([
+        ("x", day(3), day(6)), ("x", day(4), day(6)), ("x", day(5), day(6)), ("x", day(10), None), ("y", day(1), day(2)),
+        ("w", day(3), None),
+    ], key=repr)
+    default = adjusting.with_actions(days, events).where("dividend <> 0 or split_ratio > 10000")
+    assert sorted(tuple(row) for row in default.select("symbol", "date", "dividend").collect()) == [
+        ("x", day(6), 30), ("z", day(9), 0),
+    ]
+    with pytest.raises(ValueError):
+        adjusting.with_actions(days, events, lost="prior_bar")
+    plan = adjusting.placed_actions(days, events)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1

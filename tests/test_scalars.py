@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from pricefold.functions import scalars
 
@@ -89,3 +91,18 @@ def test_times_do_not_depend_on_the_session_zone(spark, zone):
 def test_truncated(spark):
     frame = spark.sql("select 9999.9999d as value")
     assert frame.select(scalars.truncated("value")).first()[0] == 9999
+
+
+def test_short_and_long_numbers_equal_wide_arithmetic(spark):
+    draw = random.Random(3)
+    texts = ["", ".", "1.", ".5", "-0", "1e3", " 1e3 ", "1E-4", "9.9999e-1", "12345.67129999999999", "1.23456.7", "1.23456-7", "NaN"]
+    texts += ["Infinity", "1d", "0x1p3", "1_000", "+1.5", "1e", "1234567890123456", "1e15", "1e38", "1.99999999999999", "1..2", "1.2345."]
+    texts += ["1e999999999", "1e-999999999", "0e5", "99999999.999999", "99999999.99999999e3", "8.7e-9", "0.00009999"]
+    for _ in range(5_000):
+        digits = "".join(draw.choice("0123456789") for _ in range(draw.randint(1, 13)))
+        cut = draw.randint(0, len(digits))
+        power = f"e{draw.randint(-9, 6)}" if draw.random() < 0.5 else "9" * draw.randint(0, 9)
+        texts.append(digits[:cut] + draw.choice([".", "."  , ""]) + digits[cut:] + power)
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    wide = scalars._scaled_widely(F.trim("text"))
+    assert frame.where(~scalars.scaled("text").eqNullSafe(wide)).collect() == []

@@ -439,7 +439,7 @@ def test_a_merge_reduces_stored_rows_before_the_shuffle(store, write):
     existing = merging.of_days(store.tables.read("minutes"), merging.staged_days(staged), "day")
     assert existing.count() == 1
     plan = merging.minutes_delta(staged, existing)._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan and plan.index("LeftAnti") < plan.index("LeftSemi")
+    assert "LeftSemi" in plan and "LeftAnti" not in plan and plan.index("HashAggregate") < plan.index("LeftSemi")
 
 
 def test_months_can_be_laid_out_again(store, write):
@@ -460,3 +460,149 @@ def test_line_breaks_in_quoted_fields(store, write):
     with pytest.raises(Exception, match="row does not parse"):
         store.import_days(path)
     assert store.import_days(path, multiline=True).accepted == 1
+
+
+def test_many_keys_at_once(store, write):
+    store.import_days(write("days.csv", DAYS, *GOLDEN, day("Y", "2021-05-03", 10, 11, 9, 10)))
+    store.import_minutes(write("z.csv", "2020-01-02 10:00:00,33,30,31,32,5,5", "2020-03-02 10:01:00,3,2,2,3,5,5"), "Z")
+    store.merge()
+    store.adjust()
+    asked = [("X", "2020-01-02"), ("X", "2020-01-02"), ("X", "2020-01-09"), ("Y", "2021-05-03"), (None, "2020-01-02"), ("X", None)]
+    keys = store.spark.createDataFrame([(s, d, "extra", 1) for s, d in asked], "symbol string, date string, open string, month int")
+    found = sorted((tuple(row) for row in store.get_days(keys).select("symbol", "date", "found", "open", "adjusted_open").collect()), key=repr)
+    assert found == sorted([
+        ("X", "2020-01-02", True, Decimal(31), Decimal("15.5")), ("X", "2020-01-02", True, Decimal(31), Decimal("15.5")),
+        ("X", "2020-01-09", False, None, None), ("Y", "2021-05-03", True, Decimal(10), Decimal(10)),
+        (None, "2020-01-02", False, None, None), ("X", None, False, None, None),
+    ], key=repr)
+    times = [("Z", "2020-01-02 10:00:00"), ("Z", "2020-01-02 10:02:00"), ("Z", "2020-03-02 10:01:00"), ("Z", "2020-03-02 10:01:00")]
+    minutes = store.spark.createDataFrame(times, "symbol string, date string")
+    rows = store.get_minutes(minutes).select("date", "found", "close").collect()
+    assert sorted((row.date, row.found, row.close) for row in rows) == [
+        (times[0][1], True, Decimal(32)), (times[1][1], False, None), *[(times[2][1], True, Decimal(3))] * 2,
+    ]
+    none = store.spark.createDataFrame([], "symbol string, date date")
+    assert store.get_days(none).collect() == []
+    for date_, symbol in (("2020-01-02", "X"), ("2020-02-04", "X")):
+        one = store.get_day(symbol, date_).drop("symbol", "date").collect()
+        many = store.get_days(store.spark.createDataFrame([(symbol, date_)], "symbol string, date string"))
+        assert many.drop("symbol", "date", "found").collect() == one
+
+
+def test_a_lookup_of_few_keys_reads_their_months_and_shuffles_no_table(store, write):
+    lines = [day("X", f"20{year}-{month:02}-03", 3, 3, 3, 3) for year in (19, 20) for month in range(1, 13)]
+    store.import_days(write("days.csv", DAYS, *lines))
+    store.merge()
+    store.adjust()
+    keys = store.spark.createDataFrame([("X", "2019-03-03"), ("X", "2020-07-03")], "symbol string, date string")
+    found = store.get_days(keys)
+    files = {name.split("month=")[1][:10] for name in found.inputFiles()}
+    assert files <= {"2019-03-01", "2020-07-01", "1969-12-01"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [month") >= 2 and "PartitionFilters: []" not in plan
+    # Both tables meet the keys in broadcast joins, and only what is left of them meets further.
+    assert plan.count("LeftSemi, BuildRight") >= 2 and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_the_next_bar_gets_the_action_of_a_day_without_one(store, write):
+    store.import_days(write("days.csv", DAYS, *GOLDEN))
+    store.import_adjustments(write("x.txt", ACTIONS, "2020.01.20,0.17,2", "2020.02.05,1,1"), "X")
+    store.merge()
+    plain = store.adjust()
+    assert (plain.moved_actions, plain.lost_actions) == (0, 0)
+    report = store.adjust(lost="next_bar")
+    assert (report.adjusted, report.moved_actions, report.lost_actions) == (4, 1, 1)
+    coefficient = {row.date: row.adjustment_coefficient for row in store.tables.read("days_adjusted").collect()}
+    # The close before the moved action is 16: (16 - 0.17) / 16, and twice that, as its ratio is one half.
+    assert coefficient[date(2020, 2, 4)] == 10000 and coefficient[date(2020, 1, 3)] == 19787
+    moved = store.spark.read.parquet(store.tables.path("moved_actions"))
+    assert collected(moved.where("bar is not null"), "date", "bar") == [(date(2020, 1, 20), date(2020, 2, 4))]
+    again = store.adjust(lost="next_bar", by_segment=True)
+    assert (again.adjusted, again.moved_actions) == (4, 1)
+    assert {row.date: row.adjustment_coefficient for row in store.tables.read("days_adjusted").collect()} == coefficient
+
+
+def files_of(store, table, month):
+    return sorted(store.tables.read(table, [month]).inputFiles())
+
+
+def test_newest_rows_replace_stored_ones_and_leave_other_months(store, write):
+    january, february = date(2020, 1, 1), date(2020, 2, 1)
+    store.import_days(write("days.csv", DAYS, *GOLDEN))
+    store.import_minutes(write("x.csv", "2020-01-02 10:00:00,50,40,45,46,5,5", "2020-01-02 11:00:00,51,40,45,47,5,5"), "X")
+    store.merge()
+    before = files_of(store, "days", february), files_of(store, "days", january)
+    store.import_days(write("b.csv", DAYS, day("X", "2020-01-01", 99, 99, 99, 99, "0.5"), day("X", "2020-01-02", 1, 1, 1, 1)))
+    store.import_minutes(write("y.csv", "2020-01-02 10:00:00,60,30,35,36,5,5"), "X")
+    assert store.merge().replaced == 0
+    report = store.merge(newest=True)
+    # A minute, the bar of its day, and an imported bar; its action is new. Minutes come before the imported second.
+    assert (report.minutes, report.days, report.adjustments, report.replaced) == (0, 0, 0, 3)
+    bars = collected(store.tables.read("days"), "date", "open", "high", "low", "close")
+    assert bars[:2] == [(date(2020, 1, 1), *[990000] * 4), (date(2020, 1, 2), 350000, 600000, 300000, 470000)]
+    assert len(bars) == 4 and store.tables.read("minutes").count() == 2
+    assert collected(store.tables.read("adjustments").where("date = date'2020-01-01'"), "dividend") == [(5000,)]
+    assert files_of(store, "days", february) == before[0] and files_of(store, "days", january) != before[1]
+    laid = files_of(store, "days", january)
+    again = store.merge(newest=True)
+    assert (again.minutes, again.days, again.adjustments, again.replaced) == (0, 0, 0, 0)
+    assert files_of(store, "days", january) == laid
+    # Without the option what is stored stays.
+    store.import_days(write("c.csv", DAYS, day("X", "2020-01-01", 1, 1, 1, 1)))
+    store.merge()
+    assert collected(store.tables.read("days"), "date", "open")[0] == (date(2020, 1, 1), 990000)
+
+
+def full_roll_up(store):
+    from pricefold.operators.bars import day_bars
+
+    return collected(day_bars(store.tables.read("minutes")), "symbol", "date", "open", "high", "low", "close")
+
+
+def test_refreshed_bars_equal_a_full_roll_up(store, write):
+    store.import_minutes(write("a.csv", "2020-01-02 10:00:00,50,40,45,46,5,5", "2020-02-03 10:00:00,9,8,9,8,5,5"), "X")
+    store.merge()
+    february = files_of(store, "days", date(2020, 2, 1))
+    store.import_minutes(write("b.csv", "2020-01-02 09:00:00,49,41,44,45,5,5", "2020-01-02 16:00:00,55,39,47,48,5,5"), "X")
+    stale = collected(store.tables.read("days"), "open")
+    store.merge()
+    assert collected(store.tables.read("days"), "open") == stale
+    # Their minutes are stored now, so only minutes to come refresh the bar.
+    store.import_minutes(write("c.csv", "2020-01-02 08:00:00,60,41,43,45,5,5", "2020-01-03 08:00:00,6,4,4,5,5,5"), "X")
+    report = store.merge(refresh=True)
+    assert (report.minutes, report.days, report.replaced) == (2, 1, 1)
+    assert files_of(store, "days", date(2020, 2, 1)) == february
+    found = collected(store.tables.read("days"), "symbol", "date", "open", "high", "low", "close")
+    assert found[0] == ("X", date(2020, 1, 2), 430000, 600000, 400000, 460000)
+    # An imported bar gives way to all minutes of its day.
+    store.import_days(write("d.csv", DAYS, day("X", "2020-01-07", 1, 1, 1, 1)))
+    store.merge()
+    store.import_minutes(write("e.csv", "2020-01-07 08:00:00,60,41,43,45,5,5"), "X")
+    assert store.merge(refresh=True).replaced == 1
+    assert ("X", date(2020, 1, 7), 430000, 600000, 410000, 450000) in full_roll_up(store)
+    assert collected(store.tables.read("days").where("date = date'2020-01-07'"), "open") == [(430000,)]
+
+
+def test_a_refresh_that_broke_off_is_made_up_for(store, write, monkeypatch):
+    store.import_minutes(write("a.csv", "2020-01-02 10:00:00,50,40,45,46,5,5"), "X")
+    store.merge()
+    store.import_minutes(write("b.csv", "2020-01-02 09:00:00,49,41,44,45,5,5"), "X")
+    with monkeypatch.context() as broken:
+        broken.setattr(PriceStore, "_refresh", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            store.merge(refresh=True)
+    assert store.tables.read("minutes").count() == 2
+    assert store.merge(refresh=True).replaced == 1
+    assert collected(store.tables.read("days"), "symbol", "date", "open", "high", "low", "close") == full_roll_up(store)
+    assert not store.tables.exists("added/minutes")
+
+
+def test_a_bar_that_knows_its_minutes_is_refreshed_without_them(store, write, monkeypatch):
+    store.import_minutes(write("a.csv", "2020-01-02 10:00:00,50,40,45,46,5,5"), "X")
+    store.merge()
+    store.import_minutes(write("b.csv", "2020-01-02 09:00:00,49,41,44,45,5,5"), "X")
+    given = []
+    plain = merging.refreshed_days
+    monkeypatch.setattr(merging, "refreshed_days", lambda *frames: given.append(plain(*frames)) or given[-1])
+    assert store.merge(refresh=True).replaced == 1
+    assert given and not [name for name in given[0].inputFiles() if "/minutes/month=" in name]

@@ -153,6 +153,20 @@ def order_actions(spark: SparkSession, sf_dir: str, *statuses: str) -> DataFrame
     )
 
 
+def separate_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corporate actions of all orders, one for each symbol and day."""
+    every = order_actions(spark, sf_dir, "P", "F", "O")
+    return latest_per_key(every.where(is_action()), KEY)
+
+
+def asked_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a lookup: the minutes of all events, those of errors an hour late."""
+    late = F.expr("date + interval 1 hour")
+    return staged_minutes(spark, sf_dir).select(
+        "symbol", F.when(F.col("event_type") == "error", late).otherwise(F.col("date")).alias("date")
+    )
+
+
 # File text. Lines are built with to_csv and taken apart with from_csv, as the file reader would.
 
 

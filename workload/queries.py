@@ -161,13 +161,40 @@ def adjusted_days_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exact_within_one_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether decimal and double arithmetic differ by at most one unit, for each daily bar with all its actions."""
     every = feeds.line_bars(spark, sf_dir)
-    exact, double = (adjustment.adjusted_days(every, exact=mode) for mode in (True, False))
-    names = [name for name in exact.columns if name not in KEY]
-    joined = exact.join(double.withColumnsRenamed({name: f"double_{name}" for name in names}), KEY)
-    near = [F.abs(F.col(name) - F.col(f"double_{name}")) <= 1 for name in names]
+    return _near(*[adjustment.adjusted_days(every, exact=mode) for mode in (True, False)])
+
+
+def _near(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Whether all values of two adjustments differ by at most one unit, for each day."""
+    names = [name for name in one.columns if name not in KEY]
+    joined = one.join(other.withColumnsRenamed({name: f"other_{name}" for name in names}), KEY)
+    near = [F.abs(F.col(name) - F.col(f"other_{name}")) <= 1 for name in names]
     return joined.select(*KEY, F.forall(F.array(*near), lambda each: each).alias("near"))
 
 
+def exact_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``adjusted_days_exact``, by the two-level form."""
+    return adjustment.adjusted_by_segment(feeds.split_bars(spark, sf_dir), exact=True)
+
+
+def segments_within_one_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the two-level form in double arithmetic differs from the one-level form by at most one unit."""
+    every = feeds.line_bars(spark, sf_dir)
+    return _near(adjustment.adjusted_by_segment(every, exact=False), adjustment.adjusted_days(every, exact=False))
+
+
+def placed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions of all orders on the days of the line bars: where they are, move to, or are lost."""
+    every = feeds.separate_actions(spark, sf_dir)
+    return adjusting.placed_actions(feeds.line_bars(spark, sf_dir), every)
+
+
+def adjusted_next_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily bars adjusted by the actions of all orders, which move to the next day with a bar."""
+    every = feeds.separate_actions(spark, sf_dir)
+    return adjusting.adjust(feeds.line_bars(spark, sf_dir), every, skip_errors=True, exact=False, lost="next_bar")
+
+
 # Views and lookups
 
 
@@ -200,6 +227,17 @@ def get_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.get_minute(*_minutes_and_adjusted(spark, sf_dir), "U8", "2024-01-01 00:00:00")
 
 
+def get_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many days at once: those of all orders, of symbols that have bars and of some that have none, with repetitions."""
+    keys = feeds.order_actions(spark, sf_dir, "P", "F", "O")
+    return views.get_days(*_adjusted_before_2001(spark, sf_dir), keys)
+
+
+def get_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many minutes at once: those of all events, and for errors the minute an hour later."""
+    return views.get_minutes(*_minutes_and_adjusted(spark, sf_dir), feeds.asked_minutes(spark, sf_dir))
+
+
 # Everything from staged rows to the daily view
 
 
@@ -220,6 +258,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         parse_days, parse_minutes, parse_adjustments, reject_rows, skip_errors, import_counts, min_date_filter,
         offset_rows, to_date_day, descaled_prices, distinct_rows, dedup_latest, anti_new_keys, day_bars, days_merged,
         action_filter, actions_merged, any_left_join, pair_factors, bad_dividends, running_coefficient, adjusted_days,
-        adjusted_days_skipping, adjusted_days_exact, exact_within_one_unit, days_view, minutes_view, get_day, get_minute, price_history,
+        adjusted_days_skipping, adjusted_days_exact, exact_within_one_unit, exact_by_segment, segments_within_one_unit,
+        placed_actions, adjusted_next_bar, days_view, minutes_view, get_day, get_minute, get_days, get_minutes,
+        price_history,
     )
 }

@@ -157,6 +157,40 @@ _ORDER_ACTIONS = """
                                      ORDER BY CASE WHEN feed = 'P' THEN 0 ELSE 1 END, _seq DESC) AS n
         FROM order_actions WHERE """ + _ACTION + """) WHERE n = 1"""
 
+# All factors are 1/2, 2 and 4/5, so a coefficient is a power of two over a power of five.
+_EXACT = f"""{_with('ticks', 'bars')}, splits AS (
+            SELECT symbol, date, open, high, low, close, split_ratio,
+                   sum(CASE split_ratio WHEN 20000 THEN -1 WHEN 5000 THEN 1 WHEN 15000 THEN 2 ELSE 0 END) OVER newer AS twos,
+                   sum(CASE split_ratio WHEN 15000 THEN 1 ELSE 0 END) OVER newer AS fives
+            FROM bars
+            WINDOW newer AS (PARTITION BY symbol ORDER BY date DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        powers AS (
+            SELECT *, CAST(pow(2, greatest(COALESCE(twos, 0), 0)) AS HUGEINT) AS up,
+                   CAST(pow(2, greatest(-COALESCE(twos, 0), 0)) AS HUGEINT)
+                   * CAST(pow(5, COALESCE(fives, 0)) AS HUGEINT) AS down
+            FROM splits)
+        SELECT symbol, date, CAST(CAST(10000 AS HUGEINT) * up // down AS BIGINT) AS adjustment_coefficient,
+               {', '.join(f'CAST(CAST({price} AS HUGEINT) * up // down AS BIGINT) AS adjusted_{price}' for price in _PRICES)}
+        FROM powers"""
+
+_SEPARATE = """
+    SELECT symbol, date, dividend, split_ratio FROM (
+        SELECT 'S' || number AS symbol, *, row_number() OVER (PARTITION BY number, date ORDER BY _seq DESC) AS n
+        FROM order_actions WHERE """ + _ACTION + """) WHERE n = 1"""
+
+# The actions of a bar in their order: ratios multiply, dividends count in shares before the first split.
+_MOVED = """
+    SELECT symbol, bar AS date, CAST(sum(dividend * ratio // 10000) AS BIGINT) AS dividend,
+           CAST(last(ratio * split_ratio // 10000 ORDER BY date) AS BIGINT) AS split_ratio
+    FROM (
+        SELECT *, list_reduce(list_concat([CAST(10000 AS HUGEINT)],
+                   COALESCE(list(CAST(split_ratio AS HUGEINT)) OVER (PARTITION BY symbol, bar ORDER BY date
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), [])),
+                   lambda a, b: a * b // 10000) AS ratio
+        FROM (SELECT a.symbol, a.date, a.dividend, a.split_ratio, min(b.date) AS bar
+              FROM separate a JOIN bars b ON b.symbol = a.symbol AND b.date >= a.date GROUP BY ALL))
+    GROUP BY symbol, bar"""
+
 ORACLES: dict[str, str] = {
     "parse_days": """
         SELECT 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, price * 100 AS open,
@@ -220,21 +254,7 @@ ORACLES: dict[str, str] = {
     "adjusted_days": f"{_with('ticks', 'bars', **_LINE_ADJUSTED)} SELECT * FROM adjusted",
     "adjusted_days_skipping":
         f"{_with('ticks', 'bars', **_adjusted('bars', 'bars', times=1000))} SELECT * FROM adjusted",
-    # All factors are 1/2, 2 and 4/5, so a coefficient is a power of two over a power of five.
-    "adjusted_days_exact": f"""{_with('ticks', 'bars')}, splits AS (
-            SELECT symbol, date, open, high, low, close, split_ratio,
-                   sum(CASE split_ratio WHEN 20000 THEN -1 WHEN 5000 THEN 1 WHEN 15000 THEN 2 ELSE 0 END) OVER newer AS twos,
-                   sum(CASE split_ratio WHEN 15000 THEN 1 ELSE 0 END) OVER newer AS fives
-            FROM bars
-            WINDOW newer AS (PARTITION BY symbol ORDER BY date DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-        powers AS (
-            SELECT *, CAST(pow(2, greatest(COALESCE(twos, 0), 0)) AS HUGEINT) AS up,
-                   CAST(pow(2, greatest(-COALESCE(twos, 0), 0)) AS HUGEINT)
-                   * CAST(pow(5, COALESCE(fives, 0)) AS HUGEINT) AS down
-            FROM splits)
-        SELECT symbol, date, CAST(CAST(10000 AS HUGEINT) * up // down AS BIGINT) AS adjustment_coefficient,
-               {', '.join(f'CAST(CAST({price} AS HUGEINT) * up // down AS BIGINT) AS adjusted_{price}' for price in _PRICES)}
-        FROM powers""",
+    "adjusted_days_exact": _EXACT,
     "exact_within_one_unit": f"{_with('ticks', 'bars')} SELECT symbol, date, TRUE AS near FROM bars",
     "days_view": f"{_with('ticks', 'bars', **_BEFORE_2001)} {_DAYS_VIEW.format(days='bars')}",
     "minutes_view": f"""
@@ -245,6 +265,21 @@ ORACLES: dict[str, str] = {
     "get_minute": f"""{_with('staged', 'minutes', 'rolled', 'event_actions', **_MINUTE_ADJUSTED)}
         SELECT symbol, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, {_DESCALED} FROM ({_MINUTES_VIEW})
         WHERE symbol = 'U8' AND date = TIMESTAMP '2024-01-01 00:00:00'""",
+    "exact_by_segment": _EXACT,
+    "segments_within_one_unit": f"{_with('ticks', 'bars')} SELECT symbol, date, TRUE AS near FROM bars",
+    "placed_actions": f"""{_with('ticks', 'bars', 'order_actions', separate=_SEPARATE)}
+        SELECT a.symbol, a.date, a.dividend, a.split_ratio, min(b.date) AS bar
+        FROM separate a LEFT JOIN bars b ON b.symbol = a.symbol AND b.date >= a.date GROUP BY ALL""",
+    "adjusted_next_bar": f"""{_with('ticks', 'bars', 'order_actions', separate=_SEPARATE, moved=_MOVED,
+                                    **_adjusted('bars', 'moved'))} SELECT * FROM adjusted""",
+    "get_days": f"""{_with('ticks', 'bars', 'order_actions', **_BEFORE_2001)}, viewed AS ({_DAYS_VIEW.format(days='bars')})
+        SELECT 'S' || a.number AS symbol, strftime(a.date, '%Y-%m-%d') AS date, v.symbol IS NOT NULL AS found, {_DESCALED}
+        FROM order_actions a LEFT JOIN viewed v ON v.symbol = 'S' || a.number AND v.date = a.date""",
+    "get_minutes": f"""{_with('staged', 'minutes', 'rolled', 'event_actions', **_MINUTE_ADJUSTED)},
+        viewed AS ({_MINUTES_VIEW}),
+        asked AS (SELECT symbol, CASE WHEN event_type = 'error' THEN date + INTERVAL 1 HOUR ELSE date END AS date FROM staged)
+        SELECT a.symbol, strftime(a.date, '%Y-%m-%d %H:%M:%S') AS date, v.symbol IS NOT NULL AS found, {_DESCALED}
+        FROM asked a LEFT JOIN viewed v ON v.symbol = a.symbol AND v.date = a.date""",
     "price_history": _with(
         "order_rows", "order_minutes", "order_days", "order_actions",
         history_actions=_ORDER_ACTIONS, **_adjusted("order_days", "history_actions"),
