@@ -80,3 +80,28 @@ def adjust(
     days: DataFrame, actions: DataFrame, skip_errors: bool = False, exact: bool = True, lost: str = "drop"
 ) -> DataFrame:
     return adjusted_days(with_actions(days, actions, lost=lost), skip_errors, exact)
+
+
+# Incremental adjustment: what the adjusted prices of a symbol were made of.
+
+
+def fingerprints(days: DataFrame, actions: DataFrame) -> DataFrame:
+    """For each symbol, the number of its bars and actions and the sum of their hashes.
+
+    Rows are combined before the shuffle, which has one row for each symbol and task, and nothing is sorted.
+    """
+    bars = days.select("symbol", F.xxhash64(F.lit("bar"), *KEY, *PRICES).alias("hash"))
+    events = actions.select("symbol", F.xxhash64(F.lit("action"), *KEY, *ACTION).alias("hash"))
+    return bars.unionByName(events).groupBy("symbol").agg(
+        F.count("*").alias("rows"), F.sum(F.col("hash").cast("decimal(38,0)")).alias("hashes")
+    )
+
+
+def changed_symbols(before: DataFrame, now: DataFrame) -> DataFrame:
+    """The symbols whose fingerprint is not what it was before, new ones among them."""
+    return now.join(before, ["symbol", "rows", "hashes"], "left_anti").select("symbol")
+
+
+def of_symbols(rows: DataFrame, symbols: DataFrame) -> DataFrame:
+    """The rows of some symbols; few symbols are broadcast by the optimizer, so that no other row is shuffled."""
+    return rows.join(symbols, "symbol", "left_semi")

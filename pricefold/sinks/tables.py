@@ -65,6 +65,11 @@ class Tables:
         folder, files = self._folder(self.path(table))
         return files.exists(folder)
 
+    def kept(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` written to a directory beside the tables and read from there, so that they are found once."""
+        rows.write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(rows.schema).parquet(self.path(name))
+
     def drop(self, name: str) -> None:
         """Delete a directory beside the tables."""
         folder, files = self._folder(self.path(name))

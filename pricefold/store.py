@@ -238,25 +238,49 @@ class PriceStore:
     # Adjust
 
     def adjust(
-        self, skip_errors: bool = False, exact: bool = True, lost: str = "drop", by_segment: bool = False
+        self, skip_errors: bool = False, exact: bool = True, lost: str = "drop", by_segment: bool = False,
+        incremental: bool = False,
     ) -> AdjustReport:
         """Recompute all adjusted daily prices; see ``pricefold.operators.adjustment``.
 
         With ``skip_errors`` the dividends left out are written to ``rejects/days_adjusted``. With ``lost="next_bar"`` an
         action on a day without a bar counts on the symbol's next day with one; those moved, and those without such a day,
         are written to ``moved_actions``. ``by_segment`` takes the two-level form, for symbols of very many rows.
+
+        With ``incremental`` only symbols whose bars or actions have changed since the last run are adjusted, and of their
+        rows only those that differ are written; the report counts these. After a run with other options all are.
         """
         days, actions = self.tables.read("days"), self.tables.read("adjustments")
+        every = days, actions
+        options = f"skip_errors={skip_errors},exact={exact},lost={lost}"
+        before = self._fingerprints(options) if incremental else None
+        if before is not None:
+            changed = adjusting.changed_symbols(before, adjusting.fingerprints(*every))
+            symbols = self.tables.kept("changed_symbols", changed)
+            days, actions = (adjusting.of_symbols(rows, symbols) for rows in every)
         rows = adjusting.with_actions(days, actions, by_symbol=not by_segment, lost=lost)
         form = adjustment.adjusted_by_segment if by_segment else adjustment.adjusted_days
         adjusted = form(rows, skip_errors, exact, report=skip_errors)
         with shuffles_sized_for(days, actions), joins_on_part_of_keys(self.spark):
-            written = self.tables.replace("days_adjusted", adjusted)
-            moved, gone = self._write_moved(days, actions) if lost == "next_bar" else (0, 0)
+            if before is None:
+                written = self.tables.replace("days_adjusted", adjusted)
+            else:
+                written = sum(self.tables.upsert("days_adjusted", adjusted))
+            moved, gone = self._write_moved(*every) if lost == "next_bar" else (0, 0)
+        # Noted last: what a run that breaks off has not written is found changed again.
+        state = self.tables.path(f"adjusted_from/{options}")
+        self.tables.drop("adjusted_from")
+        adjusting.fingerprints(*every).write.mode("overwrite").parquet(state)
         bad = self._write_bad_dividends() if skip_errors else 0
         self.create_views()
         return AdjustReport(written, bad, moved, gone)
 
+    def _fingerprints(self, options: str) -> DataFrame | None:
+        """What the adjusted prices were made of by the last run, if it had these options and ended."""
+        if not self.tables.exists(f"adjusted_from/{options}/_SUCCESS"):
+            return None
+        return self.spark.read.parquet(self.tables.path(f"adjusted_from/{options}"))
+
     def _write_moved(self, days: DataFrame, actions: DataFrame) -> tuple[int, int]:
         seen = Observation()
         counts = F.count("bar").alias("moved"), F.count_if(F.col("bar").isNull()).alias("lost")

@@ -606,3 +606,24 @@ def test_a_bar_that_knows_its_minutes_is_refreshed_without_them(store, write, mo
     monkeypatch.setattr(merging, "refreshed_days", lambda *frames: given.append(plain(*frames)) or given[-1])
     assert store.merge(refresh=True).replaced == 1
     assert given and not [name for name in given[0].inputFiles() if "/minutes/month=" in name]
+
+
+def test_an_incremental_adjustment_equals_a_full_one(store, write):
+    def prices():
+        return collected(store.tables.read("days_adjusted"), "symbol", "date", "adjustment_coefficient", "adjusted_open")
+
+    store.import_days(write("a.csv", DAYS, *GOLDEN, day("Y", "2020-01-03", 10, 11, 9, 10), day("Y", "2020-03-03", 10, 11, 9, 10)))
+    store.merge()
+    # Without a run before, all symbols are adjusted.
+    assert store.adjust(incremental=True).adjusted == 6
+    assert store.adjust(incremental=True).adjusted == 0
+    march = files_of(store, "days_adjusted", date(2020, 3, 1))
+    store.import_days(write("b.csv", DAYS, day("X", "2020-02-05", 8, 9, 7, 8, split="2.0"), day("Z", "2020-02-05", 8, 9, 7, 8)))
+    store.merge()
+    # Four older rows of X change, and two rows are new.
+    assert store.adjust(incremental=True).adjusted == 6
+    assert files_of(store, "days_adjusted", date(2020, 3, 1)) == march
+    found = prices()
+    assert store.adjust().adjusted == 8 and prices() == found
+    assert store.adjust(incremental=True, skip_errors=True).adjusted == 8 and prices() == found
+    assert store.adjust(incremental=True, skip_errors=True).adjusted == 0

@@ -115,6 +115,23 @@ def actions_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merging.actions_delta(in_bars, separate, stored)
 
 
+def newest_days_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored days after a merge in which newest rows win: rolled up from minutes, then imported, then stored."""
+    stored = feeds.order_days(spark, sf_dir, "P").select(*_MINUTE)
+    newest = merging.newest_days(feeds.order_minutes(spark, sf_dir, "F"), feeds.order_rows(spark, sf_dir, "O"))
+    return keyed.replaced(stored, keyed.changes(newest, stored, KEY), KEY)
+
+
+def refreshed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored bars after every third minute of an hour came late; one in five knows nothing of its older minutes."""
+    every = feeds.minutes(spark, sf_dir).select("symbol", "day", "date", *PRICES)
+    late = F.minute("date") % 3 == 0
+    states = bars.day_states(every.where(~late))
+    bare = F.dayofmonth("date") % 5 == 0
+    stored = states.withColumns({name: F.when(~bare, F.col(name)) for name in bars.SPAN})
+    return merging.refreshed_days(stored, every.where(late), every.where(~late)).select(*_MINUTE)
+
+
 # Adjustment
 
 
@@ -195,6 +212,18 @@ def adjusted_next_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adjusting.adjust(feeds.line_bars(spark, sf_dir), every, skip_errors=True, exact=False, lost="next_bar")
 
 
+def adjusted_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjusted prices of a run before some symbols had their last bars, brought up to date by those symbols alone."""
+    every = feeds.line_bars(spark, sf_dir)
+    number = F.substr("symbol", F.lit(2)).cast("int")
+    before = every.where((number % 3 != 0) | (F.col("date") < F.lit("1997-06-01").cast("date")))
+    made_of = [adjusting.fingerprints(feeds.days_of(rows), feeds.actions_of(rows)) for rows in (before, every)]
+    symbols = adjusting.changed_symbols(*made_of)
+    stored = adjustment.adjusted_days(before, exact=False)
+    anew = adjustment.adjusted_days(adjusting.of_symbols(every, symbols), exact=False)
+    return keyed.replaced(stored, keyed.changes(anew, stored, KEY), KEY)
+
+
 # Views and lookups
 
 
@@ -257,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         parse_days, parse_minutes, parse_adjustments, reject_rows, skip_errors, import_counts, min_date_filter,
         offset_rows, to_date_day, descaled_prices, distinct_rows, dedup_latest, anti_new_keys, day_bars, days_merged,
+        newest_days_merged, refreshed_days, adjusted_incrementally,
         action_filter, actions_merged, any_left_join, pair_factors, bad_dividends, running_coefficient, adjusted_days,
         adjusted_days_skipping, adjusted_days_exact, exact_within_one_unit, exact_by_segment, segments_within_one_unit,
         placed_actions, adjusted_next_bar, days_view, minutes_view, get_day, get_minute, get_days, get_minutes,

@@ -234,6 +234,20 @@ ORACLES: dict[str, str] = {
         WHERE (symbol, date) NOT IN (SELECT (symbol, date) FROM staged WHERE event_type IN ('click', 'view'))""",
     "day_bars": f"{_with('staged', 'minutes', 'rolled')} SELECT * FROM rolled",
     "days_merged": f"{_with('order_rows', 'order_minutes', 'order_days')} SELECT * FROM order_days",
+    "newest_days_merged": f"""{_with('order_rows', 'order_minutes')}
+        SELECT symbol, date, open, high, low, close FROM (
+            SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY source, _seq DESC) AS n FROM (
+                SELECT symbol, date, arg_min(price, minute) AS open, max(price) AS high, min(price) AS low,
+                       arg_max(price, minute) AS close, 0 AS source, 0 AS _seq
+                FROM order_minutes GROUP BY symbol, date
+                UNION ALL
+                SELECT symbol, date, price, price, price, price, CASE feed WHEN 'O' THEN 1 ELSE 2 END, _seq
+                FROM order_rows WHERE feed IN ('O', 'P')))
+        WHERE n = 1""",
+    "refreshed_days": f"""{_with('staged', 'minutes', 'rolled')}
+        SELECT * FROM rolled
+        WHERE (symbol, date) IN (SELECT (symbol, day) FROM minutes WHERE minute(date) % 3 = 0)""",
+    "adjusted_incrementally": f"{_with('ticks', 'bars', **_LINE_ADJUSTED)} SELECT * FROM adjusted",
     "action_filter": f"{_with('line_actions')} SELECT * FROM line_actions WHERE {_ACTION}",
     "actions_merged": f"""{_with('ticks', 'bars', 'order_actions')}
         SELECT symbol, date, dividend, split_ratio FROM (
