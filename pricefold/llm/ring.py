@@ -1,9 +1,16 @@
 """Operator 4: shards by a consistent-hash ring with virtual nodes and bounded loads, in DataFrame operations only.
 
-Each shard owns ``nodes`` points of a circle. A row's hash falls into the arc before one of these points and belongs to
-its shard. No shard may hold more than its share, n // shards rows or one more; what a point cannot take continues
-clockwise to the next point with room. All decisions are made on the counts of arcs, whose number is fixed by the
-parameters; rows only look theirs up.
+Each shard has ``nodes`` points on a circle, at hashes of the shard and the point's number, so that a further shard adds
+points and moves none. A row's hash falls into the arc before a point and belongs to the point's shard. No shard may hold
+more than its share, n // shards rows or one more. What finds its shard full walks on clockwise to the next point whose
+shard has room. Rows walk in steps, all at once: of those that come to a shard in the same step the ones of earlier arcs
+go first, and in an arc they go in the order of their content.
+
+So a row depends on the rows' contents alone, not on how they are read, and a row that is at its own point before and
+after a shard is added stays or goes to the new one. Between old shards move at most the rows that walk, before or after.
+
+The walk needs the rows of each arc as numbers only, and their count is fixed by the parameters: it is planned on the
+driver. All that is done with rows is done by DataFrame operations.
 """
 
 from __future__ import annotations
@@ -14,8 +21,10 @@ from pyspark.sql import functions as F
 from pricefold.llm.common import checkpointed, located
 
 _BITS = 52
-# A hash that many rows share is counted in so many parts.
-_PARTS = 64
+# Rows of an arc are ranked in so many parts, by their texts.
+_PARTS = 1024
+# Equal rows are written out so many at a time where one of them has more.
+_CHUNK = 10_000
 
 
 def _place(*values: Column | str) -> Column:
@@ -28,9 +37,11 @@ def arcs(spark: SparkSession, shards: int, nodes: int) -> DataFrame:
 
     The arc that contains the zero of the circle comes in two pieces with the same number.
     """
-    points = spark.range(shards * nodes, numPartitions=1).select((F.col("id") % shards).cast("int").alias("shard"), "id")
-    points = points.withColumn("point", _place(F.lit("node"), F.col("id")))
-    clockwise = Window.orderBy("point", "id")
+    points = spark.range(shards * nodes, numPartitions=1).select(
+        F.floor(F.col("id") / nodes).cast("int").alias("shard"), (F.col("id") % nodes).alias("node")
+    )
+    points = points.withColumn("point", _place(F.lit("node"), "shard", "node"))
+    clockwise = Window.orderBy("point", "shard", "node")
     ordered = points.select(
         (F.row_number().over(clockwise) - 1).alias("arc"),
         "shard",
@@ -50,96 +61,58 @@ def arcs(spark: SparkSession, shards: int, nodes: int) -> DataFrame:
     )
 
 
-def segments(counts: DataFrame, ring: DataFrame, shards: int) -> DataFrame:
-    """Which stretch of an arc's rows goes to which shard: arc, low, high, shard, slot of the first.
+def walked(rows: list[int], owners: list[int], shards: int) -> list[tuple[int, int, int, int]]:
+    """Where the rows of each arc go: (arc, low, high, shard), ranks from ``low`` up to but not with ``high``.
 
-    A shard's share is dealt to its points by the rows of their arcs, so a shard with room takes all its own rows and a
-    shard without turns away the same part of each arc. The rows turned away and the free slots are both numbered
-    clockwise, from the point on where no row is left waiting; then the k-th row meets the k-th slot, which is never
-    behind it.
+    ``rows`` and ``owners`` give the rows of each arc and the shard of its point, clockwise.
     """
-    whole = Window.partitionBy()
-    own = Window.partitionBy("shard")
-    arc = ring.groupBy("arc").agg(F.first("shard").alias("shard"))
-    loads = arc.join(counts, "arc", "left").select("arc", "shard", F.coalesce("rows", F.lit(0)).alias("rows"))
-    total = F.sum("rows").over(whole)
-    quota = F.floor(total / shards) + F.when(F.col("shard") < total % shards, 1).otherwise(0)
-    loads = loads.withColumn("quota", F.floor(quota)).withColumn("load", F.sum("rows").over(own))
-    # Running totals, rounded down, deal a share out to whole rows; an empty shard deals by its points.
-    seen = F.sum("rows").over(own.orderBy("arc"))
-    point = F.row_number().over(own.orderBy("arc"))
-    points = F.count("*").over(own)
-    dealt = F.when(F.col("load") > 0, F.floor(F.col("quota").cast("decimal(38,0)") * seen / F.col("load"))).otherwise(
-        F.floor(F.col("quota").cast("decimal(38,0)") * point / points)
-    )
-    loads = loads.withColumn("dealt", dealt.cast("bigint"))
-    room = F.col("dealt") - F.coalesce(F.lag("dealt").over(own.orderBy("arc")), F.lit(0))
-    loads = loads.withColumn("room", room).withColumn("kept", F.least("rows", "room"))
-    waiting = F.sum(F.col("rows") - F.col("room")).over(whole.orderBy("arc"))
-    loads = loads.withColumn("waiting", waiting)
-    # All that waits has found a slot after the arc with the least waiting.
-    start = F.min_by("arc", F.struct("waiting", "arc")).over(whole)
-    size = F.count("*").over(whole)
-    turn = (F.col("arc") - start - 1 + size) % size
-    loads = loads.withColumn("turn", turn)
-    before = whole.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-
-    def earlier(amount: Column) -> Column:
-        return F.coalesce(F.sum(amount).over(before), F.lit(0))
-
-    loads = loads.withColumns({
-        "over": F.col("rows") - F.col("kept"), "free": F.col("room") - F.col("kept"),
-    }).withColumns({"over_before": earlier(F.col("over")), "free_before": earlier(F.col("free"))})
-    kept = loads.where("kept > 0").select("arc", F.lit(0).cast("bigint").alias("low"), F.col("kept").alias("high"), "shard")
-    return kept.unionByName(_met(loads)).withColumn("_length", F.col("high") - F.col("low")).withColumn(
-        "first_slot",
-        F.sum("_length").over(Window.partitionBy("shard").orderBy("arc", "low")) - F.col("_length"),
-    ).drop("_length")
-
-
-def _met(loads: DataFrame) -> DataFrame:
-    """Meet the numbered rows that were turned away with the numbered free slots, by cutting both at all bounds."""
-    loads = loads.withColumn("total", F.sum("over").over(Window.partitionBy()))
-    over = loads.where("over > 0").select(
-        F.col("over_before").alias("number"),
-        F.struct("arc", "kept", "over_before").alias("source"),
-        F.lit(None).cast("int").alias("target"),
-        "total",
+    total, points = sum(rows), len(owners)
+    room = [total // shards + (shard < total % shards) for shard in range(shards)]
+    waiting = [(arc, 0) for arc in range(points) if rows[arc]]
+    found, step = [], 0
+    while waiting:
+        still = []
+        for arc, low in waiting:
+            shard = owners[(arc + step) % points]
+            high = min(rows[arc], low + room[shard])
+            if high > low:
+                found.append((arc, low, high, shard))
+                room[shard] -= high - low
+            if high < rows[arc]:
+                still.append((arc, high))
+        waiting, step = still, step + 1
+    return found
+
+
+def _segments(spark: SparkSession, ring: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
+    """The stretches of the arcs' rows with their shard, and the slot of the first row of each."""
+    loads = {row.arc: row.rows for row in counts.groupBy("arc").agg(F.sum("rows").alias("rows")).collect()}
+    owners = [row.shard for row in ring.groupBy("arc").agg(F.first("shard").alias("shard")).orderBy("arc").collect()]
+    slots = [0] * shards
+    lines = []
+    for arc, low, high, shard in sorted(walked([loads.get(arc, 0) for arc in range(len(owners))], owners, shards)):
+        lines.append(f"{arc},{low},{high},{shard},{slots[shard]}")
+        slots[shard] += high - low
+    # One literal, whatever the number of arcs.
+    line = spark.range(1).select(F.explode(F.split(F.lit(";".join(lines)), ";")).alias("line")).where("line <> ''")
+    fields = F.split("line", ",")
+    return line.select(
+        fields[0].cast("int").alias("arc"), fields[1].cast("bigint").alias("low"), fields[2].cast("bigint").alias("high"),
+        fields[3].cast("int").alias("shard"), fields[4].cast("bigint").alias("first_slot"),
     )
-    free = loads.where("free > 0").select(
-        F.col("free_before").alias("number"),
-        F.lit(None).cast("struct<arc:int,kept:bigint,over_before:bigint>").alias("source"),
-        F.col("shard").alias("target"),
-        "total",
-    )
-    cuts = over.unionByName(free).groupBy("number").agg(
-        F.max("source").alias("source"), F.max("target").alias("target"), F.max("total").alias("total")
-    )
-    forward = Window.partitionBy().orderBy("number")
-    cuts = cuts.withColumns({
-        "source": F.last("source", ignorenulls=True).over(forward),
-        "target": F.last("target", ignorenulls=True).over(forward),
-        "until": F.lead("number").over(forward),
-    })
-    until = F.coalesce("until", "total")
-    shift = F.col("source.kept") - F.col("source.over_before")
-    return cuts.select(
-        F.col("source.arc").alias("arc"), (F.col("number") + shift).alias("low"), (until + shift).alias("high"),
-        F.col("target").alias("shard"),
-    ).where("low < high")
-
-
-def sharded(docs: DataFrame, shards: int = 40, nodes: int = 128, id_column: str = "doc_id") -> DataFrame:
+
+
+def sharded(docs: DataFrame, shards: int = 40, nodes: int = 256, id_column: str = "doc_id") -> DataFrame:
     """One row for each row of ``docs``: id, size, text_crc32, law, shard, slot, grown_shard.
 
     Law ``rows``: the counts of any two shards differ by at most one. Sizes are the UTF-8 bytes of the text plus 16, 0
     bytes for a null text, whose CRC-32 is that of an empty text. ``slot`` numbers the rows of a shard from 0 without
-    gaps. Null and repeated ids are spread over the arc of their hash like others; which of them comes first follows
-    the order of the input. ``grown_shard`` is always null, since under this law a further shard moves rows between
-    the others too.
+    gaps. Null and repeated ids are spread over the arc of their hash like others; rows equal in all of these columns
+    are alike, and which of them is which does not matter. ``grown_shard`` is always null, since under this law a
+    further shard moves rows between the others too.
 
-    The rows are written once, slim, to the checkpoint folder, so that counts and ranks see the same rows in the same
-    places whatever executors are lost. One shuffle of the slim rows ranks them in their arcs.
+    Equal rows are counted before the first shuffle and written out after the last one, so an id or a row that a third
+    of all rows share is spread. The slim rows are written once to the checkpoint folder; one more shuffle ranks them.
     """
     spark = docs.sparkSession
     ring = arcs(spark, shards, nodes)
@@ -148,23 +121,37 @@ def sharded(docs: DataFrame, shards: int = 40, nodes: int = 128, id_column: str
         "doc_id",
         (F.octet_length("_text") + 16).cast("bigint").alias("size"),
         F.crc32("_text").alias("text_crc32"),
-        _place("doc_id").alias("place"),
-        F.monotonically_increasing_id().alias("seen"),
+        F.xxhash64("_text").alias("content"),
     )
+    kinds = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
     # The size of the ring is fixed by the parameters.
-    rows = located(rows, ring.drop("shard"), "place", _BITS, small=True).withColumn("part", F.pmod(F.shiftright("seen", 33), F.lit(_PARTS)))
-    rows = checkpointed(rows)
-    counts = rows.groupBy("arc", "part").agg(F.count("*").alias("rows"))
-    dealt = F.broadcast(segments(counts.groupBy("arc").agg(F.sum("rows").alias("rows")), ring, shards))
+    placed = located(kinds.withColumn("place", _place("doc_id")), ring.drop("shard"), "place", _BITS, small=True)
+    placed = checkpointed(placed.withColumn("part", F.pmod("content", F.lit(_PARTS)).cast("int")))
+    counts = placed.groupBy("arc", "part").agg(F.sum("copies").alias("rows"))
     upto = Window.partitionBy("arc").orderBy("part")
     starts = counts.select("arc", "part", (F.sum("rows").over(upto) - F.col("rows")).alias("start"))
-    ranked = rows.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("arc", "part").orderBy("place", "doc_id", "seen")) - 1
+    by_content = Window.partitionBy("arc", "part").orderBy("place", "doc_id", "content", "size", "text_crc32")
+    ranked = placed.withColumn("before", F.sum("copies").over(by_content) - F.col("copies"))
+    ranked = ranked.join(starts, ["arc", "part"]).withColumn("rank", F.col("before") + F.col("start"))
+    dealt = F.broadcast(_segments(spark, ring, counts, shards))
+    end = F.col("rank") + F.col("copies")
+    found = ranked.join(dealt, "arc").where((F.col("rank") < F.col("high")) & (end > F.col("low")))
+    first, last = F.greatest("rank", "low"), F.least(end, F.col("high"))
+    found = found.select(
+        "doc_id", "size", "text_crc32", "shard", (F.col("first_slot") + first - F.col("low")).alias("slot"),
+        (last - first).alias("times"),
     )
-    ranked = ranked.join(starts, ["arc", "part"]).withColumn("rank", F.col("rank") + F.col("start"))
-    found = ranked.join(dealt, "arc").where("rank >= low and rank < high")
+    most = placed.agg(F.max("copies")).first()[0] or 0
+    if most > _CHUNK:
+        chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("times") - 1) / _CHUNK)))
+        found = found.withColumn("chunk", chunk).repartition("shard", "slot", "chunk").select(
+            "doc_id", "size", "text_crc32", "shard", (F.col("slot") + F.col("chunk") * _CHUNK).alias("slot"),
+            F.least(F.lit(_CHUNK), F.col("times") - F.col("chunk") * _CHUNK).alias("times"),
+        )
+    if most > 1:
+        place = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1))
+        found = found.withColumn("place", place).withColumn("slot", F.col("slot") + F.col("place"))
     return found.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-        (F.col("first_slot") + F.col("rank") - F.col("low")).alias("slot"),
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

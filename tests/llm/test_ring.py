@@ -24,19 +24,75 @@ def test_counts_are_level_though_an_id_has_a_third_of_the_rows(spark):
     checked(rows, 7)
 
 
-def test_an_overflowing_row_goes_to_the_next_point_with_room(spark):
-    """Against a walk around the ring: every row is at its own point, or all points between are full."""
-    docs = spark.range(700).selectExpr("id as doc_id", "'' as text")
-    rows = ring.sharded(docs, shards=3, nodes=2).select("doc_id", "shard").collect()
-    points = ring.arcs(spark, 3, 2).collect()
-    place = {row.doc_id: row.place for row in docs.select("doc_id", ring._place("doc_id").alias("place")).collect()}
-    home = {doc: next(p.shard for p in points if p.low <= at < p.high) for doc, at in place.items()}
-    loads = Counter(home.values())
-    moved = [row for row in rows if row.shard != home[row.doc_id]]
-    # Only rows of shards over their share move, and no more than what is over.
-    assert all(loads[home[row.doc_id]] > 700 // 3 for row in moved)
-    assert len(moved) == sum(max(0, loads[shard] - (700 // 3 + (shard < 700 % 3))) for shard in range(3))
-    checked(ring.sharded(docs, shards=3, nodes=2).collect(), 3)
+def brute_walk(spark, docs, shards, nodes):
+    """Each row by itself, one after the other: steps around the ring until a shard has room."""
+    points = sorted(
+        (row.point, row.shard, row.node) for row in spark.range(shards * nodes).select(
+            F.floor(F.col("id") / nodes).cast("int").alias("shard"), (F.col("id") % nodes).alias("node")
+        ).withColumn("point", ring._place(F.lit("node"), "shard", "node")).collect()
+    )
+    hashed = docs.select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), ring._place(F.col("doc_id").cast("bigint")).alias("place"),
+        F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")).alias("content"),
+    ).collect()
+    rows = []
+    for row in hashed:
+        arc = next((k for k, (point, _, _) in enumerate(points) if row.place < point), 0)
+        order = (row.content % ring._PARTS, row.place, (row.doc_id is not None, row.doc_id or 0), row.content)
+        rows.append((arc, order, row.doc_id, row.text))
+    rows.sort(key=lambda row: row[:2])
+    room = [len(rows) // shards + (shard < len(rows) % shards) for shard in range(shards)]
+    found, step = [], 0
+    while rows:
+        still = []
+        for row in rows:
+            shard = points[(row[0] + step) % len(points)][1]
+            if room[shard]:
+                room[shard] -= 1
+                found.append((row[2], zlib.crc32(row[3].encode()), shard, step))
+            else:
+                still.append(row)
+        rows, step = still, step + 1
+    return found
+
+
+def as_counter(rows):
+    return Counter((row.doc_id, row.text_crc32, row.shard) for row in rows)
+
+
+def test_every_row_is_where_its_walk_ends(spark, sf_dir, odd_documents):
+    many = spark.range(900).selectExpr("if(id < 300, 7L, id div 2) as doc_id", "cast(id % 150 as string) as text")
+    for docs, shards, nodes in ((many, 3, 2), (many, 7, 16), (odd_documents.select("doc_id", "text"), 5, 4)):
+        expected = brute_walk(spark, docs, shards, nodes)
+        assert as_counter(ring.sharded(docs, shards, nodes).collect()) == Counter(row[:3] for row in expected)
+
+
+def test_the_split_of_the_input_does_not_matter(spark):
+    docs = spark.range(1_000).selectExpr("if(id < 300, 7L, id) as doc_id", "cast(id % 400 as string) as text")
+    answers = [
+        Counter(map(tuple, ring.sharded(docs.repartition(n), 40).drop("grown_shard").collect())) for n in (1, 6, 12)
+    ]
+    assert answers[0] == answers[1] == answers[2]
+
+
+def test_one_more_shard_moves_rows_to_itself_and_rows_that_walk(spark):
+    docs = spark.range(4_000).selectExpr("id as doc_id", "'' as text")
+    before, after = ({row.doc_id: row.shard for row in ring.sharded(docs, n).collect()} for n in (40, 41))
+    walks = set()
+    for n in (40, 41):
+        walks |= {row[0] for row in brute_walk(spark, docs, n, 256) if row[3]}
+    moved = {doc for doc in before if after[doc] not in (before[doc], 40)}
+    assert moved <= walks and len(moved) < 0.2 * len(before)
+    assert abs(sum(shard == 40 for shard in after.values()) - 4_000 / 41) <= 1
+
+
+def test_equal_rows_are_written_out_in_chunks(spark, monkeypatch):
+    docs = spark.range(500).selectExpr("if(id < 300, 7L, id) as doc_id", "'same' as text").repartition(3)
+    plain = Counter(map(tuple, ring.sharded(docs, 6).drop("grown_shard").collect()))
+    monkeypatch.setattr(ring, "_CHUNK", 9)
+    rows = ring.sharded(docs, 6).collect()
+    checked(rows, 6)
+    assert Counter(tuple(row)[:-1] for row in rows) == plain
 
 
 def test_documents_of_all_kinds(spark, odd_documents, no_documents):
