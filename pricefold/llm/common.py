@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -29,9 +30,39 @@ def shared_root(spark: SparkSession) -> str:
     return path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """The name of a new folder below the shared one."""
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+# Who asks for folders and gives them back when what is made of them is written; nobody does outside ``gathered``.
+_gathering: ContextVar[list[str] | None] = ContextVar("gathering", default=None)
+
+
+def shared_folder(spark: SparkSession, name: str, lasting: bool = False) -> str:
+    """The name of a new folder below the shared one; a ``lasting`` one is a result and never given back."""
+    folder = f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folders = _gathering.get()
+    if folders is not None and not lasting:
+        folders.append(folder)
+    return folder
+
+
+@contextmanager
+def gathered(folders: list[str]) -> Iterator[None]:
+    """Note the folders that are made meanwhile."""
+    token = _gathering.set(folders)
+    try:
+        yield
+    finally:
+        _gathering.reset(token)
+
+
+def freed(spark: SparkSession, folders: list[str], still_read: DataFrame) -> None:
+    """Delete folders that nothing needs any more, and forget them; those that ``still_read`` reads from stay."""
+    files = still_read.inputFiles()
+    needed = [folder for folder in folders if any(folder.rpartition("/")[2] in file for file in files)]
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        if folder not in needed:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(settings).delete(path, True)
+    folders[:] = needed
 
 
 def fitted(frame: DataFrame, at_most: int | None, rows: int = 500_000) -> DataFrame:

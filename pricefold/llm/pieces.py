@@ -40,13 +40,14 @@ def cut(text: str) -> list[str]:
 class Remembered(dict):
     """What ``make`` gives for a key. When there are too many, those not asked for since the last time go."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], most: int = _MOST_REMEMBERED):
         super().__init__()
         self.make = make
+        self.most = most
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= _MOST_REMEMBERED:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         made = self.older.get(key)
@@ -76,7 +77,7 @@ class Merges:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
-        shown = _shown_bytes()
+        shown = shown_bytes()
         model = described["model"]
         self.special = [token["content"] for token in described["added_tokens"] if token["special"]]
         # Bytes first, then one token for each merge, so that a smaller number means an earlier merge.
@@ -150,7 +151,7 @@ class Merges:
         return counts
 
 
-def _shown_bytes() -> dict[str, int]:
+def shown_bytes() -> dict[str, int]:
     """The sign that stands for each byte in the vocabulary file: itself if it is printable, else one from 256 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     other = [value for value in range(256) if value not in plain]

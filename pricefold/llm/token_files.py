@@ -12,6 +12,7 @@ import io
 import json
 import zlib
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pricefold.llm.common import one_row_a_task, opened, shared_folder, written_whole
-from pricefold.llm.pieces import Remembered, kept_by_worker, plain_pieces
+from pricefold.llm.pieces import Remembered, kept_by_worker, plain_pieces, shown_bytes
 
 BLOCK = 65_536
+# Pieces that a worker remembers, and as many of before; about 200 bytes each.
+REMEMBERED = 800_000
 _MAGIC = b"PLNS0001"
 
 
@@ -137,26 +140,40 @@ class PlaneReader:
 class Encoder:
     """Texts to ids with the tokenizers library, without special tokens added."""
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.pieces = Remembered(self._encode)
-        pattern = json.loads(self.tokenizer.to_str())["pre_tokenizer"]
-        # Other split patterns take the library's way for every text.
-        self.known = (pattern or {}).get("type") == "ByteLevel" and pattern.get("use_regex") is True
-        self.known = self.known and not pattern.get("add_prefix_space")
+        self.pieces = Remembered(self._encode_piece, remembered)
+        self.model = self.tokenizer.model
+        # How bytes are written in the vocabulary, for texts read as one sign a byte.
+        self.shown = {value: sign for sign, value in shown_bytes().items()}
+        described = json.loads(self.tokenizer.to_str())
+        pattern = described["pre_tokenizer"] or {}
+        # Other tokenizers take the library's way for every text.
+        self.known = pattern.get("type") == "ByteLevel" and pattern.get("use_regex") is True
+        self.known = self.known and not pattern.get("add_prefix_space") and described["normalizer"] is None
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _encode_piece(self, piece: str) -> bytes:
+        """The library's model for one piece, which its split pattern leaves whole and which holds no special string."""
+        if piece.isascii() and "\n" not in piece:
+            written = piece.replace(" ", self.shown[32])
+        else:
+            written = piece.encode().decode("latin-1").translate(self.shown)
+        ids = [token.id for token in self.model.tokenize(written)]
+        return pack(f"<{len(ids)}I", *ids)
+
     def __call__(self, text: str) -> np.ndarray:
         pieces = plain_pieces(text) if self.known and "<|" not in text else None
         return np.frombuffer(self._encode(text) if pieces is None else self.pieces.joined(pieces), "<u4")
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer: str, end_id: int, folder: str, bits: bool = False, id_column: str = "doc_id"
+    docs: DataFrame, tokenizer: str, end_id: int, folder: str, bits: bool = False, id_column: str = "doc_id",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Encode every text, append ``end_id`` to each and write the ids in ascending id order.
 
@@ -164,6 +181,8 @@ def write_token_files(
     text counts as empty and gives just ``end_id``. Null ids come first; rows of one id are ordered by a hash of their
     text, which also lets a range boundary fall between them.
 
+    ``remembered`` bounds the memory of a worker, at about 400 bytes each, and bears on its speed alone.
+
     One shuffle, by range of the id. A file is one range; a task that runs again replaces its file by the same one.
     """
 
@@ -173,14 +192,16 @@ def write_token_files(
         first = next(batches, None)
         if first is None:
             return
-        encode = kept_by_worker("encoder", tokenizer, Encoder)
+        encode = kept_by_worker(f"encoder-{remembered}", tokenizer, lambda path: Encoder(path, remembered))
         end = np.array([end_id], "<u4")
         with written_whole(path) as stream:
             writer = PlaneWriter(stream, bits)
             batch = first
             while batch is not None:
-                for document, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    writer.add(document, np.concatenate([encode(text.as_py() or ""), end]))
+                for start in range(0, batch.num_rows, 32):
+                    rows = batch.slice(start, 32)
+                    for document, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+                        writer.add(document, np.concatenate([encode(text or ""), end]))
                 batch = next(batches, None)
             writer.close()
         yield pa.RecordBatch.from_pydict({
@@ -227,7 +248,10 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_files(docs: DataFrame, tokenizer: str, end_id: int = 2, bits: bool = False) -> DataFrame:
+def token_files(
+    docs: DataFrame, tokenizer: str, end_id: int = 2, bits: bool = False, remembered: int = REMEMBERED
+) -> DataFrame:
     """Write the ids of all documents to a new shared folder and describe them as read back from there."""
-    folder = shared_folder(docs.sparkSession, "token-files")
-    return read_token_files(write_token_files(docs, tokenizer, end_id, folder, bits))
+    folder = shared_folder(docs.sparkSession, "token-files", lasting=True)
+    manifest = write_token_files(docs, tokenizer, end_id, folder, bits, remembered=remembered)
+    return read_token_files(manifest)

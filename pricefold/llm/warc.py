@@ -235,5 +235,5 @@ def read_records(manifest: DataFrame) -> DataFrame:
 
 def archived(pages: DataFrame) -> DataFrame:
     """Archive all pages in a new shared folder, normalise the archives and describe each record as read back."""
-    folder = shared_folder(pages.sparkSession, "warc")
+    folder = shared_folder(pages.sparkSession, "warc", lasting=True)
     return read_records(normalised(write_whole(pages, folder), folder))

@@ -113,3 +113,18 @@ def test_decisions_stay_with_their_rows_when_the_splits_change(spark, sf_dir, tm
     finally:
         spark.conf.unset(setting)
     assert answers[0] == answers[1]
+
+
+def test_a_stage_frees_what_those_before_it_wrote(spark, sf_dir, tmp_path):
+    from pricefold.llm.common import freed, gathered, stored
+
+    folders: list[str] = []
+    with gathered(folders):
+        one, other = (stored(spark.range(n), "scratch") for n in (3, 4))
+        assert len(folders) == 2 and one.count() == 3
+    stored(spark.range(5), "not-gathered")
+    assert len(folders) == 2
+    freed(spark, folders, one)
+    assert len(folders) == 1 and one.count() == 3 and not Path(other.inputFiles()[0].removeprefix("file://")).exists()
+    freed(spark, folders, spark.range(1))
+    assert folders == []
