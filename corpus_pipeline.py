@@ -1,22 +1,48 @@
 """A training corpus from raw documents: language, near duplicates, benchmark passages, mixture, token files.
 
-Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Rows are dealt with by a place that
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. What a stage writes for itself to the
+shared folder is needed until its result is written, and goes when the next stage starts. Rows are dealt with by a place that
 is written once with them, so null and repeated ids do no harm, and further columns of the documents pass through. A
 table of decisions is broadcast only if its counted rows are few; otherwise both sides are shuffled by place.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricefold.llm import contamination, language, mixing, near_duplicates, token_files
-from pricefold.llm.common import numbered, shared_folder, stored
+from pricefold.llm.common import freed, gathered, numbered, shared_folder, stored
 from pricefold.llm.queries import END_ID, TOKENIZER, table
 
 _PLACE = "place"
 _FEW = 1_000_000
+# Pieces of texts that a worker remembers while it encodes; the stages before it have left their mark on its memory.
+_REMEMBERED = 200_000
+
+
+_Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Folders of stages whose results may not be written yet.
+_scratch: list[str] = []
+
+
+def _tidy(stage: _Stage) -> _Stage:
+    """A stage that first frees what the stages before it have left; ``docs`` must be read from a written table.
+
+    A folder that ``docs`` itself still reads from, as where a result was passed on without writing it, stays.
+    """
+
+    @wraps(stage)
+    def tidy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        freed(spark, _scratch, docs)
+        with gathered(_scratch):
+            return stage(spark, docs, sf_dir)
+
+    return tidy
 
 
 def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
@@ -27,6 +53,7 @@ def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
     return docs.join(decisions, _PLACE, how)
 
 
+@_tidy
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a language, and write the one found into ``lang``."""
     into = "identified"
@@ -36,6 +63,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.withColumn("lang", F.col(f"{into}.language")).select(*docs.columns)
 
 
+@_tidy
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: that with the smallest id, or of equal and missing ids the first one."""
     docs = numbered(docs)
@@ -48,6 +76,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return _decided(docs, gone.select(F.col("seen").alias(_PLACE)), "left_anti").select("doc.*")
 
 
+@_tidy
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents without an occurrence of a benchmark window."""
     docs = numbered(docs)
@@ -56,6 +85,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _decided(docs, found.select(F.col("seen").alias(_PLACE)), "left_anti").select("doc.*")
 
 
+@_tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words, rounded; documents without words stay once."""
     docs = numbered(docs)
@@ -65,9 +95,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decided.select(F.explode(F.array_repeat("doc", F.col("copies"))).alias("doc")).select("doc.*")
 
 
+@_tidy
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files, one row per document as read back from them."""
-    return token_files.token_files(docs, public_tokenizers.path(TOKENIZER), END_ID)
+    return token_files.token_files(docs, public_tokenizers.path(TOKENIZER), END_ID, remembered=_REMEMBERED)
 
 
 STAGES = [
@@ -89,4 +120,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = shared_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+    freed(spark, _scratch, docs)
     return docs
