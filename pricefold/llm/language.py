@@ -206,11 +206,18 @@ def identified(
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """Pages with what ``identified`` takes: text (without tags), declared, host, suffix; null where there is none."""
-    html = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " ")
+    """Pages with what ``identified`` takes: text (without tags), declared, host, suffix; null where there is none.
+
+    A comment, script or style that is not closed goes on to the end of the page; a tag that is not closed is text. Each
+    pattern passes over a page once, however long it is and whatever is left open in it.
+    """
+    html = F.regexp_replace("html", r"(?is)<(script|style)\b.*?(?:</\1>|\z)|<!--.*?(?:-->|\z)", " ")
+    # Up to the last sign that closes a tag, every tag is closed.
+    closed = F.regexp_extract(html, r"(?s)^(.*>)", 1)
+    rest = F.substr(html, F.length(closed) + 1)
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
-    lang = F.regexp_extract("html", r"(?is)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
+    lang = F.regexp_extract("html", r"(?is)<html\b[^<>]*\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
     return pages.select(
-        "page_id", F.regexp_replace(html, r"<[^>]*>", " ").alias("text"), F.nullif(F.lower(lang), F.lit("")).alias("declared"),
+        "page_id", F.concat(F.regexp_replace(closed, r"<[^>]*>", " "), rest).alias("text"), F.nullif(F.lower(lang), F.lit("")).alias("declared"),
         host.alias("host"), F.regexp_extract(host, r"([^.]+)$", 1).alias("suffix"),
     )

@@ -106,3 +106,20 @@ def test_the_training_draw_counts_labelled_texts_and_each_text_once(spark):
     whole = language.trained(few, language.LANGUAGES, 1_000)
     assert (language.trained(few.union(rest), language.LANGUAGES, 1_000) == whole).all()
     assert (language.trained(few.union(few), language.LANGUAGES, 1_000) == whole).all()
+
+
+def test_open_markup_takes_one_pass(spark):
+    """Pages of a megabyte that leave everything open; a pattern that looked for each end anew would take hours."""
+    import time
+
+    size = 1_000_000
+    pages = [
+        (1, "<!-- x " * (size // 7)), (2, "<script> x " * (size // 11)), (3, "a < b " * (size // 6)), (4, "<html " * (size // 6)),
+        (5, "<p>one</p> < two <!-- three --> four <b"), (6, None), (7, "x<style>y</style>z<!-- open <p>gone</p>"), (8, ""),
+    ]
+    start = time.monotonic()
+    frame = spark.createDataFrame([(k, "http://a.example.de/", html) for k, html in pages], "page_id long, url string, html string")
+    found = {row.page_id: row for row in language.page_evidence(frame).collect()}
+    assert time.monotonic() - start < 60
+    assert found[1].text == found[2].text == " " and found[3].text == pages[2][1] and found[4].text == pages[3][1]
+    assert found[5].text == " one  < two   four <b" and found[6].text is None and found[7].text == "x z " and found[8].text == ""
