@@ -5,7 +5,7 @@ The order of the slots is the schedule: slot i falls on point ``i * golden ratio
 the cumulative numbers of slots, so every stretch of the schedule holds the sources in proportion. Points that a source
 has too many are passed over, and slots for which it has too few come at the end. The k-th slot of a source takes the
 k-th block of its documents, which are shuffled, laid end to end and cut every ``block`` words; after the last block,
-which may be shorter, it starts again.
+which may be shorter, it starts again. So a document has a place in the schedule for each time that it is taken.
 """
 
 from __future__ import annotations
@@ -72,10 +72,14 @@ def quotas(sources: DataFrame, most: int, block: int) -> DataFrame:
 
 
 def schedule(sources: DataFrame, small: bool) -> DataFrame:
-    """The slots as (number of the source, rank among its slots): for each source as many as its ``slots``, from rank 0."""
+    """The slots as (number of the source, rank among its slots, position): as many a source as its ``slots``, from rank 0.
+
+    Positions rise with the rank; they order the slots of all sources and have gaps where a point was passed over.
+    """
     number = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     if not number:
-        return sources.select("number", F.lit(0).cast("bigint").alias("rank")).where(F.lit(False))
+        none = F.lit(0).cast("bigint")
+        return sources.select("number", none.alias("rank"), none.alias("position")).where(F.lit(False))
     share = F.sum("slots").over(Window.orderBy("number")) / F.sum("slots").over(Window.partitionBy())
     ends = sources.withColumn("high", F.round(share * F.lit(1 << _BITS)).cast("bigint"))
     shares = ends.select("number", F.lag("high", 1, 0).over(Window.orderBy("number")).alias("low"), "high")
@@ -90,11 +94,13 @@ def schedule(sources: DataFrame, small: bool) -> DataFrame:
     wanted = sources.select("number", "slots")
     lacking = wanted.join(met, F.col("number") == F.col("_number"), "left").withColumn("_met", F.coalesce("_met", F.lit(0)))
     lacking = lacking.where(F.col("_met") < F.col("slots"))
-    late = lacking.select("number", F.explode(F.sequence("_met", F.col("slots") - 1)).alias("rank"))
+    # Those that come late are in turn too: each source's k-th is dealt into the k-th round after the last point.
+    late = lacking.select("number", F.posexplode(F.sequence("_met", F.col("slots") - 1)).alias("turn", "rank"))
+    late = late.select("number", "rank", (F.col("turn") + number).alias("position"))
     counts = counts.withColumn("start", _before("slots", ["number"], ["stretch"])).drop("slots")
     within = F.row_number().over(Window.partitionBy("number", "stretch").orderBy("id")) - 1
     ranked = slots.withColumn("rank", within).join(counts, ["number", "stretch"])
-    ranked = ranked.select("number", (F.col("rank") + F.col("start")).alias("rank"))
+    ranked = ranked.select("number", (F.col("rank") + F.col("start")).alias("rank"), F.col("id").alias("position"))
     wanted = F.broadcast(wanted) if small else wanted
     return ranked.join(wanted, "number").where(F.col("rank") < F.col("slots")).drop("slots").unionByName(late)
 
@@ -108,15 +114,18 @@ def mixed(
     id_column: str = "doc_id",
     seen_column: str | None = None,
 ) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, size, source_size, target, taken, seen.
+    """One row for each row of ``docs``: doc_id, size, source_size, target, taken, slots, seen.
 
     ``size`` counts the words of the text (0 for null); ``taken`` the words that the mix takes of the document, repeats
-    counted, at most ``most`` times its size. What a source gives is its target, rounded up to whole words. The shuffle
+    counted, at most ``most`` times its size. What a source gives is its target, rounded up to whole words. ``slots`` has
+    for each time that words of the document are taken the schedule position of the first slot that does, rising; it is
+    empty where none is taken. Documents read by these positions are the mix in its order. The shuffle
     order is a hash of id and text, so reruns agree; rows that agree in both follow the order of the input, which
     ``seen`` numbers, or ``seen_column`` if it is given. Null ids and a null source are values like others.
 
     Words are counted once and written, slim, to the checkpoint folder. A source that holds most rows is ordered in
     2**10 buckets of the hash and its slots are ranked by stretches of the schedule; only sums are put in order whole.
+    Slots meet documents by source and rank, one row for each time that a document is taken.
     """
     rows = checkpointed(docs.select(
         place(seen_column).alias("seen"),
@@ -132,29 +141,22 @@ def mixed(
     named = few(sources.withColumnRenamed("source", "_source"))
     rows = rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
 
-    slots = schedule(sources, small).join(few(sources.select("number", "blocks", "rounds", "rest")), "number")
-    turn = F.floor(F.col("rank") / F.col("blocks"))
-    slots = slots.withColumn("whole", turn < F.col("rounds")).withColumn("block", F.col("rank") % F.col("blocks"))
-    # In the round that is not whole, words of a block count up to the rest only.
-    taken = slots.groupBy("number", "block").agg(
-        F.count_if("whole").alias("times"), F.max(F.when(~F.col("whole"), F.col("rest"))).alias("until")
-    )
-
     rows = rows.withColumn("bucket", F.shiftrightunsigned("key", 64 - _BUCKETS))
     sums = rows.groupBy("number", "bucket").agg(F.sum("size").alias("words"))
     sums = sums.withColumn("first", _before("words", ["number"], ["bucket"])).drop("words")
     laid = rows.where("size > 0").withColumn("start", _before("size", ["number", "bucket"], ["key", "doc_id", "seen"]))
-    laid = laid.join(sums, ["number", "bucket"]).select("seen", "number", (F.col("start") + F.col("first")).alias("start"), "size")
-    laid = laid.withColumn("end", F.col("start") + F.col("size"))
-    size = F.lit(block)
-    cut = F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size))
-    parts = laid.withColumn("block", F.explode(cut))
-    parts = parts.withColumn("start", F.greatest("start", F.col("block") * size))
-    parts = parts.withColumn("end", F.least("end", (F.col("block") + 1) * size))
-    words = (F.col("end") - F.col("start")) * F.col("times")
-    last = F.greatest(F.least("end", F.coalesce("until", F.lit(0))) - F.col("start"), F.lit(0))
-    given = parts.join(taken, ["number", "block"]).groupBy("seen").agg(F.sum(words + last).alias("taken"))
-    result = rows.join(given, "seen", "left")
+    laid = laid.join(sums, ["number", "bucket"]).withColumn("start", F.col("start") + F.col("first"))
+    # Each whole round takes all words of a document; the round that is not whole those before the rest.
+    again = F.least("size", F.greatest(F.col("rest") - F.col("start"), F.lit(0)))
+    turns = F.col("rounds") + F.when(again > 0, 1).otherwise(0)
+    times = laid.where(turns > 0).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), turns - 1)))
+    rank = F.col("turn") * F.col("blocks") + F.floor(F.col("start") / block)
+    times = times.select("seen", "number", rank.alias("rank"), (F.col("rounds") * F.col("size") + again).alias("taken"))
+    given = times.join(schedule(sources, small), ["number", "rank"]).groupBy("seen").agg(
+        F.first("taken").alias("taken"), F.array_sort(F.collect_list("position")).alias("slots")
+    )
+    result = rows.drop("slots").join(given, "seen", "left")
     return result.select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "seen"
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+        F.coalesce("slots", F.array().cast("array<bigint>")).alias("slots"), "seen",
     )

@@ -71,7 +71,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents")).drop("seen")
+    """With the schedule positions of the first slots that take the document, the first and the last time."""
+    found = mixing.mixed(table(spark, sf_dir, "documents"))
+    ends = F.array_min("slots").alias("first_slot"), F.array_max("slots").alias("last_slot")
+    return found.select("doc_id", "size", "source_size", "target", "taken", *ends)
 
 
 def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,51 @@ def test_the_schedule_holds_each_quota(spark):
     rows = [(number, slots) for number, slots in enumerate([5000, 0, 1, 1, 2, 70_000, 3, 1])]
     sources = spark.createDataFrame(rows, "number int, slots long")
     found = defaultdict(list)
-    for number, rank in mixing.schedule(sources, True).collect():
+    positions = defaultdict(list)
+    for number, rank, position in sorted(mixing.schedule(sources, True).collect()):
         found[number].append(rank)
+        positions[number].append(position)
+    assert all(sorted(places) == places for places in positions.values())
     assert {number: sorted(ranks) for number, ranks in found.items()} == {n: list(range(k)) for n, k in rows if k}
+
+
+def test_every_prefix_of_the_schedule_holds_the_shares(spark):
+    """After any number of slots each source has had its share of them, but for a few."""
+    slots = [4000, 2500, 1200, 300, 37, 1]
+    sources = spark.createDataFrame(list(enumerate(slots)), "number int, slots long")
+    found = mixing.schedule(sources, True).collect()
+    had = [0] * len(slots)
+    order = [row.number for row in sorted(found, key=lambda row: (row.position, row.number))]
+    for n, number in enumerate(order, 1):
+        had[number] += 1
+        assert all(abs(count - n * whole / sum(slots)) <= 6 for count, whole in zip(had, slots))
+
+
+def test_documents_equal_a_plain_walk_of_the_schedule(spark):
+    """Each source's shuffled words, laid out and cut by hand, are dealt to its slots one after the other."""
+    block = 8
+    docs = spark.range(400).selectExpr(
+        "id as doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 7)) as source", "repeat('w ', cast(id * 7 % 23 as int)) as text"
+    )
+    keys = {row.doc_id: row.key for row in docs.selectExpr("doc_id", "xxhash64(doc_id, text) as key").collect()}
+    rows = {row.doc_id: row for row in mixing.mixed(docs, block=block).collect()}
+    sizes = docs.selectExpr("source", "cast(length(text) / 2 as long) as n").groupBy("source").agg({"n": "sum"})
+    sizes = sizes.toDF("source", "source_size")
+    sources = mixing.quotas(mixing.targets(sizes, (5, 2, 1), 1.5, 2), 2, block).cache()
+    names = {row.number: row for row in sources.collect()}
+    words = defaultdict(list)
+    for row in sorted(docs.collect(), key=lambda row: (keys[row.doc_id] % 2**64, row.doc_id)):
+        words[row.source] += [(row.doc_id, word) for word in range(len(row.text) // 2)]
+    taken, slots, left = defaultdict(int), defaultdict(list), {name.number: name.words for name in names.values()}
+    for number, rank, position in sorted(mixing.schedule(sources, True).collect()):
+        name = names[number]
+        at = rank % name.blocks * block
+        chosen = words[name.source][at : at + block][: left[number]]
+        left[number] -= len(chosen)
+        for doc, word in chosen:
+            taken[doc] += 1
+            if word == 0:
+                slots[doc].append(position)
+    assert not any(left.values())
+    assert all(row.taken == taken[doc] and row.slots == slots[doc] for doc, row in rows.items())
+    assert max(map(len, slots.values())) == 2
