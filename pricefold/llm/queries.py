@@ -86,7 +86,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.personal_data(table(spark, sf_dir, "documents"))
     return found.select(
         F.col("id").alias("doc_id"), *[f"n_{kind}" for kind in personal_data.KINDS],
-        F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+        F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_secret", "secrets",
     )
 
 
