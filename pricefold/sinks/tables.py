@@ -70,6 +70,11 @@ class Tables:
         rows.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(rows.schema).parquet(self.path(name))
 
+    def make(self, name: str) -> None:
+        """Make an empty directory beside the tables."""
+        folder, files = self._folder(self.path(name))
+        files.mkdirs(folder)
+
     def drop(self, name: str) -> None:
         """Delete a directory beside the tables."""
         folder, files = self._folder(self.path(name))

@@ -14,6 +14,7 @@ from pricefold.operators import adjustment
 from pricefold.plans import adjusting, merging, views
 from pricefold.schema import BAD, STAGING, TABLES
 from pricefold.session import joins_on_part_of_keys, shuffles_sized_for
+from pricefold.sinks.buckets import Buckets
 from pricefold.sinks.tables import Tables
 from pricefold.sources import csv_files, rows
 from pricefold.sources.csv_files import SYMBOL_IN_NAME
@@ -239,7 +240,7 @@ class PriceStore:
 
     def adjust(
         self, skip_errors: bool = False, exact: bool = True, lost: str = "drop", by_segment: bool = False,
-        incremental: bool = False,
+        incremental: bool = False, buckets: int | None = None,
     ) -> AdjustReport:
         """Recompute all adjusted daily prices; see ``pricefold.operators.adjustment``.
 
@@ -249,8 +250,13 @@ class PriceStore:
 
         With ``incremental`` only symbols whose bars or actions have changed since the last run are adjusted, and of their
         rows only those that differ are written; the report counts these. After a run with other options all are.
+
+        With a number of ``buckets`` bars and actions are read from their copies by symbol, which are caught up first; no
+        bar is shuffled then before it is written.
         """
-        days, actions = self.tables.read("days"), self.tables.read("adjustments")
+        days, actions = (
+            self.by_symbol(name, buckets) if buckets else self.tables.read(name) for name in ("days", "adjustments")
+        )
         every = days, actions
         options = f"skip_errors={skip_errors},exact={exact},lost={lost}"
         before = self._fingerprints(options) if incremental else None
@@ -258,7 +264,7 @@ class PriceStore:
             changed = adjusting.changed_symbols(before, adjusting.fingerprints(*every))
             symbols = self.tables.kept("changed_symbols", changed)
             days, actions = (adjusting.of_symbols(rows, symbols) for rows in every)
-        rows = adjusting.with_actions(days, actions, by_symbol=not by_segment, lost=lost)
+        rows = adjusting.with_actions(days, actions, by_symbol=not by_segment and not buckets, lost=lost)
         form = adjustment.adjusted_by_segment if by_segment else adjustment.adjusted_days
         adjusted = form(rows, skip_errors, exact, report=skip_errors)
         with shuffles_sized_for(days, actions), joins_on_part_of_keys(self.spark):
@@ -310,6 +316,17 @@ class PriceStore:
     def minutes_view(self) -> DataFrame:
         return views.minutes_view(self.tables.read("minutes"), self.tables.read("days_adjusted"))
 
+    def by_symbol(self, table: str, buckets: int) -> DataFrame:
+        """``days``, ``adjustments`` or ``days_adjusted`` from a copy in buckets by symbol; see ``sinks.buckets``."""
+        return Buckets(self.tables, buckets).read(table)
+
+    def days_view_by_symbol(self, buckets: int) -> DataFrame:
+        """The daily view over the copies by symbol, for reads of whole histories.
+
+        Run it within ``pricefold.session.joins_on_part_of_keys``; its join and windows by symbol then shuffle nothing.
+        """
+        return views.days_view(self.by_symbol("days", buckets), self.by_symbol("days_adjusted", buckets))
+
     def days_between(self, symbol: str, first: str, last: str) -> DataFrame:
         """The daily view of a symbol from one day to another, both included; lists only their months."""
         days, adjusted = self._months_between("days", first, last)
