@@ -11,7 +11,7 @@ from pricefold.plans import adjusting
 from pricefold.session import joins_on_part_of_keys
 from pricefold.sinks.buckets import Buckets
 
-HEADER = "Symbol,Date,Open,High,Low,Close,Volume,Dividend,Split"
+DAYS = "ticker,date,open,high,low,close,volume,ex-dividend,split_ratio"
 
 
 def lines(symbols, days, close=30, event=False):
@@ -45,7 +45,7 @@ def rows(frame):
 
 @pytest.fixture
 def filled(store, write):
-    store.import_days(write("days.csv", HEADER, *lines("ABCDEFG", range(60), event=True)))
+    store.import_days(write("days.csv", DAYS, *lines("ABCDEFG", range(60), event=True)))
     store.merge()
     return store
 
@@ -96,11 +96,11 @@ def test_a_copy_takes_in_new_files_alone(filled, write, monkeypatch):
         Buckets, "_write", lambda self, table, new, overwrite: (kinds.append((overwrite, new.count())), real(self, table, new, overwrite))
     )
     assert filled.by_symbol("days", 4).count() == 420 and kinds == []
-    filled.import_days(write("more.csv", HEADER, *lines("AH", range(60, 64))))
+    filled.import_days(write("more.csv", DAYS, *lines("AH", range(60, 64))))
     filled.merge()
     assert filled.by_symbol("days", 4).count() == 428 and kinds == [(False, 8)]
     # A month written anew is not what the copy was made of.
-    filled.import_days(write("late.csv", HEADER, *lines("A", [3], close=77)))
+    filled.import_days(write("late.csv", DAYS, *lines("A", [3], close=77)))
     filled.merge(newest=True)
     copy = filled.by_symbol("days", 4)
     assert kinds[1:] == [(True, 428)] and rows(copy) == rows(filled.tables.read("days").drop("month"))
@@ -108,7 +108,7 @@ def test_a_copy_takes_in_new_files_alone(filled, write, monkeypatch):
 
 def test_a_copy_left_unfinished_is_made_anew(filled, write, monkeypatch):
     filled.by_symbol("days", 4)
-    filled.import_days(write("more.csv", HEADER, *lines("AH", range(60, 64))))
+    filled.import_days(write("more.csv", DAYS, *lines("AH", range(60, 64))))
     filled.merge()
     real = Buckets._mark
 
