@@ -9,7 +9,7 @@ the term that is rarest in the segment.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from itertools import repeat
 
 import numpy as np
@@ -36,27 +36,94 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 @dataclass
 class Phrases:
-    """The distinct windows of a block of benchmark items, as numbers of terms."""
+    """The distinct windows of a block of benchmark items, as stretches of the numbers of the items' terms.
+
+    All is held in arrays: for each word four bytes, and some twenty for the window that starts there.
+    """
 
     terms: dict[bytes, int]
-    windows: np.ndarray  # a row per window, filled with -1 behind a short one
+    numbers: np.ndarray  # the terms of all items, one item after the other
+    starts: np.ndarray
     lengths: np.ndarray
-    items: list[list[str]]
+    names: list[str]
+    items: np.ndarray  # the names of window w are those from item_starts[w] on, up to item_starts[w + 1]
+    item_starts: np.ndarray
+    anchored: np.ndarray  # the windows whose term in fewest windows is t, from anchor_starts[t] on
+    anchor_starts: np.ndarray
 
     @classmethod
     def of(cls, items: list[tuple[str, bytes | None]], width: int = WINDOW) -> Phrases:
         terms: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[str]] = {}
+        names: dict[str, int] = {}
+        numbers, starts, lengths, owners, base = [], [], [], [], 0
         for item, text in items:
-            numbers = [terms.setdefault(word, len(terms)) for word in words_of(text)]
-            for start in range(max(1, len(numbers) - width + 1)):
-                if numbers:
-                    found.setdefault(tuple(numbers[start : start + width]), set()).add(item)
-        windows = np.full((len(found), width), -1, np.int32)
-        for place, window in enumerate(found):
-            windows[place, : len(window)] = window
-        lengths = np.array([len(window) for window in found], np.int32)
-        return cls(terms, windows, lengths, [sorted(named) for named in found.values()])
+            found = [terms.setdefault(word, len(terms)) for word in words_of(text)]
+            if not found:
+                continue
+            numbers.append(np.array(found, np.int32))
+            count = max(1, len(found) - width + 1)
+            starts.append(np.arange(base, base + count, dtype=np.int32))
+            lengths.append(np.full(count, min(width, len(found)), np.int32))
+            owners.append(np.full(count, names.setdefault(item, len(names)), np.int32))
+            base += len(found)
+        numbers, starts, lengths, owners = (
+            np.concatenate(parts) if parts else np.zeros(0, np.int32) for parts in (numbers, starts, lengths, owners)
+        )
+        order, first = cls._alike(numbers, starts, lengths, width)
+        windows = np.cumsum(first, dtype=np.int64) - 1
+        pairs = np.unique(windows * max(1, len(names)) + owners[order])
+        chosen = order[first]
+        starts, lengths = starts[chosen], lengths[chosen]
+        item_starts = np.searchsorted(pairs, np.arange(len(starts) + 1) * max(1, len(names)))
+        anchors = cls._rarest(numbers, starts, lengths, width, len(terms))
+        anchored = np.argsort(anchors, kind="stable").astype(np.int32)
+        anchor_starts = np.searchsorted(anchors[anchored], np.arange(len(terms) + 1))
+        owners = (pairs % max(1, len(names))).astype(np.int32)
+        return cls(terms, numbers, starts, lengths, list(names), owners, item_starts, anchored, anchor_starts)
+
+    @staticmethod
+    def _alike(numbers: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """An order that puts equal windows side by side, and where in it a window differs from the one before.
+
+        They are ordered by a hash and compared by their terms. Should two hashes ever be equal that are not of equal
+        windows, a window may come twice, which changes no result.
+        """
+
+        def term(place: int, chosen: np.ndarray) -> np.ndarray:
+            return np.where(place < lengths[chosen], numbers[np.minimum(starts[chosen] + place, len(numbers) - 1)], -1)
+
+        every = np.arange(len(starts), dtype=np.int32)
+        hashes = np.zeros(len(starts), np.uint64)
+        for place in range(width if len(starts) else 0):
+            hashes = (hashes ^ (term(place, every) + 1).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            hashes ^= hashes >> np.uint64(29)
+        order = np.argsort(hashes, kind="stable").astype(np.int32)
+        first = np.ones(len(order), bool)
+        for place in range(width if len(starts) else 0):
+            found = term(place, order)
+            first[1:] = found[1:] != found[:-1] if not place else first[1:] | (found[1:] != found[:-1])
+        return order, first
+
+    @staticmethod
+    def _rarest(numbers: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int, terms: int) -> np.ndarray:
+        """For each window its term that the fewest windows hold."""
+        counts = np.zeros(terms, np.int64)
+        for place in range(width):
+            counts += np.bincount(numbers[starts[lengths > place] + place], minlength=terms)
+        best = numbers[starts]
+        for place in range(1, width):
+            inside = np.flatnonzero(lengths > place)
+            other = numbers[starts[inside] + place]
+            rarer = counts[other] < counts[best[inside]]
+            best[inside[rarer]] = other[rarer]
+        return best
+
+    def window(self, place: int) -> np.ndarray:
+        start = self.starts[place]
+        return self.numbers[start : start + self.lengths[place]]
+
+    def named(self, place: int) -> list[str]:
+        return [self.names[item] for item in self.items[self.item_starts[place] : self.item_starts[place + 1]]]
 
 
 INDEX_SCHEMA = (
@@ -118,18 +185,26 @@ class Segment:
         self.positions = np.frombuffer(row["positions"], "<i4")
         self.counts = np.zeros(terms, np.int64)
         self.starts = np.zeros(terms, np.int64)
-        present, starts = np.array(row["terms"], np.int64), np.array(row["starts"], np.int64)
-        self.starts[present] = starts
-        self.counts[present] = np.diff(np.append(starts, len(self.positions)))
+        self.present, starts = np.array(row["terms"], np.int64), np.array(row["starts"], np.int64)
+        self.starts[self.present] = starts
+        self.counts[self.present] = np.diff(np.append(starts, len(self.positions)))
         self.lengths = np.array(row["lengths"], np.int64)
         self.firsts = np.cumsum(self.lengths + 1) - self.lengths - 1
 
     def list(self, term: int) -> np.ndarray:
         return self.positions[self.starts[term] : self.starts[term] + self.counts[term]]
 
-    def possible(self, windows: np.ndarray) -> np.ndarray:
-        """The windows all of whose terms occur in the segment."""
-        return np.flatnonzero(((windows < 0) | (self.counts[windows] > 0)).all(axis=1))
+    def possible(self, phrases: Phrases) -> np.ndarray:
+        """The windows all of whose terms occur in the segment: looked for from the segment's terms that are their rarest."""
+        first = phrases.anchor_starts[self.present]
+        count = phrases.anchor_starts[self.present + 1] - first
+        places = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+        chosen = phrases.anchored[places]
+        for place in range(1, int(phrases.lengths.max(initial=0))):
+            starts, long = phrases.starts[chosen], phrases.lengths[chosen] > place
+            held = self.counts[phrases.numbers[np.minimum(starts + place, len(phrases.numbers) - 1)]] > 0
+            chosen = chosen[held | ~long]
+        return chosen[self.counts[phrases.numbers[phrases.starts[chosen]]] > 0]
 
     def phrase(self, window: np.ndarray) -> np.ndarray:
         """Where the terms of a window stand one after the other."""
@@ -175,19 +250,19 @@ def search(index: DataFrame, phrases: Phrases, slop: int | None = None) -> DataF
     than the window that has all its terms in any order.
     """
     # Plain values, since a broadcast does not carry the code of a class along.
-    values = len(phrases.terms), phrases.windows, phrases.lengths, phrases.items
-    shared = index.sparkSession.sparkContext.broadcast(values)
+    terms, rest = len(phrases.terms), [getattr(phrases, field.name) for field in fields(phrases)][1:]
+    shared = index.sparkSession.sparkContext.broadcast(rest)
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, windows, lengths, named = shared.value
+        known = Phrases({}, *shared.value)
         for batch in batches:
             for row in batch.to_pylist():
                 segment = Segment(row, max(1, terms))
                 cover = np.zeros(int((segment.lengths + 1).sum()) + 1, np.int64)
                 items: dict[int, set[str]] = {}
-                for place in segment.possible(windows):
-                    length = int(lengths[place])
-                    window = windows[place, :length]
+                for place in segment.possible(known):
+                    length = int(known.lengths[place])
+                    window = known.window(place)
                     starts = segment.phrase(window) if slop is None else segment.near(window, slop)
                     if not len(starts):
                         continue
@@ -198,7 +273,7 @@ def search(index: DataFrame, phrases: Phrases, slop: int | None = None) -> DataF
                     np.add.at(cover, starts, 1)
                     np.add.at(cover, reach, -1)
                     for document in np.unique(documents).tolist():
-                        items.setdefault(document, set()).update(named[place])
+                        items.setdefault(document, set()).update(known.named(place))
                 yield described(row, segment, cover, items)
 
     def described(row: dict, segment: Segment, cover: np.ndarray, items: dict[int, set[str]]) -> pa.RecordBatch:

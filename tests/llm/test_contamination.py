@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -89,4 +91,41 @@ def test_proximity_equals_brute_force():
                 if text[start] < 3 and {0, 1, 2} <= set(text[start : start + 5].tolist()):
                     wanted.append(first + start)
             first += len(text) + 1
-        assert segment.near(phrases.windows[0][:3], 2).tolist() == wanted
+        assert segment.near(phrases.window(0), 2).tolist() == wanted
+
+
+def test_windows_equal_a_plain_table_of_them():
+    chance = np.random.default_rng(4)
+    for size, terms in ((0, 3), (1, 3), (40, 2), (40, 4), (300, 3)):
+        items = [(f"i{n % 7}", " ".join(map(str, chance.integers(0, terms, chance.integers(0, 30)))).encode()) for n in range(size)]
+        wanted = {}
+        for item, text in items:
+            found = words_of(text)
+            for start in range(max(1, len(found) - 9)):
+                if found:
+                    wanted.setdefault(tuple(found[start : start + 10]), set()).add(item)
+        phrases = Phrases.of(items)
+        words = list(phrases.terms)
+        made = [(tuple(words[term] for term in phrases.window(place)), phrases.named(place)) for place in range(len(phrases.starts))]
+        assert len(made) == len(wanted) and {window: set(names) for window, names in made} == wanted
+        assert all(len(names) == len(set(names)) for _, names in made)
+        for some in (range(terms), range(0, terms, 2), []):
+            present = [phrases.terms[word] for word in (b"%d" % term for term in some) if word in phrases.terms]
+            segment = Segment({"positions": b"\0" * 4 * len(present), "terms": present, "starts": list(range(len(present))), "lengths": [9]}, max(1, len(words)))
+            holding = {place for place in range(len(made)) if set(phrases.window(place).tolist()) <= set(present)}
+            assert sorted(segment.possible(phrases).tolist()) == sorted(holding)
+
+
+def test_a_block_of_benchmark_texts_takes_bounded_memory():
+    """4 MiB of text with next to no repeated window, whose words are few or many."""
+    chance = np.random.default_rng(6)
+    for terms in (3000, 10**6):
+        words = chance.integers(0, terms, 600_000)
+        items = [(f"i{n}", " ".join(map(str, words[n * 300 : n * 300 + 300])).encode()) for n in range(2000)]
+        size = sum(len(text) for _, text in items)
+        tracemalloc.start()
+        phrases = Phrases.of(items)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        names = sum(sys.getsizeof(word) + 100 for word in phrases.terms)
+        assert len(phrases.starts) > 500_000 and peak - names < 24 * size
