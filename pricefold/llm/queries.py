@@ -41,7 +41,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return counted.select(
         F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
-        F.col("within_budget").alias("chars_within_limit"),
+        F.col("within_budget").alias("chars_within_limit"), "prefixes",
     )
 
 
