@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricefold.operators.decimal_fold import CARRIED, fold_batches, last_coefficients
-from pricefold.schema import ADJUSTED, BAD, NO_DIVIDEND, NO_SPLIT, PRICES, SCALE
+from pricefold.schema import ADJUSTED, BAD, KEY, NO_DIVIDEND, NO_SPLIT, PRICES, SCALE
 
 
 def _newest_first() -> WindowSpec:
@@ -118,6 +118,8 @@ def _kept(paired: DataFrame) -> list[str]:
 
 # The two-level form. Rows carry ``segment``, the start of their stretch of time.
 
+_HEAD = "_head"
+
 
 def _in_segment() -> WindowSpec:
     return Window.partitionBy("symbol", "segment").orderBy(F.desc("date"))
@@ -128,32 +130,49 @@ def _newer_segments() -> WindowSpec:
     return Window.partitionBy("symbol").orderBy(F.desc("segment")).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def with_newer_event_by_segment(rows: DataFrame) -> DataFrame:
-    """As ``with_newer_event``, for rows that carry ``segment``; no window is wider than a segment's rows.
+def segment_heads(rows: DataFrame) -> DataFrame:
+    """The oldest row of the next newer segment of the symbol, one for each segment but the newest.
 
-    Each segment hands its oldest row to the next older one of the symbol; these rows come from an aggregation that
-    combines before its shuffle.
+    The rows are dealt out before the aggregation. To combine them first would keep a second hash map in the tasks that
+    form the rows, and saves little, as a segment has few rows in each of them.
     """
-    split = F.when(F.col("split_ratio") == 0, NO_SPLIT).otherwise(F.col("split_ratio"))
-    rows = rows.withColumn("split_ratio", split)
-    oldest = rows.groupBy("symbol", "segment").agg(
-        F.min("date").alias("oldest_date"),
-        *[F.min_by(name, "date").alias(f"oldest_{name}") for name in ("dividend", "split_ratio")],
-    )
     names = ("date", "dividend", "split_ratio")
+    dealt = rows.select("symbol", "segment", *names).repartition("symbol", "segment")
+    oldest = dealt.groupBy("symbol", "segment").agg(
+        F.min("date").alias("date"), *[F.min_by(name, "date").alias(name) for name in names[1:]]
+    )
     older = Window.partitionBy("symbol").orderBy(F.desc("segment"))
-    handed = oldest.select(
-        "symbol", "segment", *[F.lag(f"oldest_{name}").over(older).alias(f"handed_{name}") for name in names]
+    handed = oldest.select("symbol", "segment", *[F.lag(name).over(older).alias(name) for name in names])
+    return handed.where(F.col("date").isNotNull())
+
+
+def with_newer_event_by_segment(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """As ``with_newer_event``, for rows that carry ``segment``; no window is wider than a segment's rows.
+
+    Each segment is headed by its row of ``segment_heads``, which is newer than all of its own and goes after the window.
+    So the rows need no join: they are dealt out and sorted once, and a task holds one sort of them. ``newest`` is added
+    to the first row of each segment, and what else a head carries comes to that row.
+    """
+    handed = [name for name in heads.columns if name not in rows.columns]
+    headed = rows.withColumn(_HEAD, F.lit(False)).unionByName(
+        heads.withColumn(_HEAD, F.lit(True)), allowMissingColumns=True
     )
-    joined = rows.join(handed, ["symbol", "segment"])
-    newer = {name: F.coalesce(F.lag(name).over(_in_segment()), F.col(f"handed_{name}")) for name in names}
-    return joined.withColumns(
+    in_segment = _in_segment()
+    so_far = in_segment.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def newer(name: str) -> Column:
+        return F.coalesce(F.lag(name).over(in_segment), F.first(F.when(F.col(_HEAD), F.col(name))).over(so_far))
+
+    paired = headed.withColumns(
         {
-            "newer_date": newer["date"],
-            "newer_dividend": F.coalesce(newer["dividend"], F.lit(NO_DIVIDEND)),
-            "newer_split_ratio": F.coalesce(newer["split_ratio"], F.lit(NO_SPLIT)),
+            "newer_date": newer("date"),
+            "newer_dividend": F.coalesce(newer("dividend"), F.lit(NO_DIVIDEND)),
+            "newer_split_ratio": F.coalesce(newer("split_ratio"), F.lit(NO_SPLIT)),
+            "newest": F.coalesce(F.lag(_HEAD).over(in_segment), F.lit(True)),
+            **{name: F.lag(name).over(in_segment) for name in handed},
         }
-    ).drop(*[f"handed_{name}" for name in names])
+    )
+    return paired.where(~F.col(_HEAD)).drop(_HEAD)
 
 
 def _coefficient_by_segment(factors: DataFrame) -> DataFrame:
@@ -171,13 +190,12 @@ def _coefficient_by_segment(factors: DataFrame) -> DataFrame:
     return joined.withColumn("coefficient", F.col("before") * F.col("local"))
 
 
-def _adjusted_exact_by_segment(paired: DataFrame) -> DataFrame:
-    """The decimal fold in two levels, with the same digits as in one.
+def _heads_with_coefficient(heads: DataFrame, paired: DataFrame) -> DataFrame:
+    """Add the coefficient that the segment of each head starts from, as text.
 
-    Decimal products are rounded at each step, so they do not regroup. But only events change the coefficient: the first
-    level folds the events of a symbol in their order, without the rows between them, and keeps what it has at the end of
-    each segment. Each segment then starts from the last of these that is newer, and the second level is the fold over
-    the rows, by segment.
+    Decimal products are rounded at each step, so they do not regroup. But only events change the coefficient: this folds
+    the events of a symbol in their order, without the rows between them, and keeps what it has at the end of each
+    segment. Each segment then starts from the last of these that is newer.
     """
     is_event = (F.col("newer_dividend") != NO_DIVIDEND) | (F.col("newer_split_ratio") != NO_SPLIT)
     events = paired.where(is_event).select(
@@ -186,16 +204,25 @@ def _adjusted_exact_by_segment(paired: DataFrame) -> DataFrame:
     )
     kind = T.StructType([paired.schema["symbol"], paired.schema["segment"], T.StructField("coefficient", T.StringType())])
     ends = events.sortWithinPartitions("symbol", F.desc("date")).drop("date").mapInArrow(last_coefficients, kind)
-    every = paired.select("symbol", "segment").distinct().join(ends, ["symbol", "segment"], "left")
-    before = F.coalesce(F.last("coefficient", ignorenulls=True).over(_newer_segments()), F.lit("1"))
-    starts = every.select("symbol", "segment", before.alias(CARRIED))
-    first = F.row_number().over(_in_segment()) == 1
-    rows = paired.join(starts, ["symbol", "segment"]).withColumn("newest", first)
-    rows = rows.select(
-        "symbol", "segment", "date", *PRICES, "newest", "newer_dividend", "newer_split_ratio", CARRIED, *_kept(paired)
+    # The head of a segment comes before the end of the same one.
+    both = heads.withColumn(_HEAD, F.lit(True)).unionByName(
+        ends.withColumn(_HEAD, F.lit(False)), allowMissingColumns=True
+    )
+    newest_first = Window.partitionBy("symbol").orderBy(F.desc("segment"), F.desc(_HEAD))
+    before = F.last("coefficient", ignorenulls=True).over(
+        newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ordered = rows.sortWithinPartitions("symbol", F.desc("segment"), F.desc("date")).drop("segment")
-    return _folded(ordered, paired)
+    return both.withColumn(CARRIED, before).where(F.col(_HEAD)).drop(_HEAD, "coefficient")
+
+
+def _adjusted_exact_by_segment(paired: DataFrame) -> DataFrame:
+    """The decimal fold over the rows, by segment, with the same digits as in one level."""
+    rows = paired.select(
+        "symbol", "segment", "date", *PRICES, "newest", "newer_dividend", "newer_split_ratio",
+        F.coalesce(CARRIED, F.lit("1")).alias(CARRIED), *_kept(paired),
+    )
+    # The window has left the rows in this order; naming the order adds no sort to the plan.
+    return _folded(rows.sortWithinPartitions("symbol", "segment", F.desc("date")).drop("segment"), paired)
 
 
 def adjusted_by_segment(
@@ -204,14 +231,21 @@ def adjusted_by_segment(
     """As ``adjusted_days``, in two levels: symbols are cut into segments of a time ``unit`` (of ``date_trunc``).
 
     In decimal mode the results are the same; in double mode they may differ by one unit, since the product is formed in
-    another order. The date may also be a time, for bars of less than a day.
+    another order. The date may also be a time, for bars of less than a day. Rows without a symbol or a date are left out.
     """
-    rows = rows.withColumn("segment", F.date_trunc(unit, "date").cast(rows.schema["date"].dataType))
-    paired = with_newer_event_by_segment(rows)
-    paired = with_checked_dividend(with_bad_dividend(paired) if report else paired, skip_errors)
+    split = F.when(F.col("split_ratio") == 0, NO_SPLIT).otherwise(F.col("split_ratio"))
+    segment = F.date_trunc(unit, "date").cast(rows.schema["date"].dataType)
+    rows = rows.dropna(subset=KEY).withColumns({"segment": segment, "split_ratio": split})
+
+    def paired(heads: DataFrame) -> DataFrame:
+        pairs = with_newer_event_by_segment(rows, heads)
+        return with_checked_dividend(with_bad_dividend(pairs) if report else pairs, skip_errors)
+
+    heads = segment_heads(rows)
     if exact:
-        return _adjusted_exact_by_segment(paired)
-    return _truncated(_coefficient_by_segment(with_factor(paired)), paired)
+        return _adjusted_exact_by_segment(paired(_heads_with_coefficient(heads, paired(heads))))
+    pairs = paired(heads)
+    return _truncated(_coefficient_by_segment(with_factor(pairs)), pairs)
 
 
 def adjusted_days(

@@ -236,6 +236,25 @@ def test_a_long_series_of_times_is_cut_into_segments(spark):
     assert re.search(r"hashpartitioning\([^)]*segment#", plan)
 
 
+def test_segments_sort_the_rows_once_and_join_none(spark, many):
+    prices = {name: "max" for name in ("open", "high", "low", "close", "dividend", "split_ratio")}
+    rows = spark.createDataFrame(many, SCHEMA).groupBy("symbol", "date").agg(prices)
+    rows = rows.withColumnsRenamed({f"max({name})": name for name in prices}).select("symbol", "date", *prices)
+    two = adjustment.adjusted_by_segment(rows)
+    # A task that forms the rows or folds them holds them once: there is no join, one sort, no second aggregation.
+    plan = two._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    fold = plan.split("Exchange")[0]
+    assert "MapInArrow" in fold and fold.count("Sort [") == 1
+    assert re.search(r"partial_min\(date[^\n]*\n[^\n]*Exchange hashpartitioning\(symbol[^\n]*segment", plan)
+    assert sorted(map(tuple, two.collect())) == sorted(map(tuple, adjustment.adjusted_days(rows).collect()))
+
+
+def test_segments_leave_out_rows_without_symbol_or_date(spark, many):
+    bare = [(None, *many[0][1:]), (many[0][0], None, *many[0][2:])]
+    assert by_segment(spark, many + bare) == expected_rows(many)
+
+
 ACTIONS = "symbol string, date date, dividend bigint, split_ratio bigint"
 
 
